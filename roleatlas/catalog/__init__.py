@@ -1,0 +1,6 @@
+"""Registered queries and their oracle SQL."""
+
+from . import text_queries  # noqa: F401
+from .registry import registry
+
+__all__ = ["registry"]

@@ -1,0 +1,33 @@
+"""Approximate nearest neighbors for small k."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.ml.feature import BucketedRandomProjectionLSH
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.vectors import l2_normalize
+
+
+def approx_knn(
+    vectors: DataFrame, query: np.ndarray, k: int, tables: int = 8, width: float = 0.5,
+    seed: int = 42,
+) -> DataFrame:
+    """About the k nearest rows to one query vector, by hashing unit vectors.
+
+    On unit vectors Euclidean and cosine order agree.  The exact prefetch remains
+    the way to get wide or complete results.
+    """
+    unit = l2_normalize(vectors.select("url_hash", "role_vec"), "role_vec", "unit").select(
+        "url_hash", array_to_vector(F.col("unit")).alias("features")
+    )
+    lsh = BucketedRandomProjectionLSH(
+        inputCol="features", outputCol="hashes", bucketLength=width, numHashTables=tables, seed=seed
+    )
+    q = np.asarray(query, dtype=np.float64)
+    key = Vectors.dense(q / (np.linalg.norm(q) + 1e-10))
+    found = lsh.fit(unit).approxNearestNeighbors(unit, key, k, distCol="distance")
+    return found.select("url_hash", (1 - F.pow("distance", 2) / 2).alias("sim"))

@@ -47,9 +47,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder and cut the lineage there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and go on from that table.
+
+    This cuts the lineage, so a lost executor costs a re-read and not a rerun of
+    what came before; unlike an RDD checkpoint, the table is read by column.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def byte_size(df: DataFrame) -> Column:
