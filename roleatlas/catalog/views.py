@@ -104,10 +104,11 @@ def scraped_batch(spark: SparkSession, d: str) -> DataFrame:
     """V5: what the boards serve now; every fourth row comes twice."""
     v3 = documents(spark, d)
     i = F.col("doc_id")
-    seq = F.explode(F.when(i % 4 == 0, F.array(F.lit(1), F.lit(2)))
-                    .when(i % 2 == 0, F.array(F.lit(1)))
-                    .otherwise(F.array(F.lit(0)))).cast("long")
-    rows = v3.select("*", seq.alias("seq"))
+    copies = (
+        F.when(i % 4 == 0, F.array(F.lit(1), F.lit(2))).when(i % 2 == 0, F.array(F.lit(1)))
+        .otherwise(F.array(F.lit(0)))
+    )
+    rows = v3.select("*", F.explode(copies.cast("array<long>")).alias("seq"))
     return rows.select(
         "doc_id", "company", "seq", "url",
         F.when(F.col("seq") == 2, "").otherwise(F.col("title")).alias("title"),

@@ -51,11 +51,14 @@ def is_garbage_description(c: Column) -> Column:
 
 def clean_location(c: Column) -> Column:
     """Placeholder locations become the empty string."""
-    loc = strip(c)
-    placeholder = matches(loc, fv.LOCATION_COUNT_PATTERN, ignore_case=True) | F.lower(
-        loc
-    ).isin(fv.LOCATION_PLACEHOLDERS)
-    return F.when(placeholder, "").otherwise(loc)
+
+    def kept(loc: Column) -> Column:
+        placeholder = matches(loc, fv.LOCATION_COUNT_PATTERN, ignore_case=True) | F.lower(
+            loc
+        ).isin(fv.LOCATION_PLACEHOLDERS)
+        return F.when(placeholder, "").otherwise(loc)
+
+    return bind(strip(c), kept)
 
 
 def extract_role_text(c: Column, max_chars: int = fv.ROLE_TEXT_MAX_CHARS) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from . import fixed_values as fv
-from .regex import matches, remove, strip, text
+from .regex import bind, matches, remove, strip, text
 
 
 def clean_ats_url(url: Column) -> Column:
@@ -22,17 +22,23 @@ def clean_ats_url(url: Column) -> Column:
     def on(u: Column, applies: Column, cleaned: Column) -> Column:
         return F.when(applies, cleaned).otherwise(u)
 
-    # A later host rule sees what an earlier one left.  Dropping a query is
-    # idempotent, so the rules that only do that share one test where the order
-    # cannot matter.
-    u = on(url, url.contains(fv.LINKEDIN_VIEW_MARK), no_query(url))
-    u = on(u, u.contains(fv.ASHBY_HOST_MARK), no_query(remove(u, fv.APPLICATION_PATTERN)))
-    plain = (
-        u.contains(fv.GREENHOUSE_HOST_MARK) | u.contains(fv.GREENHOUSE_ID_MARK)
-        | u.contains(fv.LEVER_HOST_MARK)
-        | (u.contains(fv.GOOGLE_HOST_MARK) & u.contains(fv.GOOGLE_CAREERS_MARK))
-    )
-    return on(u, plain, no_query(u))
+    def ashby(u: Column) -> Column:
+        return on(
+            u, u.contains(fv.ASHBY_HOST_MARK), no_query(remove(u, fv.APPLICATION_PATTERN))
+        )
+
+    def query_only(u: Column) -> Column:
+        marked = (
+            u.contains(fv.GREENHOUSE_HOST_MARK) | u.contains(fv.GREENHOUSE_ID_MARK)
+            | u.contains(fv.LEVER_HOST_MARK)
+            | (u.contains(fv.GOOGLE_HOST_MARK) & u.contains(fv.GOOGLE_CAREERS_MARK))
+        )
+        return on(u, marked, no_query(u))
+
+    # A later rule sees what an earlier one left, so each stage is bound: written
+    # out, the nested tests would repeat every stage many times over.
+    linkedin = on(url, url.contains(fv.LINKEDIN_VIEW_MARK), no_query(url))
+    return bind(linkedin, lambda u: bind(ashby(u), query_only))
 
 
 def url_path_parts(url: Column) -> Column:
@@ -45,13 +51,16 @@ def url_path_parts(url: Column) -> Column:
 
 def is_garbage_url(url: Column) -> Column:
     """A search, category or board page instead of one posting."""
-    u = F.lower(text(url))
-    board_root = u.contains(fv.LEVER_HOST_MARK) & (F.size(url_path_parts(u)) < 2)
-    team_page = u.contains(fv.TEAMS_URL_MARK) & ~matches(u, fv.JOB_PATH_PATTERN)
-    return (
-        u.contains(fv.SEARCH_URL_MARK) | u.contains(fv.CATEGORY_URL_MARK)
-        | team_page | board_root | u.contains(fv.LEVER_DEMO_MARK)
-    )
+
+    def rules(u: Column) -> Column:
+        board_root = u.contains(fv.LEVER_HOST_MARK) & (F.size(url_path_parts(u)) < 2)
+        team_page = u.contains(fv.TEAMS_URL_MARK) & ~matches(u, fv.JOB_PATH_PATTERN)
+        return (
+            u.contains(fv.SEARCH_URL_MARK) | u.contains(fv.CATEGORY_URL_MARK)
+            | team_page | board_root | u.contains(fv.LEVER_DEMO_MARK)
+        )
+
+    return bind(F.lower(text(url)), rules)
 
 
 def _digest(url: str | None) -> int | None:

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
+from ..session import lookup_join, materialize
+from .topk import cut_at_rank
 
 
 def _principal_plane(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -35,53 +37,55 @@ def pca_layout(points: DataFrame) -> DataFrame:
     return rescale(plane)
 
 
+def axis_bounds(plane: DataFrame) -> DataFrame:
+    """E8."""
+    return plane.groupBy("role").agg(
+        F.min("x").alias("min_x"), F.max("x").alias("max_x"),
+        F.min("y").alias("min_y"), F.max("y").alias("max_y"),
+    )
+
+
 def rescale(plane: DataFrame) -> DataFrame:
-    """Each axis to [-1, 1] per role; a flat axis stays as it is."""
-    role = Window.partitionBy("role")
+    """each axis to [-1, 1] per role; a flat axis stays as it is."""
 
     def scaled(c: str):
-        low, span = F.min(c).over(role), F.max(c).over(role) - F.min(c).over(role)
+        low, span = F.col(f"min_{c}"), F.col(f"max_{c}") - F.col(f"min_{c}")
         moved = (F.col(c) - low) * 2 / span - 1
         return F.round(
             F.when(span > fv.MIN_SPAN, moved).otherwise(F.col(c)), fv.COORDINATE_DIGITS
         )
 
-    return plane.select(
+    bounded = lookup_join(plane, axis_bounds(plane), ["role"], "inner")
+    return bounded.select(
         *[c for c in plane.columns if c not in ("x", "y")],
         scaled("x").alias("x"), scaled("y").alias("y"),
     )
 
 
-def axis_bounds(plane: DataFrame) -> DataFrame:
-    """E8."""
-    return plane.groupBy("role").agg(
-        F.min("x").alias("min_x"), F.max("x").alias("max_x"),
-        F.min("y").alias("min_y"), F.max("y").alias("max_y"),
-    )
-
-
 def group_core(points: DataFrame, share: float = fv.CORE_SHARE) -> DataFrame:
     """Per group its centroid and the nearest ``floor(share * n)`` points.
 
     ``points`` is ``role, grp, url_hash, x, y``; groups of fewer than three are
-    skipped.
+    skipped.  Groups are the legend's, a handful per role.
     """
-    group = Window.partitionBy("role", "grp")
-    cx, cy = F.avg("x").over(group), F.avg("y").over(group)
-    placed = points.select(
-        "role", "grp", "url_hash", "x", "y", cx.alias("cx"), cy.alias("cy"),
-        F.count("*").over(group).alias("n"),
-    ).withColumn(
+    centers = materialize(
+        points.groupBy("role", "grp").agg(
+            F.avg("x").alias("cx"), F.avg("y").alias("cy"), F.count("*").alias("n")
+        ).filter(F.col("n") >= fv.MIN_HULL_POINTS)
+        .withColumn("_group", F.concat_ws("\u0001", "role", "grp"))
+    )
+    placed = lookup_join(points, centers, ["role", "grp"], "inner").withColumn(
         "distance",
         F.round(F.sqrt(F.pow(F.col("x") - F.col("cx"), 2) + F.pow(F.col("y") - F.col("cy"), 2)), 9),
+    ).withColumn("_near", -F.col("distance"))
+    widths = {r["_group"]: int(np.floor(r["n"] * share)) for r in centers.collect()}
+    if not widths:
+        return placed.select("role", "grp", "url_hash", "x", "y", "cx", "cy")
+    reach = placed.agg(F.max("distance")).first()[0]
+    core = cut_at_rank(
+        placed, "_group", "_near", "url_hash", widths, low=-(reach + fv.MIN_SPAN), high=0.0
     )
-    order = Window.partitionBy("role", "grp").orderBy("distance", "url_hash")
-    return (
-        placed.filter(F.col("n") >= fv.MIN_HULL_POINTS)
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= F.floor(F.col("n") * F.lit(share)))
-        .select("role", "grp", "url_hash", "x", "y", "cx", "cy", "place")
-    )
+    return core.select("role", "grp", "url_hash", "x", "y", "cx", "cy")
 
 
 def _hull(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -106,10 +110,18 @@ def _hull(pdf: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def group_hull(core: DataFrame) -> DataFrame:
-    """Convex hull of each core of at least three points, counter-clockwise."""
-    size = F.count("*").over(Window.partitionBy("role", "grp"))
-    usable = core.withColumn("_n", size).filter(F.col("_n") >= fv.MIN_HULL_POINTS)
-    return usable.select("role", "grp", "x", "y").groupBy("role", "grp").applyInPandas(
-        _hull, "role string, grp string, vertex int, x double, y double"
+def group_hull(core: DataFrame, slices: int = 64) -> DataFrame:
+    """Convex hull of each core of at least three points, counter-clockwise.
+
+    The hull of a group is the hull of its slices' hulls, so no task needs a
+    whole group.
+    """
+    size = core.groupBy("role", "grp").agg(F.count("*").alias("_n"))
+    usable = lookup_join(
+        core.select("role", "grp", "x", "y"), size.filter(F.col("_n") >= fv.MIN_HULL_POINTS),
+        ["role", "grp"], "left_semi",
     )
+    schema = "role string, grp string, vertex int, x double, y double"
+    slice_ = F.pmod(F.xxhash64("x", "y"), F.lit(slices)).alias("_slice")
+    parts = usable.groupBy("role", "grp", slice_).applyInPandas(_hull, schema)
+    return parts.groupBy("role", "grp").applyInPandas(_hull, schema)

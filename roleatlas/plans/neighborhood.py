@@ -135,6 +135,7 @@ class Neighborhood:
     centroids: DataFrame
     neighbors: DataFrame
     scored: DataFrame | None
+    candidates: DataFrame | None
     vectors: DataFrame
     w: np.ndarray | None
     n: int
@@ -229,7 +230,7 @@ def find_neighborhood(
             "role", "url_hash", "title", "company", "url", F.lit("").alias("grp"),
             F.lit(0.0).alias("sim"), F.lit(0).alias("rank"),
         )
-        return Neighborhood(roles, center, centroids, empty, None, vectors, w, n, settings)
+        return Neighborhood(roles, center, centroids, empty, None, None, vectors, w, n, settings)
 
     keys = [r["role"] for r in found]
     scores = centroid_scores(
@@ -259,7 +260,7 @@ def find_neighborhood(
             F.col("clean_score").alias("sim"), "rank",
         )
     )
-    return Neighborhood(roles, center, centroids, neighbors, scored, vectors, w, n, settings)
+    return Neighborhood(roles, center, centroids, neighbors, scored, candidates, vectors, w, n, settings)
 
 
 __all__ = [
