@@ -1,6 +1,6 @@
 """Registered queries and their oracle SQL."""
 
-from . import table_queries, text_queries  # noqa: F401
+from . import atlas_queries, table_queries, text_queries  # noqa: F401
 from .registry import registry
 
 __all__ = ["registry"]
