@@ -1,0 +1,9 @@
+"""A Spark engine for an embedding-based atlas of job roles."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Kernels travel to the executors with their code, so a cluster needs no copy of
+# this package on its workers.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

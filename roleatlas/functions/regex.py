@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -41,18 +42,37 @@ def remove(c: Column, text: str, ignore_case: bool = False) -> Column:
     return F.regexp_replace(c, pattern(text, ignore_case), "")
 
 
+def _any(words: list[str]) -> str:
+    return "(?:" + "|".join(re.escape(w) for w in words) + ")"
+
+
 def contains_any(c: Column, words: list[str]) -> Column:
-    found = c.contains(words[0])
-    for word in words[1:]:
-        found = found | c.contains(word)
-    return found
+    return c.rlike(_any(words))
 
 
 def starts_with_any(c: Column, words: list[str]) -> Column:
-    found = c.startswith(words[0])
-    for word in words[1:]:
-        found = found | c.startswith(word)
-    return found
+    return c.rlike(rf"\A{_any(words)}")
+
+
+def one_of(c: Column, words: list[str]) -> Column:
+    return c.rlike(rf"\A{_any(words)}\z")
+
+
+def like_any(c: Column, patterns: list[str]) -> Column:
+    """``c LIKE '%p%'`` for any pattern, as one search."""
+
+    def searched(p: str) -> str:
+        out, quoted = "", False
+        for ch in p:
+            if quoted or ch not in "\\%_":
+                out, quoted = out + re.escape(ch), False
+            elif ch == "\\":
+                quoted = True
+            else:
+                out += ".*" if ch == "%" else "."
+        return out
+
+    return c.rlike("(?s)" + "|".join(searched(p) for p in patterns))
 
 
 def bind(c: Column, body: Callable[[Column], Column]) -> Column:

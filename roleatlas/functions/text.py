@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from . import fixed_values as fv
 from .regex import (
-    bind, collapse, contains_any, matches, pattern, starts_with_any, strip, text,
+    bind, collapse, contains_any, matches, one_of, pattern, starts_with_any, strip, text,
 )
 
 
@@ -53,9 +53,9 @@ def clean_location(c: Column) -> Column:
     """Placeholder locations become the empty string."""
 
     def kept(loc: Column) -> Column:
-        placeholder = matches(loc, fv.LOCATION_COUNT_PATTERN, ignore_case=True) | F.lower(
-            loc
-        ).isin(fv.LOCATION_PLACEHOLDERS)
+        placeholder = matches(loc, fv.LOCATION_COUNT_PATTERN, ignore_case=True) | one_of(
+            F.lower(loc), fv.LOCATION_PLACEHOLDERS
+        )
         return F.when(placeholder, "").otherwise(loc)
 
     return bind(strip(c), kept)

@@ -133,6 +133,42 @@ def centroid_scores(
     )
 
 
+def role_sums(df: DataFrame, w: np.ndarray | None) -> DataFrame:
+    """Per task and role: row count and summed raw and deconfounded vectors.
+
+    A task emits one row per role, so the shuffle that follows does not grow with
+    the size of a center.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(w)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = matrix(b.column(1))
+            both = np.hstack([x, transform(x, shared.value)])
+            names = np.asarray(b.column(0).to_pylist())
+            for role in np.unique(names):
+                mine = both[names == role]
+                n, total = totals.get(role, (0, 0.0))
+                totals[role] = (n + len(mine), total + mine.sum(axis=0))
+        if totals:
+            total = np.stack([t for _, t in totals.values()])
+            d = total.shape[1] // 2
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([str(r) for r in totals]), pa.array([n for n, _ in totals.values()]),
+                    lists(total[:, :d]), lists(total[:, d:]),
+                ],
+                names=["role", "n", "raw", "clean"],
+            )
+
+    return df.select("role", "role_vec").mapInArrow(
+        run, "role string, n long, raw array<double>, clean array<double>"
+    )
+
+
 def vector_sum(c: Column | str) -> Column:
     """Element-wise sum as an aggregate with map-side partials."""
     c = F.col(c) if isinstance(c, str) else c

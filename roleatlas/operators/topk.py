@@ -20,13 +20,17 @@ WINDOW_ROWS = 200_000
 
 def top_k(
     df: DataFrame, group: list[str], order: list[Column], k: int, key: str = "url_hash",
-    rank: str = "rank",
+    rank: str = "rank", bounded: bool = False,
 ) -> DataFrame:
     """First ``k`` rows per group, for a constant ``k``, ranked from 1.
 
     Two levels: each of ``SALTS`` slices of a group keeps its own first k, so the
-    task that ranks the group sees ``SALTS * k`` rows however large it is.
+    task that ranks the group sees ``SALTS * k`` rows however large it is.  Groups
+    known to be ``bounded`` do without the first level.
     """
+    if bounded:
+        order_all = Window.partitionBy(*group).orderBy(*order)
+        return df.withColumn(rank, F.row_number().over(order_all)).filter(F.col(rank) <= k)
     salt = F.pmod(F.xxhash64(key), F.lit(SALTS)).alias("_salt")
     slices = Window.partitionBy(*group, "_salt").orderBy(*order)
     first = (
@@ -89,7 +93,7 @@ def cut_at_rank(
     boundary = (
         histogram.withColumn("_upto", F.sum("_n").over(running))
         .filter((F.col("_upto") >= width) & (F.col("_upto") - F.col("_n") < width))
-        .select(group, "_bin", "_n", (width - F.col("_upto") + F.col("_n")).alias("_need"))
+        .select(group, "_bin", "_n", "_upto", (width - F.col("_upto") + F.col("_n")).alias("_need"))
         .collect()
     )
     if not boundary:
@@ -98,9 +102,16 @@ def cut_at_rank(
     needs = {r[group]: r["_need"] for r in boundary}
     # A group that is not wider than its cut has no boundary and passes whole.
     edge = F.coalesce(_per_group(F.col(group), bins), F.lit(BINS + 1))
+    order = [F.col(score).desc(), F.col(key)]
+    if max(r["_upto"] for r in boundary) <= window_rows and len(boundary) == len(widths):
+        ranked = binned.filter(F.col("_bin") <= edge).drop("_bin")
+        whole = Window.partitionBy(group).orderBy(*order)
+        return (
+            ranked.withColumn("_rank", F.row_number().over(whole))
+            .filter(F.col("_rank") <= width).drop("_rank")
+        )
     above = binned.filter(F.col("_bin") < edge)
     at_edge = binned.filter(F.col("_bin") == edge)
-    order = [F.col(score).desc(), F.col(key)]
     if max(r["_n"] for r in boundary) <= window_rows:
         ranked = at_edge.withColumn(
             "_rank", F.row_number().over(Window.partitionBy(group).orderBy(*order))

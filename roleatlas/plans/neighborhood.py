@@ -14,12 +14,10 @@ from ..functions.titles import (
     group_contains_any, has_title, normalize_title, title_like_any,
 )
 from ..functions.regex import bind, text
-from ..functions.vectors import (
-    SCORE_DIGITS, apply_transform, centroid_scores, normalize, vector_mean,
-)
+from ..functions.vectors import apply_transform, centroid_scores, role_sums, vector_sum
 from ..operators import layout, panels
-from ..operators.topk import cut_at_rank, top_k
-from ..session import fits_broadcast, materialize
+from ..operators.topk import WINDOW_ROWS, cut_at_rank, top_k
+from ..session import materialize
 
 
 @dataclass(frozen=True)
@@ -51,9 +49,7 @@ def roles_of(title: Column, roles: list[Role]) -> Column:
     rows that pass some loose match.
     """
     loose = [title_like_any(title, list(r.patterns)) for r in roles]
-    any_loose = loose[0]
-    for c in loose[1:]:
-        any_loose = any_loose | c
+    any_loose = title_like_any(title, [p for r in roles for p in r.patterns])
 
     def strict(group: Column) -> Column:
         hits = [
@@ -73,12 +69,13 @@ def role_labels(roles: list[Role]) -> Column:
     return F.element_at(F.create_map(*pairs), F.col("role"))
 
 
-def find_center(listings: DataFrame, roles: list[Role]) -> DataFrame:
+def find_center(
+    listings: DataFrame, roles: list[Role], tags: Column | None = None
+) -> DataFrame:
     """Center listings per role, before they meet their vectors."""
+    tags = roles_of(F.col("title"), roles) if tags is None else tags
     titled = listings.filter(has_title(F.col("title"), F.col("is_active")))
-    return titled.select(
-        "url_hash", "title", "company", "url", F.explode(roles_of(F.col("title"), roles)).alias("role")
-    )
+    return titled.select("url_hash", "title", "company", "url", F.explode(tags).alias("role"))
 
 
 def find_centroids(
@@ -86,24 +83,21 @@ def find_centroids(
 ) -> DataFrame:
     """Per role its size, raw and deconfounded centroid, both of unit length.
 
-    Only keys are joined; a measured small center is broadcast, so the vectors
-    are filtered where they are read.
+    Only keys are joined; the optimizer broadcasts them if they turn out small,
+    and either table may be bucketed by ``url_hash``.
     """
     keys = center.select("url_hash", "role")
-    if fits_broadcast(keys):
-        keys = F.broadcast(keys)
     both = vectors.select("url_hash", "role_vec").join(keys, "url_hash")
-    clean = apply_transform(both.withColumn("_raw", F.col("role_vec")), w, "role_vec", "_clean")
-    means = clean.groupBy("role").agg(
-        F.count("*").alias("n"), vector_mean("_raw").alias("_raw"),
-        vector_mean("_clean").alias("_clean"),
+    sums = role_sums(both, w).groupBy("role").agg(
+        F.sum("n").alias("n"), vector_sum("raw").alias("_raw"), vector_sum("clean").alias("_clean")
     )
 
     def unit(c: str) -> Column:
-        norm = F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x)) + fv.NORM_EPSILON
-        return F.transform(c, lambda x: x / norm)
+        # The sum divided by n, then by its length and the guard.
+        norm = F.sqrt(F.aggregate(c, F.lit(0.0), lambda s, x: s + x * x)) / F.col("n")
+        return F.transform(c, lambda x: x / F.col("n") / (norm + fv.NORM_EPSILON))
 
-    return means.select(
+    return sums.select(
         "role", "n", unit("_raw").alias("raw_centroid"), unit("_clean").alias("clean_centroid")
     )
 
@@ -118,7 +112,7 @@ def per_role(wide: DataFrame, keys: list[str]) -> DataFrame:
         for i, k in enumerate(keys)
     ]
     return wide.select(
-        "url_hash", "title", "company", "url", F.inline(F.array(*named))
+        "url_hash", "title", "company", "url", "center_of", F.inline(F.array(*named))
     )
 
 
@@ -149,7 +143,10 @@ class Neighborhood:
 
     @cached_property
     def center_sample(self) -> DataFrame:
-        return panels.center_sample(self.center, self.settings["max_center_dots"])
+        """At most MAX_CENTER_DOTS rows per role."""
+        return materialize(
+            panels.center_sample(self.center, self.settings["max_center_dots"])
+        )
 
     @property
     def legend(self) -> DataFrame:
@@ -178,9 +175,8 @@ class Neighborhood:
     @cached_property
     def points(self) -> DataFrame:
         """H1 with I4: coordinates, title, company, display group and link."""
+        # The written table's size is known, so the optimizer can broadcast it.
         keys = self.viz.select("role", "url_hash")
-        if fits_broadcast(keys):
-            keys = F.broadcast(keys)
         drawn = self.vectors.select("url_hash", "role_vec").join(keys, "url_hash")
         placed = layout.pca_layout(apply_transform(drawn, self.w, "role_vec", "vec"))
         return self.viz.join(placed, ["role", "url_hash"]).select(
@@ -218,13 +214,15 @@ def find_neighborhood(
         "min_group_size": min_group_size, "max_groups": max_groups,
         "max_center_dots": max_center_dots,
     }
-    # Center listings that have a vector; the inner join of the centroid pass.
-    center = materialize(
-        find_center(listings, roles).join(vectors.select("url_hash"), "url_hash", "left_semi")
-    )
-    centroids = materialize(find_centroids(center, vectors, w))
+    tags = roles_of(F.col("title"), roles)
+    tagged = find_center(listings, roles, tags)
     # One row per role.
-    found = sorted(centroids.collect(), key=lambda r: r["role"])
+    found = sorted(find_centroids(tagged, vectors, w).collect(), key=lambda r: r["role"])
+    centroids = listings.sparkSession.createDataFrame(
+        found, "role string, n long, raw_centroid array<double>, clean_centroid array<double>"
+    )
+    # Center listings that have a vector.
+    center = tagged.join(vectors.select("url_hash"), "url_hash", "left_semi")
     if not found:
         empty = center.select(
             "role", "url_hash", "title", "company", "url", F.lit("").alias("grp"),
@@ -241,19 +239,24 @@ def find_neighborhood(
     titled = listings.filter(has_title(F.col("title"), F.col("is_active")))
     if candidate_filter is not None:
         titled = titled.filter(candidate_filter)
-    joined = titled.select("url_hash", "title", "company", "url").join(scores, "url_hash")
+    joined = titled.select("url_hash", "title", "company", "url", tags.alias("center_of")).join(
+        scores, "url_hash"
+    )
     scored = per_role(materialize(joined), keys)
     widths = {
         r["role"]: max(n * prefetch_factor, n + r["n"] + prefetch_extra) for r in found
     }
     candidates = cut_at_rank(scored, "role", "raw_score", "url_hash", widths)
     # Whether a candidate is a center follows from its title, so no anti-join.
-    in_center = F.array_contains(roles_of(F.col("title"), roles), F.col("role"))
+    in_center = F.array_contains("center_of", F.col("role"))
     others = (
         candidates.filter(~in_center)
         .withColumn("grp", normalize_title(F.col("title"))).filter("grp IS NOT NULL")
     )
-    ranked = top_k(others, ["role"], [F.col("clean_score").desc(), F.col("url_hash")], n)
+    ranked = top_k(
+        others, ["role"], [F.col("clean_score").desc(), F.col("url_hash")], n,
+        bounded=max(widths.values()) <= WINDOW_ROWS,
+    )
     neighbors = materialize(
         ranked.select(
             "role", "url_hash", "title", "company", "url", "grp",
@@ -262,8 +265,3 @@ def find_neighborhood(
     )
     return Neighborhood(roles, center, centroids, neighbors, scored, candidates, vectors, w, n, settings)
 
-
-__all__ = [
-    "BUILTIN_ROLES", "Neighborhood", "Role", "SCORE_DIGITS", "find_center", "find_centroids",
-    "find_neighborhood", "normalize", "parse_role", "role_labels", "roles_of",
-]
