@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.regex import text
 from ..functions.urls import clean_ats_url, url_host
+from ..session import spread
 
 PREFIXES = ["", "Senior ", "Staff ", "Lead "]
 SUFFIXES = ["", " II", " - Remote"]
@@ -29,7 +30,9 @@ RUN_START = "2024-01-04 00:00:00"
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    read = spark.read.parquet(f"{d}/{name}.parquet")
+    # Text is worth spreading: its cleaning costs far more than moving it once.
+    return spread(read) if name in ("documents", "pages") else read
 
 
 def pick(values: list[str], index: Column) -> Column:

@@ -28,7 +28,8 @@ def clean_description(c: Column) -> Column:
         d = F.replace(d, F.lit(entity), F.lit(plain))
     d = F.regexp_replace(d, pattern(fv.NUMERIC_ENTITY_PATTERN), " ")
     d = F.regexp_replace(d, pattern(fv.NAMED_ENTITY_PATTERN), " ")
-    return strip_html(d)
+    # Most texts hold no entity at all; a byte search is cheaper than the passes.
+    return strip_html(F.when(c.contains("&"), d).otherwise(c))
 
 
 def is_garbage_description(c: Column) -> Column:
@@ -61,24 +62,54 @@ def clean_location(c: Column) -> Column:
     return bind(strip(c), kept)
 
 
+# Every section header holds one of these; the last three are letters that match
+# s and i when case is ignored, and so may hide in a header.
+_HEADER_PARTS = [
+    "about th", "what you", "the role", "role overview", "role summary", "job description",
+    "position summary", "position overview", "responsibilities", "in this role", "your role",
+    "the opportunity", "looking for", "re hiring", "duties",
+]
+_HEADER_LETTERS = ["ſ", "İ", "ı"]
+_LONGEST_HEADER = 64
+
+
+def may_hold_header(c: Column) -> Column:
+    """False only if no section header can be found; byte searches, no regex."""
+
+    def found(low: Column) -> Column:
+        hit = low.contains(_HEADER_PARTS[0])
+        for part in _HEADER_PARTS[1:]:
+            hit = hit | low.contains(part)
+        for letter in _HEADER_LETTERS:
+            hit = hit | c.contains(letter)
+        return hit
+
+    return bind(F.lower(c), found)
+
+
 def extract_role_text(c: Column, max_chars: int = fv.ROLE_TEXT_MAX_CHARS) -> Column:
     """The slice of a description that speaks of the role."""
 
     def slice_of(clean: Column) -> Column:
         size = F.length(clean)
-        # Length in characters of what precedes the first section header; the
-        # whole text when there is none, which fails the "first half" test.
+        half = F.floor(size / 2).cast("int")
+        # Only a header that starts in the first half counts, so no more than that
+        # half and the length of a header is searched.
+        window = F.substring(clean, F.lit(1), half + _LONGEST_HEADER)
+        # Length in characters of what precedes the first header; the whole window
+        # when there is none, which fails the "first half" test.
         before = F.length(
-            F.element_at(F.split(clean, pattern(fv.ROLE_SECTION_PATTERN, True), 2), 1)
+            F.element_at(F.split(window, pattern(fv.ROLE_SECTION_PATTERN, True), 2), 1)
         )
         lead, body = fv.ROLE_TEXT_LEAD_CHARS, fv.ROLE_TEXT_BODY_START
         two_windows = F.concat(
             F.substring(clean, 1, lead), F.lit(" "),
             F.substring(clean, body + 1, max_chars - lead),
         )
+        headed = may_hold_header(window) & (before < half)
         return (
             F.when(size <= max_chars, clean)
-            .when(before < F.floor(size / 2), F.substring(clean, before + 1, F.lit(max_chars)))
+            .when(headed, F.substring(clean, before + 1, F.lit(max_chars)))
             .when(size > fv.ROLE_TEXT_LONG, two_windows)
             .otherwise(F.substring(clean, 1, max_chars))
         )

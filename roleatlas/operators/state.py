@@ -194,4 +194,5 @@ def expiry_cutoffs(statuses: DataFrame, now) -> DataFrame:
 def has_description(state: DataFrame, urls: DataFrame) -> DataFrame:
     """Those of ``urls`` that are stored with a real description."""
     described = F.length("description_raw") > fv.KNOWN_CONTENT_MIN_LENGTH
-    return state.filter(described).select("url").join(urls.select("url"), "url", "left_semi")
+    asked = urls.select("url").distinct()
+    return state.filter(described).select("url").join(asked, "url", "left_semi")

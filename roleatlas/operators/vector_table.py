@@ -12,7 +12,7 @@ from ..functions.titles import has_title
 def upsert_vectors(vectors: DataFrame, new: DataFrame) -> DataFrame:
     """Insert or replace by key; the row with the highest ``seq`` wins."""
     latest = new.groupBy("url_hash").agg(F.max_by("role_vec", "seq").alias("role_vec"))
-    kept = vectors.join(new.select("url_hash"), "url_hash", "left_anti")
+    kept = vectors.join(new.select("url_hash").distinct(), "url_hash", "left_anti")
     return kept.select("url_hash", "role_vec").unionByName(latest)
 
 
@@ -33,7 +33,7 @@ def live_vectors(vectors: DataFrame, listings: DataFrame) -> DataFrame:
 
 def vectors_for(vectors: DataFrame, keys: DataFrame) -> DataFrame:
     """The vectors of a set of keys."""
-    return vectors.join(keys.select("url_hash"), "url_hash", "left_semi")
+    return vectors.join(keys.select("url_hash").distinct(), "url_hash", "left_semi")
 
 
 def embedded_keys(vectors: DataFrame) -> DataFrame:

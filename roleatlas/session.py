@@ -58,6 +58,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input too small to fill them by its file splits.
+
+    A table of a few row groups is read by as few tasks, whatever the cluster.
+    One that could fill every core with a full split is left as it is, so nothing
+    large is ever shuffled here.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < cores * split else df
+
+
 def byte_size(df: DataFrame) -> Column:
     """Rough width of a row in bytes, as an expression."""
     total = F.lit(16 * max(len(df.columns), 1)).cast("long")
@@ -81,7 +95,9 @@ def lookup_join(
 
     A measured small lookup is broadcast.  A larger one is joined on the key plus
     a salt: the lookup is repeated once per salt, so that a key holding a large
-    share of ``df`` is spread over ``salts`` tasks and no row is lost.
+    share of ``df`` is spread over ``salts`` tasks and no row is lost.  The salt is
+    a hash of the row, the same on a retry; equal rows share one, and adaptive
+    skew handling splits what is left of them.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")

@@ -122,7 +122,7 @@ def workday_listings(
         text(job["postedOn"]).alias("posted_date"),
     )
     if known_urls is not None:
-        details = details.join(known_urls.select("url"), "url", "left_anti")
+        details = details.join(known_urls.select("url").distinct(), "url", "left_anti")
     markup = F.from_json("body", schemas.WORKDAY_DETAIL)["jobPostingInfo"]["jobDescription"]
     described = (
         details.select(F.col("url").alias("_key"), strip_html(markup).alias("description_raw"))
