@@ -181,6 +181,28 @@ def a6(spark, d):
     return companies.route_boards(listed)
 
 
+@add(
+    "a1_read_companies",
+    """SELECT s_name AS name, 'g' || s_suppkey AS greenhouse_slug, CASE WHEN s_suppkey % 2 = 0 THEN 'l' ELSE '' END AS lever_slug,
+       NULL::VARCHAR AS workday_slug, 'i' || s_nationkey AS industry FROM supplier""",
+)
+def a1(spark, d):
+    """Lists of at most a hundred companies per file, each file one JSON array."""
+    i = col("s_suppkey")
+    row = F.struct(
+        col("s_name").alias("name"), F.concat(F.lit("g"), i.cast("string")).alias("greenhouse_slug"),
+        F.when(i % 2 == 0, "l").otherwise("").alias("lever_slug"),
+        F.concat(F.lit("i"), col("s_nationkey").cast("string")).alias("industry"), F.lit(1).alias("ignored"),
+    )
+    path = scratch_path(spark, "companies")
+    part = F.floor(i / 100).cast("string").alias("part")
+    lists = V.table(spark, d, "supplier").groupBy(part).agg(F.to_json(F.collect_list(row)).alias("value"))
+    lists.write.partitionBy("part").text(path)
+    return companies.read_companies(spark, f"{path}/*").select(
+        "name", "greenhouse_slug", "lever_slug", "workday_slug", "industry"
+    )
+
+
 STATUS = """SELECT company, CASE WHEN timed_out THEN 'timeout' WHEN http_status = 404 THEN 'stale_404'
     WHEN http_status IS NULL THEN 'error' WHEN n_jobs > 0 THEN 'ok' ELSE 'empty' END AS status,
     total > 2000 AS partial FROM v6"""

@@ -2,8 +2,8 @@
 
 Spark 4.1 has no vector functions, and ``aggregate(zip_with(...))`` leaves code
 generation and boxes every element, so the dot products and the matrix product
-run in numpy on whole Arrow batches.  The batches stream through ``mapInArrow``:
-a task never holds more than one of them.
+run in numpy on whole Arrow batches.  The batches stream: a task never holds more
+than one of them.
 """
 
 from __future__ import annotations
@@ -55,20 +55,16 @@ def transform(x: np.ndarray, w: np.ndarray | None) -> np.ndarray:
 
 
 def _map_vectors(df: DataFrame, column: str, out: str, kernel) -> DataFrame:
-    """Replace ``column`` by ``out`` computed batch by batch; other columns pass."""
-    at = df.columns.index(column)
-    keep = [c for c in df.columns if c != column]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != column)
+    """Replace ``column`` by ``out``, computed batch by batch.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                result = lists(kernel(matrix(b.column(at))))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(c) for c in keep] + [result], names=[*keep, out]
-                )
+    Only the vectors go to Python; the other columns stay in the JVM.
+    """
+
+    def run(v: pa.Array) -> pa.Array:
+        return lists(kernel(matrix(v))) if len(v) else pa.array([], pa.list_(pa.float64()))
 
-    return df.mapInArrow(run, f"{fields}, `{out}` array<double>" if keep else f"`{out}` array<double>")
+    computed = F.arrow_udf(run, "array<double>")(F.col(column)).alias(out)
+    return df.select(*[c for c in df.columns if c != column], computed)
 
 
 def apply_transform(

@@ -110,18 +110,19 @@ def _hull(pdf: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def group_hull(core: DataFrame, slices: int = 64) -> DataFrame:
+def group_hull(core: DataFrame, slice_rows: int = 10_000) -> DataFrame:
     """Convex hull of each core of at least three points, counter-clockwise.
 
-    The hull of a group is the hull of its slices' hulls, so no task needs a
-    whole group.
+    The hull of a group is the hull of its slices' hulls, so a group of more than
+    ``slice_rows`` points is never handed to one call.
     """
     size = core.groupBy("role", "grp").agg(F.count("*").alias("_n"))
     usable = lookup_join(
         core.select("role", "grp", "x", "y"), size.filter(F.col("_n") >= fv.MIN_HULL_POINTS),
-        ["role", "grp"], "left_semi",
+        ["role", "grp"], "inner",
     )
     schema = "role string, grp string, vertex int, x double, y double"
-    slice_ = F.pmod(F.xxhash64("x", "y"), F.lit(slices)).alias("_slice")
+    slices = F.ceil(F.col("_n") / slice_rows)
+    slice_ = F.pmod(F.xxhash64("x", "y"), slices).alias("_slice")
     parts = usable.groupBy("role", "grp", slice_).applyInPandas(_hull, schema)
     return parts.groupBy("role", "grp").applyInPandas(_hull, schema)

@@ -201,12 +201,15 @@ def find_neighborhood(
     prefetch_factor: int = fv.PREFETCH_FACTOR, prefetch_extra: int = fv.PREFETCH_EXTRA,
     min_group_size: int = fv.MIN_GROUP_SIZE, max_groups: int = fv.MAX_GROUPS,
     max_center_dots: int = fv.MAX_CENTER_DOTS, candidate_filter: Column | None = None,
+    co_located: bool = False,
 ) -> Neighborhood:
     """J7.  Two passes over the vectors, whatever the number of roles.
 
     Pass 1 reads the center vectors and yields one centroid pair per role, the
     only thing that reaches the driver.  Pass 2 scores every vector against all
-    centroids and drops it; what is shuffled afterwards are keys and doubles.  A
+    centroids and drops it; what is shuffled afterwards are keys and doubles.  If
+    both tables are bucketed by ``url_hash``, say ``co_located``: the join then
+    comes first, needs no exchange, and only rows that join are scored.  A
     ``candidate_filter`` on the listings applies before the prefetch, never after.
     """
     roles = roles or BUILTIN_ROLES
@@ -231,17 +234,17 @@ def find_neighborhood(
         return Neighborhood(roles, center, centroids, empty, None, None, vectors, w, n, settings)
 
     keys = [r["role"] for r in found]
-    scores = centroid_scores(
-        vectors.select("url_hash", "role_vec"),
-        np.array([r["raw_centroid"] for r in found]),
-        np.array([r["clean_centroid"] for r in found]), w,
-    )
+    raw = np.array([r["raw_centroid"] for r in found])
+    clean = np.array([r["clean_centroid"] for r in found])
     titled = listings.filter(has_title(F.col("title"), F.col("is_active")))
     if candidate_filter is not None:
         titled = titled.filter(candidate_filter)
-    joined = titled.select("url_hash", "title", "company", "url", tags.alias("center_of")).join(
-        scores, "url_hash"
-    )
+    titled = titled.select("url_hash", "title", "company", "url", tags.alias("center_of"))
+    held = vectors.select("url_hash", "role_vec")
+    if co_located:
+        joined = centroid_scores(titled.join(held, "url_hash"), raw, clean, w)
+    else:
+        joined = titled.join(centroid_scores(held, raw, clean, w), "url_hash")
     scored = per_role(materialize(joined), keys)
     widths = {
         r["role"]: max(n * prefetch_factor, n + r["n"] + prefetch_extra) for r in found

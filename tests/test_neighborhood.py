@@ -141,6 +141,8 @@ def test_hull_and_flat_axis(spark):
     frame = spark.createDataFrame(square + two, "role string, grp string, url_hash long, x double, y double")
     hull = layout.group_hull(frame).orderBy("grp", "vertex").collect()
     assert [(r["x"], r["y"]) for r in hull] == [(0., 0.), (2., 0.), (2., 2.), (0., 2.)]
+    sliced = layout.group_hull(frame, slice_rows=2).orderBy("grp", "vertex").collect()
+    assert sliced == hull
     flat = layout.rescale(frame.withColumn("y", F.lit(5.0)))
     assert {r["y"] for r in flat.collect()} == {5.0}
     core = layout.group_core(frame).collect()

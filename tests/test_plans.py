@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from roleatlas.catalog import views as V
+from roleatlas.functions.vectors import cosine_scores
 from roleatlas.operators import state as ST
 from roleatlas.operators.vector_table import searchable
 from roleatlas.plans.ingest import run_ingest
-from roleatlas.plans.neighborhood import BUILTIN_ROLES, find_center
+from roleatlas.plans.neighborhood import BUILTIN_ROLES, find_center, find_neighborhood
 from roleatlas.session import shared_dir
 from roleatlas.sources import snapshots
 from roleatlas.streaming import landed
@@ -57,6 +58,13 @@ def test_bucketed_tables_join_without_exchange(spark, sf):
         text = plan(joined)
         assert "SortMergeJoin" in text and "Exchange" not in text
         assert joined.count() == searchable(V.listings_of(v2), V.vectors_of(v2)).count()
+        # Scored after the join, the pass over the vectors has no exchange at all.
+        text = plan(cosine_scores(joined, [[1.0] * 64]))
+        assert "ArrowEvalPython" in text and "Exchange" not in text
+        settings = {"roles": BUILTIN_ROLES[:2], "n": 20, "prefetch_extra": 0}
+        one = find_neighborhood(spark.table("listings_b"), spark.table("vectors_b"), co_located=True, **settings)
+        two = find_neighborhood(V.listings_of(v2), V.vectors_of(v2), **settings)
+        assert sorted(one.neighbors.collect()) == sorted(two.neighbors.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

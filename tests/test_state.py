@@ -69,6 +69,15 @@ def test_upsert(make_state, make_batch):
     assert [tuple(r) for r in ST.collapsed_urls(batch.filter("url <> ''")).collect()] == [("https://x.greenhouse.io/1", 2)]
 
 
+def test_hot_url(spark, make_state, make_batch):
+    """A third of a batch on one URL: the last non-empty value of each column wins."""
+    rows = [{"url": "hot" if i % 3 == 0 else f"u{i}", "title": f"t{i}" if i % 2 else "", "description_raw": "x" * 60,
+             "location": f"l{i}" if i < 100 else ""} for i in range(600)]
+    out = by_url(ST.upsert_listings(make_state(("hot", {"title": "old"})), make_batch(*rows).repartition(6), NOW))
+    assert len(out) == 401
+    assert (out["hot"]["title"], out["hot"]["location"]) == ("t597", "l99")
+
+
 def test_upsert_hashes_new_urls(spark, make_state, make_batch):
     out = ST.upsert_listings(make_state(), make_batch({"url": "https://example.com/a", "title": "t"}), NOW)
     assert out.first()["url_hash"] == 8235568502841796004
