@@ -230,7 +230,7 @@ def a9(spark, d):
 @add(
     "a10_load_dump",
     with_views(["v4"], """SELECT url, url_hash, title, description_raw, location, scraped_at, last_refreshed,
-        is_active, round(url_hash * 0.25, 4) AS x FROM v4"""),
+        is_active, round(url_hash * 0.25::DOUBLE, 4) AS x FROM v4"""),
 )
 def a10(spark, d):
     state = V.prior_state(spark, d)
