@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
@@ -34,7 +34,7 @@ def pca_layout(points: DataFrame) -> DataFrame:
     plane = points.select("role", "url_hash", "vec").groupBy("role").applyInPandas(
         _principal_plane, "role string, url_hash long, x double, y double"
     )
-    return rescale(plane)
+    return rescale(plane, bounded=True)
 
 
 def axis_bounds(plane: DataFrame) -> DataFrame:
@@ -45,8 +45,12 @@ def axis_bounds(plane: DataFrame) -> DataFrame:
     )
 
 
-def rescale(plane: DataFrame) -> DataFrame:
-    """each axis to [-1, 1] per role; a flat axis stays as it is."""
+def rescale(plane: DataFrame, bounded: bool = False) -> DataFrame:
+    """each axis to [-1, 1] per role; a flat axis stays as it is.
+
+    The bounds are joined back, so a role of any size stays spread; for roles
+    known to be ``bounded`` a window spares the second pass over the input.
+    """
 
     def scaled(c: str):
         low, span = F.col(f"min_{c}"), F.col(f"max_{c}") - F.col(f"min_{c}")
@@ -55,8 +59,14 @@ def rescale(plane: DataFrame) -> DataFrame:
             F.when(span > fv.MIN_SPAN, moved).otherwise(F.col(c)), fv.COORDINATE_DIGITS
         )
 
-    bounded = lookup_join(plane, axis_bounds(plane), ["role"], "inner")
-    return bounded.select(
+    if bounded:
+        role = Window.partitionBy("role")
+        with_bounds = plane.withColumns({
+            f"{f.__name__}_{c}": f(c).over(role) for f in (F.min, F.max) for c in ("x", "y")
+        })
+    else:
+        with_bounds = lookup_join(plane, axis_bounds(plane), ["role"], "inner")
+    return with_bounds.select(
         *[c for c in plane.columns if c not in ("x", "y")],
         scaled("x").alias("x"), scaled("y").alias("y"),
     )

@@ -145,5 +145,6 @@ def test_hull_and_flat_axis(spark):
     assert sliced == hull
     flat = layout.rescale(frame.withColumn("y", F.lit(5.0)))
     assert {r["y"] for r in flat.collect()} == {5.0}
+    assert sorted(flat.collect()) == sorted(layout.rescale(frame.withColumn("y", F.lit(5.0)), bounded=True).collect())
     core = layout.group_core(frame).collect()
     assert len(core) == 5 and all(r["grp"] == "g" for r in core)
