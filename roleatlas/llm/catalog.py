@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry
-from . import exact_dedup, mixing, packing, toxicity
+from . import exact_dedup, html_extract, mixing, near_dedup, packing, toxicity
 
 registry = Registry()
 
@@ -96,3 +96,17 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(docs)
     digest = F.lower(F.hex("digest")).alias("text_sha256")
     return groups.select("doc_id", "keep_id", "group_size", "kept", digest)
+
+
+@registry.add("op5_html_text")
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    n_chars = F.char_length("text").cast("long").alias("n_chars")
+    return html_extract.extract_text(pages).select("page_id", "url", "text", n_chars)
+
+
+@registry.add("op10_near_dedup")
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    groups = near_dedup.near_groups(docs)
+    return groups.withColumn("kept", F.col("doc_id") == F.col("class_id"))
