@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry
-from . import exact_dedup, html_extract, mixing, near_dedup, packing, toxicity
+from . import exact_dedup, html_extract, knn_join, line_dedup, lm_score, mixing, near_dedup, packing, toxicity
 
 registry = Registry()
 
@@ -110,3 +110,57 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     groups = near_dedup.near_groups(docs)
     return groups.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
+@registry.add("op6_lm_score")
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = toxicity.fold("doc_id", 7) == 2
+    scores = lm_score.lm_scores(docs, ~held_out)
+    return scores.select("doc_id", held_out.alias("held_out"), *scores.columns[1:])
+
+
+VECTOR_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+  FROM whole q JOIN whole d ON q.vec_id % 50 = 0 AND d.vec_id <> q.vec_id)
+SELECT query_id, rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+WHERE rank <= 5
+"""
+
+
+@registry.add("op4_vector_top_k", VECTOR_SQL)
+def op4_vector_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return knn_join.voronoi_top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
+LINE_SQL = f"""
+WITH lines AS (
+  SELECT doc_id, coalesce('s' || source, '') AS site, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS place
+  FROM documents),
+spread AS (
+  SELECT trim(line, chr(32) || chr(9) || chr(13)) AS line FROM lines
+  WHERE trim(line, chr(32) || chr(9) || chr(13)) <> ''
+  GROUP BY 1 HAVING count(DISTINCT site) >= {line_dedup.SITES}),
+kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY place) FILTER (s.line IS NULL) AS text,
+         count(*) AS n_lines, count(s.line) AS n_removed
+  FROM lines l LEFT JOIN spread s ON trim(l.line, chr(32) || chr(9) || chr(13)) = s.line
+  GROUP BY l.doc_id)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
+       coalesce(k.n_lines, 0)::INTEGER AS n_lines, coalesce(k.n_removed, 0)::INTEGER AS n_removed
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
+
+
+@registry.add("op9_line_dedup", LINE_SQL)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.drop_spread_lines(docs).select("doc_id", "text", "n_lines", "n_removed")

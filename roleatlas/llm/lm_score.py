@@ -1,0 +1,389 @@
+"""Language-model scores of texts by prediction by partial matching over bytes."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..session import materialize
+from .common import col, fresh
+from .words import find_words, slices
+
+# Contexts: the word so far, up to DEPTH bytes, then its last 2, 1 and 0 bytes.
+DEPTH = 12
+WORD_END, TEXT_END, SYMBOLS = 256, 257, 258
+# The most frequent words are scored where the text is read; their table has at most so many rows.
+FREQUENT = 1 << 18
+WORDS_PER_SLICE = 150_000
+
+
+def word_counts(docs: DataFrame, training: Column, text_col: str) -> DataFrame:
+    """``hash, word, n``: every distinct word of the texts, with its count in training texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in slices(batch.column(0), 8 << 20):
+                part = batch.slice(a, b - a)
+                words = find_words(part.column(0))
+                learnt = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                hashes, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
+                n = np.bincount(which, learnt[words.text], len(hashes)).astype(np.int64)
+                cells = [hashes.view(np.int64), pa.array(words.strings(first), pa.binary()), n]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["hash", "word", "n"])
+
+    rows = docs.select(col(text_col), training.alias("training"))
+    partial = rows.mapInArrow(count, "hash long, word binary, n long")
+    return partial.groupBy("hash", "word").agg(F.sum("n").alias("n"))
+
+
+class Lower:
+    """Contexts of two, one and no bytes, with escapes and symbol exclusion.
+
+    ``key`` is (context of two bytes) * SYMBOLS + symbol, for 256 ** 2 contexts at most.
+    """
+
+    def __init__(self, key: np.ndarray, n: np.ndarray) -> None:
+        order = np.argsort(key)
+        self.key, self.n = key[order], n[order]
+        self.known: dict[int, np.ndarray] = {}
+        one = np.zeros((257, SYMBOLS))
+        np.add.at(one, ((self.key // SYMBOLS) % 257, self.key % SYMBOLS), self.n)
+        self.one, self.none = one, one.sum(axis=0)
+
+    def counts(self, context: int) -> list[np.ndarray]:
+        lo, hi = np.searchsorted(self.key, [context * SYMBOLS, (context + 1) * SYMBOLS])
+        two = np.zeros(SYMBOLS)
+        two[self.key[lo:hi] % SYMBOLS] = self.n[lo:hi]
+        return [two, self.one[context % 257], self.none]
+
+    def log10(self, context: int, excluded: np.ndarray | None = None) -> np.ndarray:
+        """log10 of the probability of each symbol after the context."""
+        if excluded is None:
+            if context not in self.known:
+                self.known[context] = self.log10(context, np.zeros(SYMBOLS, bool))
+            return self.known[context]
+        gone, mass, p = excluded.copy(), 1.0, np.zeros(SYMBOLS)
+        for counts in self.counts(context):
+            left = np.where(gone, 0, counts)
+            total, kinds = left.sum(), np.count_nonzero(left)
+            if total:
+                p += mass * left / (total + kinds)
+                mass *= kinds / (total + kinds)
+                gone |= left > 0
+        rest = ~gone
+        if rest.any():
+            p[rest] += mass / rest.sum()
+        with np.errstate(divide="ignore"):
+            return np.log10(p)
+
+
+def contexts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(context of two bytes) * SYMBOLS + symbol at each byte and end of words, and whose it is.
+
+    Byte values count from 1, so 0 stands for what would be before the word.
+    """
+    size = end - start + 1
+    first = np.cumsum(size) - size
+    flat = np.arange(size.sum()) - np.repeat(first, size)
+    at = flat + np.repeat(start, size)
+    padded = np.append(data.astype(np.int64), 0)
+    symbol = padded[np.minimum(at, len(data))]
+    symbol[first + size - 1] = WORD_END
+    one = np.where(flat > 0, padded[at - 1] + 1, 0)
+    two = np.where(flat > 1, padded[at - 2] + 1, 0)
+    return (two * 257 + one) * SYMBOLS + symbol, np.repeat(np.arange(len(size)), size)
+
+
+class Slice:
+    """The words of one range of the sorted vocabulary, as a trie of their beginnings."""
+
+    def __init__(self, words: pa.Array, n: np.ndarray) -> None:
+        offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1]
+        self.data = np.frombuffer(words.buffers()[2], np.uint8)
+        self.start, self.end = offsets[:-1].astype(np.int64), offsets[1:].astype(np.int64)
+        self.size, self.n = self.end - self.start, n
+        self.table = np.zeros((len(n), DEPTH + 1), np.int64)  # the symbol after each beginning
+        for d in range(DEPTH + 1):
+            inside = self.size > d
+            self.table[inside, d] = self.data[self.start[inside] + d]
+            self.table[self.size == d, d] = WORD_END
+            self.table[self.size < d, d] = -1
+
+    def nodes(self, d: int) -> tuple[np.ndarray, np.ndarray]:
+        """The words with a beginning of ``d`` bytes, and the number of each one's beginning."""
+        has = np.flatnonzero(self.size >= d)
+        new = np.zeros(len(has), bool)
+        new[:1] = True
+        new[1:] = np.diff(has) > 1
+        for k in range(d):
+            new[1:] |= self.table[has[1:], k] != self.table[has[:-1], k]
+        return has, np.cumsum(new) - 1
+
+    def edge_rows(self) -> list[tuple[bytes, int, int]]:
+        """Counts after the beginnings of the first and last word, which other slices may share."""
+        rows = []
+        edges = {}
+        for i in (0, len(self.n) - 1):
+            word = self.data[self.start[i]:self.end[i]].tobytes()
+            edges |= {word[:d]: i for d in range(min(len(word), DEPTH) + 1)}
+        for begin, i in edges.items():
+            d = len(begin)
+            same = self.size >= d
+            for k in range(d):
+                same &= self.table[:, k] == self.table[i, k]
+            counts = np.bincount(self.table[same, d], self.n[same], SYMBOLS)
+            # A row of no count keeps a beginning known that has none here.
+            rows += [(begin, int(s), int(counts[s])) for s in np.flatnonzero(counts)] or [(begin, -1, 0)]
+        return rows
+
+    def score(self, lower: Lower, shared: dict[bytes, np.ndarray]) -> np.ndarray:
+        """log10 of the probability of each word with its end."""
+        out = np.zeros(len(self.n))
+        key, whose = contexts(self.data, self.start, self.end)
+        depth = np.arange(len(key)) - np.repeat(np.cumsum(self.size + 1) - self.size - 1, self.size + 1)
+        covered = np.zeros(len(key), bool)
+        first = np.cumsum(self.size + 1) - self.size - 1
+        escapes = []
+        for d in range(DEPTH + 1):
+            has, node = self.nodes(d)
+            if not len(has):
+                break
+            symbol = self.table[has, d]
+            pair, inverse = np.unique(node * SYMBOLS + symbol, return_inverse=True)
+            count = np.bincount(inverse, self.n[has], len(pair))
+            total = np.bincount(pair // SYMBOLS, count)
+            kinds = np.bincount(pair // SYMBOLS, count > 0)
+            mine, sum_, kind = count[inverse], total[node], kinds[node]
+            for i in {0, len(has) - 1}:
+                word = self.data[self.start[has[i]]:self.start[has[i]] + d].tobytes()
+                if word in shared:  # counts of all slices
+                    same = node == node[i]
+                    counts = shared[word]
+                    mine[same] = counts[symbol[same]]
+                    sum_[same], kind[same] = counts.sum(), np.count_nonzero(counts)
+            seen = mine > 0
+            np.add.at(out, has[seen], np.log10(mine[seen] / (sum_[seen] + kind[seen])))
+            covered[first[has[seen]] + d] = True
+            escape = (~seen) & (sum_ > 0)
+            np.add.at(out, has[escape], np.log10(kind[escape] / (sum_[escape] + kind[escape])))
+            covered[first[has[escape]] + d] = True
+            for i in np.flatnonzero(escape):
+                excluded = np.zeros(SYMBOLS, bool)
+                begin = self.data[self.start[has[i]]:self.start[has[i]] + d].tobytes()
+                if begin in shared:
+                    excluded = shared[begin] > 0
+                else:
+                    lo, hi = np.searchsorted(pair, [node[i] * SYMBOLS, (node[i] + 1) * SYMBOLS])
+                    excluded[pair[lo:hi][count[lo:hi] > 0] % SYMBOLS] = True
+                place = first[has[i]] + d
+                escapes.append((has[i], lower.log10(int(key[place] // SYMBOLS), excluded)[symbol[i]]))
+        if escapes:
+            np.add.at(out, np.array([w for w, _ in escapes]), np.array([p for _, p in escapes]))
+        rest = np.flatnonzero(~covered)
+        if len(rest):
+            context, symbol = key[rest] // SYMBOLS, key[rest] % SYMBOLS
+            value = np.empty(len(rest))
+            for one in np.unique(context):
+                at = np.flatnonzero(context == one)
+                value[at] = lower.log10(int(one))[symbol[at]]
+            np.add.at(out, whose[rest], value)
+        return out
+
+
+def sorted_slices(vocabulary: DataFrame, words: int) -> DataFrame:
+    """The vocabulary in ranges of the words, each numbered and small enough for a task."""
+    slices_ = max(1, -(-words // WORDS_PER_SLICE))
+    ranged = vocabulary.repartitionByRange(slices_, "word")
+    return materialize(ranged.withColumn("slice", F.spark_partition_id()))
+
+
+def lower_counts(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts of symbols after two bytes: one row per context and symbol at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = Slice(batch.column(0), batch.column(1).to_numpy(zero_copy_only=False))
+            key, whose = contexts(part.data, part.start, part.end)
+            keys, which = np.unique(key, return_inverse=True)
+            n = np.bincount(which, part.n[whose], len(keys)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "n"])
+
+    partial = vocabulary.filter("n > 0").select("word", "n").mapInArrow(count, "key long, n long")
+    rows = partial.groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    return rows["key"].to_numpy(), rows["n"].to_numpy()
+
+
+def read_slice(group: pa.Table) -> tuple[pa.Table, Slice]:
+    group = group.combine_chunks().sort_by("word")
+    return group, Slice(group["word"].chunk(0), group["n"].to_numpy())
+
+
+def score_words(sliced: DataFrame, lower: tuple[np.ndarray, np.ndarray], text_ends: int) -> DataFrame:
+    """``hash, n, p``: log10 of the probability of each word and its end.
+
+    A beginning whose words lie in several slices is one of the first or the last word
+    of each of them, so only the counts after these are summed over slices and joined
+    back; all others are known within a slice.
+    """
+
+    def edges(group: pa.Table) -> pa.Table:
+        at = group["slice"][0].as_py()
+        rows = read_slice(group)[1].edge_rows()
+        begin, symbol, n = zip(*rows)
+        return pa.table({
+            "slice": pa.array([at] * len(rows), pa.int32()), "begin": pa.array(begin, pa.binary()),
+            "symbol": pa.array(symbol, pa.int32()), "n": pa.array(n, pa.int64()),
+        })
+
+    edge = materialize(
+        sliced.groupBy("slice").applyInArrow(edges, "slice int, begin binary, symbol int, n long")
+    )
+    summed = edge.groupBy("begin", "symbol").agg(F.sum("n").alias("n"))
+    shared = edge.select("slice", "begin").distinct().join(summed, "begin")
+
+    def score(words: pa.Table, counts: pa.Table) -> pa.Table:
+        known: dict[bytes, np.ndarray] = {}
+        for begin, symbol, n in zip(*(counts[c].to_pylist() for c in ("begin", "symbol", "n"))):
+            row = known.setdefault(begin, np.zeros(SYMBOLS))
+            if symbol >= 0:
+                row[symbol] = n
+        if b"" in known:
+            known[b""][TEXT_END] = text_ends
+        if not words.num_rows:
+            none = pa.array([], pa.int64())
+            return pa.table({"hash": none, "n": none, "p": pa.array([], pa.float64())})
+        table, part = read_slice(words)
+        p = part.score(Lower(*lower), known)
+        return pa.table({"hash": table["hash"], "n": table["n"], "p": pa.array(p)})
+
+    both = sliced.groupBy("slice").cogroup(shared.groupBy("slice"))
+    return both.applyInArrow(score, "hash long, n long, p double")
+
+
+def text_rows(
+    docs: DataFrame, id_col: str, text_col: str, frequent: tuple[np.ndarray, np.ndarray, np.ndarray],
+) -> DataFrame:
+    """A row of sums per text over its frequent words, and a row per other word of it.
+
+    ``row`` numbers the texts; ``hash`` of a row of sums is arbitrary, so that these
+    rows spread like the others.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts, p = frequent
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for a, b in slices(batch.column(1)):
+                ids = batch.column(0).slice(a, b - a)
+                words = find_words(batch.column(1).slice(a, b - a))
+                texts = len(ids)
+                hash_ = words.hash.view(np.int64)
+                at = np.searchsorted(hashes, hash_)
+                at[at == len(hashes)] = 0
+                hit = hashes[at] == hash_ if len(hashes) else np.zeros(len(hash_), bool)
+                at, of = at[hit], words.text[hit]
+                sums = [
+                    np.bincount(words.text, minlength=texts).astype(np.int64),
+                    np.bincount(of, counts[at] > 0, texts).astype(np.int64),
+                    np.bincount(of, np.log10(counts[at] + 1.0), texts), np.bincount(of, p[at], texts),
+                ]
+                # A number of a text in a slice has few bits; the pairs are told apart by both parts.
+                rare_text, rare_hash = words.text[~hit], hash_[~hit]
+                order = np.lexsort((rare_hash, rare_text))
+                rare_text, rare_hash = rare_text[order], rare_hash[order]
+                new = np.ones(len(order), bool)
+                new[1:] = (rare_hash[1:] != rare_hash[:-1]) | (rare_text[1:] != rare_text[:-1])
+                first = np.flatnonzero(new)
+                times = np.diff(np.append(first, len(order)))
+                rare_text, rare_hash = rare_text[first], rare_hash[first]
+                rows = row + np.arange(texts)
+                spread = (rows * 0x9E3779B97F4A7C1 + 1) & 0x7FFFFFFFFFFFFFFF
+                nothing = np.zeros(len(first))
+                none = nothing.astype(np.int64)
+                cells = [
+                    pa.array(np.append(rows, row + rare_text)),
+                    pa.concat_arrays([ids, pa.nulls(len(first), ids.type)]),
+                    pa.array(np.append(spread, rare_hash)),
+                    pa.array(np.append(np.zeros(texts, np.int32), times.astype(np.int32))),
+                ]
+                cells += [pa.array(np.append(s, none if s.dtype == np.int64 else nothing)) for s in sums]
+                yield pa.RecordBatch.from_arrays(
+                    cells, ["row", "id", "hash", "times", "n_tokens", "n_known", "base", "p"]
+                )
+                row += texts
+
+    return docs.select(col(id_col), col(text_col)).mapInArrow(
+        read, f"row long, id {kind}, hash long, times int, n_tokens long, n_known long, base double, p double"
+    )
+
+
+def lm_scores(
+    docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """log10 probability of every text under a byte model learnt from the ``training`` rows.
+
+    Tokens are the words of the text, A-Z lowered, and one text end.  A word is coded
+    byte by byte with its end.  The context of a byte is the word so far, up to DEPTH
+    bytes; a byte that was not seen there costs an escape (the number of kinds seen
+    over their count plus that number) and is looked for after the last two bytes, the
+    last one, and none, each time without the symbols of the contexts before, and at
+    last among all that are left.  Contexts do not reach over white space, so a word
+    costs the same wherever it stands: the trie is built from, and read by, distinct
+    words in sorted ranges, and texts only add up their words.
+
+    Columns: the id, ``n_tokens``, ``n_known`` (tokens seen in training),
+    ``train_tokens``, ``base_score`` (add-one unigram) and ``score``.
+
+    Frequent words (a table of fixed size) are added where the text is read, all
+    others by a join on their hash, so no word is a hot key.  Words are told apart by
+    64 bits of hash.  Nulls: a null text is empty and has the text end alone; null ids
+    stay, and each row is scored by itself, repeated ids or not.  Without training
+    texts every symbol is alike.  No rows give no rows.
+    """
+    (flag,) = fresh(docs, "_training")
+    docs = docs.select(col(id_col), col(text_col), F.coalesce(training, F.lit(False)).alias(flag))
+    vocabulary = materialize(word_counts(docs, col(flag), text_col))
+    totals = vocabulary.agg(
+        F.count(F.lit(1)).alias("all"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.count_if(F.col("n") > 0).alias("kinds"),
+    ).first()
+    ends = docs.filter(col(flag)).count()
+    tokens, kinds = totals["n"] + ends, totals["kinds"] + (ends > 0)
+    sliced = sorted_slices(vocabulary, totals["all"])
+    key, n = lower_counts(sliced)
+    lower = np.append(key, TEXT_END), np.append(n, ends)
+    scored = materialize(score_words(sliced, lower, ends))
+    root = Lower(*lower).one[0]
+    if ends:
+        end_score = float(np.log10(ends / (root.sum() + np.count_nonzero(root))))
+    else:
+        end_score = float(Lower(*lower).log10(0)[TEXT_END])
+
+    # FREQUENT rows at most.
+    top = scored.orderBy(F.col("n").desc(), "hash").limit(FREQUENT).orderBy("hash").toArrow()
+    frequent = tuple(top[c].to_numpy() for c in ("hash", "n", "p"))
+    rows = text_rows(docs, id_col, text_col, frequent)
+    known = scored.withColumnsRenamed({"n": "word_n", "p": "word_p"})
+    rare = F.col("times") > 0
+    valued = rows.join(known, "hash", "left").select(
+        "row", "id", "n_tokens",
+        F.when(rare & (F.col("word_n") > 0), F.col("times")).otherwise(F.col("n_known")).alias("n_known"),
+        F.when(rare, F.col("times") * F.log10(F.col("word_n") + 1.0)).otherwise(F.col("base")).alias("base"),
+        F.when(rare, F.col("times") * F.col("word_p")).otherwise(F.col("p")).alias("p"),
+    )
+    sums = valued.groupBy("row").agg(
+        F.max("id").alias("id"), *[F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "p")]
+    )
+    floor = float(np.log10(tokens + kinds + 1))
+    return sums.select(
+        F.col("id").alias(id_col), (F.col("n_tokens") + 1).alias("n_tokens"),
+        (F.col("n_known") + int(ends > 0)).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
+        (F.col("base") + F.lit(float(np.log10(ends + 1))) - (F.col("n_tokens") + 1) * floor).alias("base_score"),
+        (F.col("p") + end_score).alias("score"),
+    )
