@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry
-from . import exact_dedup, html_extract, knn_join, line_dedup, lm_score, mixing, near_dedup, packing, toxicity
+from . import exact_dedup, html_extract, knn_join, line_dedup, lm_score, mixing, near_dedup, packing
+from . import suffix_dedup, toxicity
 
 registry = Registry()
 
@@ -164,3 +165,14 @@ FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return line_dedup.drop_spread_lines(docs).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@registry.add("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = suffix_dedup.remove_repeats(docs)
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
