@@ -20,6 +20,7 @@ POSITIVES = 6000
 UNLABELLED = 14000
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
+PRIOR_TEXTS = 5.0
 # Words are runs of ASCII letters and of bytes beyond ASCII.
 NOT_LETTERS = np.array([not (chr(b).isalpha() if b < 128 else True) for b in range(256)])
 
@@ -70,8 +71,20 @@ def sample_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str)
     return texts.join(F.broadcast(chosen), "id")  # POSITIVES + UNLABELLED ids at most
 
 
-def screen(sample: DataFrame, positives: int, unlabelled: int) -> np.ndarray:
-    """The FEATURES buckets most in excess among the confirmed texts, each in two at least."""
+def first_weights(p: np.ndarray, u: np.ndarray, n: tuple[int, int], prior: float) -> np.ndarray:
+    """Weight of evidence of features in ``p`` confirmed and ``u`` unlabelled of ``n`` texts.
+
+    The share of toxic texts among the unlabelled ones with a feature is what the
+    confirmed texts lead to expect over what was counted, with PRIOR_TEXTS texts of the
+    common share added, so that a feature seen a few times says little.
+    """
+    expected = prior * n[1] * p / n[0]
+    share = np.clip((expected + prior * PRIOR_TEXTS) / (u + PRIOR_TEXTS), 1e-4, 0.995)
+    return np.log(share / (1 - share)) - np.log(prior / (1 - prior))
+
+
+def screen(sample: DataFrame, n: tuple[int, int], prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """The FEATURES buckets with the most evidence for toxicity, and their first weights."""
     everything = np.ones(BUCKETS, bool)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,22 +94,29 @@ def screen(sample: DataFrame, positives: int, unlabelled: int) -> np.ndarray:
                 part = batch.slice(a, b - a)
                 text, bucket = present(part.column(1), everything)
                 label = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                np.add.at(counts, (label[text], bucket), 1)
-        used = np.flatnonzero(counts.any(axis=0))
-        cells = [pa.array(used), pa.array(counts[1, used]), pa.array(counts[0, used])]
+                counts += np.bincount(label[text] * BUCKETS + bucket, minlength=2 * BUCKETS).reshape(2, BUCKETS)
+        used = np.flatnonzero(counts[1])
+        other = np.flatnonzero(counts[0])
+        cells = [
+            pa.array(np.append(used, other)),
+            pa.array(np.append(counts[1, used], np.zeros_like(other))),
+            pa.array(np.append(np.zeros_like(used), counts[0, other])),
+        ]
         yield pa.RecordBatch.from_arrays(cells, ["bucket", "p", "u"])
 
     counted = sample.select("positive", "text").mapInArrow(count, "bucket long, p long, u long")
-    rate = F.sqrt(F.col("p") / F.lit(float(positives))) - F.sqrt(F.col("u") / F.lit(float(unlabelled)))
-    best = (
-        counted.groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u"))
-        .filter("p >= 2").orderBy(rate.desc(), "bucket").limit(FEATURES)
-    )
-    return np.array(sorted(r["bucket"] for r in best.select("bucket").collect()), np.int64)
-
-
-def design(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The fitted rows' labels and 0/1 features, at most (POSITIVES + UNLABELLED) x FEATURES."""
+    seen = counted.groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).filter("p >= 2")
+    # One row per bucket at most.
+    rows = seen.toArrow().sort_by("bucket")
+    bucket, p, u = (rows[c].to_numpy() for c in ("bucket", "p", "u"))
+    weight = first_weights(p, u, n, prior)
+    best = np.argsort(-(weight * np.sqrt(p)), kind="stable")[:FEATURES]
+    best = np.sort(best[weight[best] > 0])
+    return bucket[best], weight[best]
+
+
+def design(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The fitted rows' labels, and (row, feature) pairs of the features that they have."""
     wanted = np.zeros(BUCKETS, bool)
     wanted[features] = True
 
@@ -113,47 +133,44 @@ def design(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, np.ndar
 
     rows = sample.select("positive", "text", F.xxhash64("id").alias("id_hash")).mapInArrow(
         reduce, "id_hash long, positive boolean, buckets array<bigint>"
-    ).collect()
+    ).collect()  # POSITIVES + UNLABELLED rows at most, FEATURES numbers each
     rows.sort(key=lambda r: (r["positive"], r["id_hash"], r["buckets"]))
-    x = np.zeros((len(rows), len(features)), bool)
-    for i, row in enumerate(rows):
-        x[i, np.searchsorted(features, np.array(row["buckets"], np.int64))] = True
-    return np.array([r["positive"] for r in rows], bool), x
+    row = np.repeat(np.arange(len(rows)), [len(r["buckets"]) for r in rows])
+    bucket = np.array([b for r in rows for b in r["buckets"]], np.int64)
+    return np.array([r["positive"] for r in rows], bool), row, np.searchsorted(features, bucket)
 
 
 def fit_nnpu(
-    positive: np.ndarray, x: np.ndarray, prior: float, seed: int = 0, steps: int = 400,
-    batch: int = 2000, rate: float = 0.05, decay: float = 1e-4,
+    positive: np.ndarray, row: np.ndarray, feature: np.ndarray, first: np.ndarray, prior: float,
+    seed: int = 0, steps: int = 600, rate: float = 0.03, decay: float = 1e-4,
 ) -> tuple[np.ndarray, float]:
-    """A linear classifier of least non-negative risk; ``x`` has 0/1 rows.
+    """A linear classifier of least non-negative risk over rows with 0/1 features.
 
     With loss l(z) = log(1 + exp(-z)) the risk is prior * E_P l(z) + max(0, E_U l(-z)
     - prior * E_P l(-z)).  Where the second part is negative, the step goes back up
-    it, so the confirmed texts can't be told apart by heart.
+    it, so the confirmed texts can't be told apart by heart.  Rows are weighted by a
+    bootstrap that the seed draws.
     """
-    rng = np.random.default_rng(seed)
-    ours, theirs = x[positive], x[~positive]
-    w, b = np.zeros(x.shape[1], np.float32), np.float32(np.log(prior / (1 - prior)))
-    m, v = np.zeros(len(w) + 1, np.float32), np.zeros(len(w) + 1, np.float32)
+    times = np.random.default_rng(seed).poisson(1.0, len(positive)).astype(float)
+    ours, theirs = times * positive, times * ~positive
+    ours, theirs = ours / max(ours.sum(), 1), theirs / max(theirs.sum(), 1)
+    w, b = first.astype(float).copy(), float(np.log(prior / (1 - prior)))
+    m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, steps + 1):
-        p = ours[rng.integers(0, len(ours), min(batch, len(ours)))].astype(np.float32)
-        u = theirs[rng.integers(0, len(theirs), min(batch, len(theirs)))].astype(np.float32)
-        zp, zu = p @ w + b, u @ w + b
-        p_like, u_like = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
-        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        # Derivatives by z, as means: of l(z) it is like - 1, of l(-z) it is like.
-        dp, du = prior * (p_like - 1) / len(p), np.zeros_like(zu)
-        down_p, down_u = -prior * p_like / len(p), u_like / len(u)
-        if negative >= 0:
-            dp, du = dp + down_p, down_u
-        else:
-            dp, du = -down_p, -down_u
-        grad = np.append(p.T @ dp + u.T @ du + decay * w, dp.sum() + du.sum())
+        z = np.clip(np.bincount(row, w[feature], len(positive)) + b, -40, 40)
+        like = 1 / (1 + np.exp(-z))
+        cost = np.logaddexp(0, z)
+        negative = theirs @ cost - prior * (ours @ cost)
+        # Derivatives by z: of l(z) it is like - 1, of l(-z) it is like.
+        up = prior * ours * (like - 1)
+        down = theirs * like - prior * ours * like
+        dz = up + down if negative >= 0 else -down
+        grad = np.append(np.bincount(feature, dz[row], len(w)) + decay * w, dz.sum())
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad**2
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    return w, float(b)
+    return w, b
 
 
 def fit_toxicity(
@@ -171,10 +188,10 @@ def fit_toxicity(
         prior = labels.agg(F.avg(F.when(F.col("toxic") == 1, 1.0).otherwise(0.0))).first()[0]
     if not counts.get(True) or not counts.get(False) or not prior:
         return None
-    features = screen(sample, counts[True], counts[False])
-    positive, x = design(sample, features)
     prior = min(max(prior, 0.001), 0.9)
-    fits = [fit_nnpu(positive, x, prior, seed) for seed in range(members)]
+    features, first = screen(sample, (counts[True], counts[False]), prior)
+    positive, row, feature = design(sample, features)
+    fits = [fit_nnpu(positive, row, feature, first, prior, seed) for seed in range(members)]
     weights = np.mean([w for w, _ in fits], axis=0)
     return features, weights, float(np.mean([b for _, b in fits]))
 
