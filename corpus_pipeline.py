@@ -1,10 +1,64 @@
-"""From raw documents to packed sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows of ``docs``; all but
+the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from roleatlas.llm import catalog, exact_dedup, mixing, near_dedup, packing, toxicity
+from roleatlas.session import materialize
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity stays below the threshold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.toxicity_scores(docs, labels)
+    return scored.filter(F.col(scored.columns[-1]) < toxicity.THRESHOLD).drop(scored.columns[-1])
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts, the document with the smallest id."""
+    return exact_dedup.drop_exact_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near-duplicates, the document with the smallest id."""
+    return near_dedup.drop_near_copies(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source's weight asks for."""
+    return mixing.mix_sources(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents, placed in sequences of 2048 tokens."""
+    return packing.pack_documents(docs, catalog.word_bpe())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences),
+]
+
+# Learnt scores, sampled signatures and tokenizers are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each reads what its predecessor wrote."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
