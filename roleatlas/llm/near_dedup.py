@@ -265,7 +265,8 @@ def near_links(docs: DataFrame, rows: DataFrame, idf: np.ndarray, id_col: str, t
     members = materialize(keys.join(sizes, ["band", "key"]))
     wanted = members.select("id").distinct()
     texts = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    texts = materialize(texts.join(wanted, "id", "left_semi"))
+    # The ids grow with the corpus, so they are merged with the texts at every size.
+    texts = materialize(texts.join(wanted.hint("merge"), "id", "left_semi"))
 
     pairs = members.filter("id <> leader").select("leader", "id").distinct()
     blocks = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
