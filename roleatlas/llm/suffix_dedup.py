@@ -20,8 +20,8 @@ LENGTH = 100
 GRAM = 32
 FILTER_BITS = 26
 HOT = 10_000
-RUN_BYTES = 48 << 20
-PART_SUFFIXES = 150_000
+RUN_BYTES = 24 << 20
+PART_SUFFIXES = 40_000
 INTERVALS = "key long, start long, end long"
 
 
@@ -118,6 +118,10 @@ def first_of(order_key: tuple[np.ndarray, ...], pos: np.ndarray) -> np.ndarray:
     return out
 
 
+def context_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray, left: np.ndarray) -> np.ndarray:
+    return hashes(sums, start, end) ^ mix(left.astype(np.uint64) + np.uint64(1))
+
+
 class Contexts:
     """Anchors with the text that their windows cover, laid end to end."""
 
@@ -129,7 +133,11 @@ class Contexts:
 
     def hashes(self) -> np.ndarray:
         sums = hash_sums(np.frombuffer(self.data, np.uint8))
-        return hashes(sums, self.start, self.end) ^ mix(self.left.astype(np.uint64) + np.uint64(1))
+        return context_hashes(sums, self.start, self.end, self.left)
+
+    def some(self, at: np.ndarray) -> Contexts:
+        data = b"".join([self.data[a:b] for a, b in zip(self.start[at].tolist(), self.end[at].tolist())])
+        return Contexts(data, self.left[at], self.span[at], self.pos[at], self.length)
 
     def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of all windows of the contexts ``at``: whose, hash, position."""
@@ -185,13 +193,16 @@ def mapped_rows(
         if not held:
             return
         data = b"".join(h[0] for h in held)
-        grams, left, span, pos = (np.concatenate([h[k] for h in held]) for k in (1, 2, 3, 4))
+        grams, left, span, pos, own = (np.concatenate([h[k] for h in held]) for k in range(1, 6))
         all_ = Contexts(data, left, span, pos, length)
         # What this task itself has twice is settled here: contexts, and windows of hot grams.
-        first = first_of((all_.hashes(), grams), pos)
+        first = first_of((own, grams), pos)
         start, end = [pos[~first]], [pos[~first] + all_.size[~first]]
         hot = has_bit(filters[1], grams) & first
-        whose, hash_, at = all_.windows(np.flatnonzero(hot))
+        hot_at = np.flatnonzero(hot)
+        hot_ones = all_.some(hot_at)
+        whose, hash_, at = hot_ones.windows(np.arange(len(hot_at)))
+        whose = hot_at[whose]
         one = first_of((hash_, grams[whose]), at)
         start.append(at[~one])
         end.append(at[~one] + length)
@@ -237,7 +248,8 @@ def mapped_rows(
                 begin = np.cumsum(size) - size
                 flat = np.arange(size.sum()) + np.repeat(low - begin, size)
                 pos = (keys[text] << bits) + low - offsets[text]
-                held.append((data[flat].tobytes(), grams[some], at - low, high - low, pos))
+                own = context_hashes(hash_sums(data), low, high + length, at - low)
+                held.append((data[flat].tobytes(), grams[some], at - low, high - low, pos, own))
                 if sum(len(h[0]) for h in held) > RUN_BYTES:
                     yield from flush(held)
                     held = []
