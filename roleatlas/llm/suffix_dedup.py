@@ -20,7 +20,8 @@ LENGTH = 100
 GRAM = 32
 FILTER_BITS = 26
 HOT = 10_000
-RUN_BYTES = 24 << 20
+RUN_BYTES = 12 << 20
+SLICE_BYTES = 1 << 20
 PART_SUFFIXES = 40_000
 INTERVALS = "key long, start long, end long"
 
@@ -80,9 +81,9 @@ def repeated_grams(docs: DataFrame, length: int, gram: int, hot: int) -> tuple[n
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(0), 8 << 20):
+            for a, b in slices(batch.column(0), 4 << 20):
                 found = [anchors(*text_bytes(batch.column(0).slice(x + a, y - x)), length, gram)[4]
-                         for x, y in slices(batch.column(0).slice(a, b - a))]
+                         for x, y in slices(batch.column(0).slice(a, b - a), SLICE_BYTES)]
                 grams, n = np.unique(np.concatenate(found), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], ["gram", "n"])
 
@@ -238,7 +239,7 @@ def mapped_rows(
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE_BYTES):
                 keys = batch.column(0).slice(a, b - a).to_numpy(zero_copy_only=False)
                 data, offsets = text_bytes(batch.column(1).slice(a, b - a))
                 text, low, high, at, grams = anchors(data, offsets, length, gram)
