@@ -220,7 +220,10 @@ def g4(spark, d):
     return neighborhood(spark, d).farthest.withColumn("position", col("position").cast("long"))
 
 
-@add("g6_center_sample")
+_SAMPLED = f"""SELECT *, row_number() OVER (PARTITION BY role ORDER BY md5('{fv.SEED}:' || url_hash), url_hash) AS draw FROM center"""
+
+
+@add("g6_center_sample", atlas_sql("SELECT role, url_hash FROM drawn WHERE draw <= 20", drawn=_SAMPLED))
 def g6(spark, d):
     return neighborhood(spark, d, max_center_dots=20).center_sample.select("role", "url_hash")
 
@@ -245,14 +248,15 @@ def i4(spark, d):
 
 @add(
     "h1_point_rows",
-    atlas_sql("""SELECT role, role_label AS grp, url_hash, title, company, url, true AS is_center, true AS inside FROM center
-        UNION ALL SELECT role, grp, url_hash, title, company, url, false, true FROM neighbors SEMI JOIN groups USING (role, grp)"""),
+    atlas_sql(f"""SELECT role, role_label AS grp, url_hash, title, company, url, true AS is_center, true AS inside FROM drawn
+        WHERE draw <= {fv.MAX_CENTER_DOTS}
+        UNION ALL SELECT role, grp, url_hash, title, company, url, false, true FROM neighbors SEMI JOIN groups USING (role, grp)""",
+        drawn=_SAMPLED),
 )
 def h1(spark, d):
     """The same rows without coordinates, which only have to lie in the unit square."""
     inside = col("x").between(-1, 1) & col("y").between(-1, 1)
-    # No test center reaches the cap on dots up to a thousand vectors per role.
-    points = neighborhood(spark, d, max_center_dots=10**6).points
+    points = neighborhood(spark, d).points
     return points.select(
         "role", "grp", "url_hash", "title", "company", "url", "is_center", inside.alias("inside")
     )
@@ -263,7 +267,9 @@ def h1(spark, d):
     atlas_sql(f"""SELECT role, any_value(label) AS label, '{N} nearest positions to ' || any_value(label) || ', grouped by title' AS description,
         1 + (SELECT count(*) FROM groups g WHERE g.role = c.role AND g.grp <> any_value(label)) AS n_groups,
         (SELECT count(*) FROM farthest f WHERE f.role = c.role AND position <= 5) AS n_farthest,
-        least(count(*), 200) + (SELECT coalesce(sum(n), 0) FROM groups g WHERE g.role = c.role)::BIGINT AS n_points
+        least(count(*), 200) + (SELECT coalesce(sum(n), 0) FROM groups g WHERE g.role = c.role)::BIGINT AS n_points,
+        array_to_string(list_sort(list_distinct(list_append(coalesce((SELECT list(grp) FROM groups g WHERE g.role = c.role), []),
+          any_value(label)))), '|') AS point_groups
         FROM center c JOIN (SELECT role, label FROM roles) USING (role) GROUP BY role""", **FAR_PARTS),
 )
 def a11(spark, d):
@@ -274,6 +280,7 @@ def a11(spark, d):
         "role", "label", "description",
         F.size(F.json_object_keys(F.to_json("group_counts"))).cast("long").alias("n_groups"),
         F.size("farthest").cast("long").alias("n_farthest"), F.size("points").cast("long").alias("n_points"),
+        F.array_join(F.array_sort(F.array_distinct("points.group")), "|").alias("point_groups"),
     )
 
 
@@ -403,7 +410,10 @@ def i5(spark, d):
     return spark.createDataFrame(rows, "i int, j int, w double")
 
 
-@add("i6_company_folds")
+@add(
+    "i6_company_folds",
+    with_views(["v2"], "SELECT url_hash, company, (('0x' || substr(md5(company), 1, 15))::BIGINT % 5)::INTEGER AS fold FROM v2"),
+)
 def i6(spark, d):
     folds = D.company_folds(V.vector_pairs(spark, d), 5)
     return folds.select("url_hash", "company", "fold")
@@ -447,10 +457,10 @@ def i7(spark, d):
           rank() OVER (ORDER BY resp_sim) + (count(*) OVER (PARTITION BY resp_sim) - 1) / 2 AS resp_rank
           FROM sims) avg_rank)""",
         units=f"SELECT url_hash, {_unit('role_vec')} AS r, {_unit('resp_vec')} AS p FROM v7",
-        buckets="""SELECT min(url_hash) AS a, max(url_hash) AS b FROM v7
-            GROUP BY url_hash % (SELECT greatest(1, count(*) // 2) FROM v7) HAVING min(url_hash) < max(url_hash)""",
+        placed="""SELECT *, row_number() OVER (ORDER BY md5(url_hash::VARCHAR), url_hash) AS place, count(*) OVER () AS n FROM units""",
         sims="""SELECT round(list_dot_product(x.r, y.r), 10) AS role_sim, round(list_dot_product(x.p, y.p), 10) AS resp_sim
-            FROM buckets JOIN units x ON a = x.url_hash JOIN units y ON b = y.url_hash"""),
+            FROM placed x JOIN placed y ON (x.place % 2 = 1 AND y.place = x.place + 1)
+              OR (x.place = x.n AND x.n % 2 = 1 AND y.place = x.n - 1)"""),
 )
 def i8(spark, d):
     found = D.rank_correlation(V.vector_pairs(spark, d))

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fv
 from ..functions.embedding import HashedTokens, embed
 from ..functions.vectors import dot
 from ..operators import state as ST
@@ -566,26 +569,33 @@ def s1(spark, d):
 # --- vectors from text -------------------------------------------------------
 
 
-@add("i3_embed")
-def i3(spark, d):
-    texts = V.table(spark, d, "documents").select(col("doc_id").alias("url_hash"), "text")
-    vectors = embed(texts, HashedTokens(64))
-    return vectors.select("url_hash", F.round(F.get("role_vec", 0).cast("double"), 5).alias("x"))
+class LetterCounts:
+    """How often some letters occur: an embedder that SQL can repeat."""
+
+    letters = "etaoinsr"
+
+    def __call__(self, texts: list[str]) -> np.ndarray:
+        return np.array([[t.count(x) for x in self.letters] for t in texts], float).reshape(len(texts), -1)
+
+
+_LETTER_INPUT = f"""SELECT doc_id, CASE WHEN length({S.strip('text')}) > {fv.MIN_EMBED_INPUT} THEN text
+    ELSE '{fv.EMBED_PLACEHOLDER}' END AS t FROM documents"""
+_LETTER_LIST = "[" + ", ".join(f"length(t) - length(replace(t, '{x}', ''))" for x in LetterCounts.letters) + "]"
 
 
 @add(
-    "i3_embed_norms",
-    with_views(["v3"], "SELECT doc_id AS url_hash, 1.0::DOUBLE AS norm, 64::BIGINT AS n FROM v3"),
+    "i3_embed",
+    f"""SELECT url_hash, {", ".join(
+        f"round(coalesce(v[{k + 1}] / nullif(sqrt(list_sum(list_transform(v, lambda e: e * e))), 0), 0)::FLOAT::DOUBLE, 5) AS {x}"
+        for k, x in enumerate(LetterCounts.letters))}
+        FROM (SELECT doc_id AS url_hash, list_transform({_LETTER_LIST}, lambda e: e::DOUBLE) AS v FROM ({_LETTER_INPUT}))""",
 )
-def i3_norms(spark, d):
-    """A title keeps every text non-empty, so each vector has unit length."""
-    t = V.documents(spark, d)
-    texts = t.select(col("doc_id").alias("url_hash"), F.concat_ws(" ", "title", "company").alias("text"))
-    v = embed(texts, HashedTokens(64)).withColumn("v", F.transform("role_vec", lambda x: x.cast("double")))
-    return v.select(
-        "url_hash", F.round(F.sqrt(dot(col("v"), col("v"))), 4).alias("norm"),
-        F.size("v").cast("long").alias("n"),
-    )
+def i3(spark, d):
+    """Whole texts as unit vectors of letter counts."""
+    texts = V.table(spark, d, "documents").select(col("doc_id").alias("url_hash"), "text")
+    vectors = embed(texts, LetterCounts())
+    parts = [F.round(F.get("role_vec", k).cast("double"), 5).alias(x) for k, x in enumerate(LetterCounts.letters)]
+    return vectors.select("url_hash", *parts)
 
 
 @add(

@@ -197,16 +197,29 @@ def b10(spark, d):
 _HIDDEN = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 
 
+# References of every kind and what they stand for.
+REFERENCES = [
+    ("&#0000000065;&#x000000042", "AB"), ("&rarr;&larr", "→&larr"), ("1&plusmn;2&frac12", "1±2½"), ("&Ecirc;&para", "Ê¶"),
+    ("&check;&CounterClockwiseContourIntegral;", "✓∳"), ("&nbspx&nbsp;y", "x\u00a0y"), ("&#146;&#x80;&#150", "’€–"),
+    ("&#99999999;&#xD800;&#0;", "\ufffd\ufffd\ufffd"), ("&notit;&notin;&ampere", "¬it;∉&ere"), ("&zz; & &; &#;&#x;", "&zz; & &; &#;&#x;"),
+    ("&amp;lt;&lt;b&gt;&AMP", "&lt;<b>&"), ("&#x1F600;&#128512", "😀😀"), ("&copy2026&copy;", "©2026©"), ("a&#1;&#xFFFF;b&#11;", "ab"),
+]
+
+
 @add(
     "b11_html_text",
     f"""WITH nodes AS (SELECT page_id, string_split_regex(
           regexp_replace(html, '{_HIDDEN}', '<br>', 'g'), '<[/!?]?[A-Za-z][^>]*>') AS parts FROM pages)
-        SELECT page_id, array_to_string(list_filter(list_transform(parts, lambda p:
+        SELECT page_id, array_to_string(list_append(list_filter(list_transform(parts, lambda p:
           {S.strip("replace(replace(replace(replace(p, '&copy;', '©'), '&middot;', '·'), '&quot;', chr(34)), '&amp;', '&')")}),
-          lambda p: p <> ''), chr(10)) AS lines FROM nodes""",
+          lambda p: p <> ''), ({S.sql_list([plain for _, plain in REFERENCES])})[page_id % {len(REFERENCES)} + 1]), chr(10)) AS lines
+        FROM nodes""",
 )
 def b11(spark, d):
-    return V.table(spark, d, "pages").select("page_id", X.html_text(col("html")).alias("lines"))
+    """Whole pages, each with one more paragraph of references."""
+    raw = F.element_at(F.array(*[F.lit(r) for r, _ in REFERENCES]), (col("page_id") % len(REFERENCES)).cast("int") + 1)
+    page = F.concat(col("html"), F.lit("<p>"), raw, F.lit("</p>"))
+    return V.table(spark, d, "pages").select("page_id", X.html_text(page).alias("lines"))
 
 
 @add(
@@ -411,14 +424,14 @@ def c3(spark, d):
     """SELECT doc_id, url <> '' AND (trim(title) <> '' OR length(body) > 50) AS keep FROM (
        SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN '' ELSE source END AS url,
        CASE WHEN doc_id % 3 = 0 THEN '  ' ELSE source END AS title,
-       substring(text, 1, (doc_id % 100)::INTEGER) AS body FROM documents)""",
+       CASE WHEN doc_id % 2 = 0 THEN text ELSE source END AS body FROM documents)""",
 )
 def c4(spark, d):
     i = col("doc_id")
     return V.table(spark, d, "documents").select(i, L.has_content(
         F.when(i % 17 == 0, "").otherwise(col("source")),
         F.when(i % 3 == 0, "  ").otherwise(col("source")),
-        F.substring(col("text"), F.lit(1), (i % 100).cast("int")),
+        F.when(i % 2 == 0, col("text")).otherwise(col("source")),
     ).alias("keep"))
 
 

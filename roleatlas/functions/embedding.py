@@ -51,8 +51,8 @@ def embed(
             for start in range(0, len(frame), batch):
                 part = frame.iloc[start:start + batch]
                 vectors = np.asarray(call(part[text].tolist()), dtype=np.float64)
-                if len(vectors) != len(part):
-                    raise RuntimeError(f"{len(vectors)} embeddings for {len(part)} inputs")
+                if vectors.shape[:1] != (len(part),):
+                    raise RuntimeError(f"the embedder must give one vector per text, not {vectors.shape}")
                 norm = np.linalg.norm(vectors, axis=1, keepdims=True)
                 vectors = (vectors / np.where(norm > 0, norm, 1.0)).astype(np.float32)
                 yield part[names].assign(**{out: list(vectors)})

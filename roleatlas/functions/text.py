@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,40 +65,15 @@ def clean_location(c: Column) -> Column:
     return bind(strip(c), kept)
 
 
-# Every section header holds one of these; the last three are letters that match
-# s and i when case is ignored, and so may hide in a header.
-_HEADER_PARTS = [
-    "about th", "what you", "the role", "role overview", "role summary", "job description",
-    "position summary", "position overview", "responsibilities", "in this role", "your role",
-    "the opportunity", "looking for", "re hiring", "duties",
-]
-_HEADER_LETTERS = ["ſ", "İ", "ı"]
-_LONGEST_HEADER = 64
-
-
-def may_hold_header(c: Column) -> Column:
-    """False only if no section header can be found; byte searches, no regex."""
-
-    def found(low: Column) -> Column:
-        hit = low.contains(_HEADER_PARTS[0])
-        for part in _HEADER_PARTS[1:]:
-            hit = hit | low.contains(part)
-        for letter in _HEADER_LETTERS:
-            hit = hit | c.contains(letter)
-        return hit
-
-    return bind(F.lower(c), found)
-
-
 def extract_role_text(c: Column, max_chars: int = fv.ROLE_TEXT_MAX_CHARS) -> Column:
     """The slice of a description that speaks of the role."""
 
     def slice_of(clean: Column) -> Column:
         size = F.length(clean)
         half = F.floor(size / 2).cast("int")
-        # Only a header that starts in the first half counts, so no more than that
-        # half and the length of a header is searched.
-        window = F.substring(clean, F.lit(1), half + _LONGEST_HEADER)
+        # Only a header that starts in the first half counts.  The pattern repeats
+        # nothing, so no header is longer than the pattern itself.
+        window = F.substring(clean, F.lit(1), half + len(fv.ROLE_SECTION_PATTERN))
         # Length in characters of what precedes the first header; the whole window
         # when there is none, which fails the "first half" test.
         before = F.length(
@@ -106,7 +84,7 @@ def extract_role_text(c: Column, max_chars: int = fv.ROLE_TEXT_MAX_CHARS) -> Col
             F.substring(clean, 1, lead), F.lit(" "),
             F.substring(clean, body + 1, max_chars - lead),
         )
-        headed = may_hold_header(window) & (before < half)
+        headed = before < half
         return (
             F.when(size <= max_chars, clean)
             .when(headed, F.substring(clean, before + 1, F.lit(max_chars)))
@@ -133,51 +111,79 @@ def embed_input(c: Column) -> Column:
     return F.when(F.length(strip(c)) > fv.MIN_EMBED_INPUT, c).otherwise(fv.EMBED_PLACEHOLDER)
 
 
-# Character references that payloads use; numeric ones are decoded by value.
-_NAMED_REFERENCES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ",
-    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "sbquo": "‚",
-    "ldquo": "“", "rdquo": "”", "bdquo": "„", "bull": "•", "middot": "·",
-    "hellip": "…", "copy": "©", "reg": "®", "trade": "™", "deg": "°",
-    "euro": "€", "pound": "£", "yen": "¥", "cent": "¢", "sect": "§",
-    "times": "×", "laquo": "«", "raquo": "»", "shy": "­",
-    "agrave": "à", "aacute": "á", "acirc": "â", "atilde": "ã", "auml": "ä",
-    "aring": "å", "aelig": "æ", "ccedil": "ç", "egrave": "è", "eacute": "é",
-    "ecirc": "ê", "euml": "ë", "igrave": "ì", "iacute": "í", "icirc": "î",
-    "iuml": "ï", "ntilde": "ñ", "ograve": "ò", "oacute": "ó", "ocirc": "ô",
-    "otilde": "õ", "ouml": "ö", "oslash": "ø", "ugrave": "ù", "uacute": "ú",
-    "ucirc": "û", "uuml": "ü", "szlig": "ß",
-    "Agrave": "À", "Aacute": "Á", "Auml": "Ä", "Aring": "Å", "Ccedil": "Ç",
-    "Egrave": "È", "Eacute": "É", "Ntilde": "Ñ", "Oacute": "Ó", "Ouml": "Ö",
-    "Oslash": "Ø", "Uacute": "Ú", "Uuml": "Ü",
-}
-_REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+# A reference as HTML writes it: the closing semicolon may be missing.
+_REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)"
+_REPLACEMENT = "\ufffd"
+
+
+def _by_letter(names: dict[str, str]) -> Column:
+    """A constant map of maps: the names that begin with a letter."""
+    out: dict[str, dict[str, str]] = {}
+    for name, value in names.items():
+        out.setdefault(name[0], {})[name] = value
+    return F.from_json(F.lit(json.dumps(out)), "map<string,map<string,string>>")
+
+
+def _windows_1252(code: int) -> str:
+    """What browsers take a reference to 128-159 for."""
+    try:
+        return bytes([code]).decode("cp1252")
+    except UnicodeDecodeError:
+        return chr(code)
 
 
 def unescape_html(c: Column) -> Column:
-    """Decode character references in one pass, so ``&amp;lt;`` gives ``&lt;``."""
-    table = F.create_map(*[F.lit(x) for pair in _NAMED_REFERENCES.items() for x in pair])
+    """Decode all character references of HTML 5 in one pass: ``&amp;lt;`` gives ``&lt;``.
+
+    Numbers have any count of digits; null, surrogates and what is beyond Unicode give
+    U+FFFD, 128-159 are read as Windows-1252, other control and non-characters vanish.
+    The names of HTML 4 need no semicolon and may run on into letters.  Unknown
+    references stay as they are.
+    """
+    named = _by_letter({n[:-1]: v for n, v in html5.items() if n.endswith(";")})
+    legacy_names = {n: v for n, v in html5.items() if not n.endswith(";")}
+    legacy = _by_letter(legacy_names)
+    controls = F.array(*[F.lit(_windows_1252(b)) for b in range(128, 160)])
 
     def character(code: Column) -> Column:
         return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
-    def decode(ref: Column) -> Column:
-        code = (
-            F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10))
-            .when(ref.startswith("#"), F.substring(ref, 2, 7))
-            .cast("long")
-        )
-        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        return F.coalesce(
-            F.when(valid, character(code)),
-            F.when(code.isNotNull(), "�"),
-            F.element_at(table, ref),
-            F.concat(F.lit("&"), ref, F.lit(";")),
-        )
-
-    references = F.transform(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(1)), decode)
-    between = F.split(c, _REFERENCE)
-    woven = F.zip_with(between, references, lambda a, b: F.concat(a, text(b)))
+    def lookup(table: Column, name: Column) -> Column:
+        return F.element_at(F.element_at(table, F.substring(name, 1, 1)), name)
+
+    def number(ref: Column) -> Column:
+        digits = F.regexp_replace(ref, "^#[xX]?0*|;$", "")
+        base = F.when(ref.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits)
+        code = F.when(F.length(digits) > 7, 0x110000).when(digits == "", 0).otherwise(base.cast("long"))
+
+        def value(n: Column) -> Column:
+            nothing = (
+                (n < 9) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF)
+                | (n.bitwiseAND(0xFFFE) == 0xFFFE)
+            )
+            return (
+                F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), _REPLACEMENT)
+                .when(n.between(128, 159), F.get(controls, (n - 128).cast("int")))
+                # The decoder takes this one for a byte order mark.
+                .when(n == 0xFEFF, "\ufeff").when(nothing, "").otherwise(character(n))
+            )
+
+        return bind(code, value)
+
+    def name(ref: Column) -> Column:
+        exact = F.when(ref.endswith(";"), lookup(named, F.regexp_replace(ref, ";$", "")))
+        longest, least = max(map(len, legacy_names)), min(map(len, legacy_names))
+        beginnings = [
+            F.concat(lookup(legacy, F.substring(ref, 1, n)), F.substring(ref, F.lit(n + 1), F.length(ref)))
+            for n in range(longest, least - 1, -1)
+        ]
+        return F.coalesce(exact, *beginnings, F.concat(F.lit("&"), ref))
+
+    references = F.transform(
+        F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(1)),
+        lambda ref: F.when(ref.startswith("#"), number(ref)).otherwise(name(ref)),
+    )
+    woven = F.zip_with(F.split(c, _REFERENCE), references, lambda a, b: F.concat(a, text(b)))
     return F.when(c.contains("&"), F.array_join(woven, "")).otherwise(c)
 
 

@@ -92,7 +92,8 @@ def fit_deconfound(pairs: DataFrame, lam: float, alpha: float) -> np.ndarray:
 
 def company_folds(df: DataFrame, k: int) -> DataFrame:
     """A fold per row such that no company is in two folds."""
-    return df.withColumn("fold", F.pmod(F.xxhash64("company"), F.lit(k)).cast("int"))
+    number = F.conv(F.substring(F.md5("company"), 1, 15), 16, 10).cast("long")
+    return df.withColumn("fold", F.pmod(number, F.lit(k)).cast("int"))
 
 
 # --- I7: neighbors kept ------------------------------------------------------
@@ -172,17 +173,24 @@ def knn_preservation(
 # --- I8: rank correlation ----------------------------------------------------
 
 
-def sampled_pairs(pairs: DataFrame, buckets: int) -> DataFrame:
-    """One pair of rows per bucket of the key: its lowest and its highest key.
+def hashed_pairs(pairs: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of neighbours in the order of the key's hash, every row in one of them.
 
-    The keys are hashes, so buckets are even whatever the data holds, and a
-    bucket reduces to two rows before the shuffle.
+    Rows are ranked by range partitioning and joined two by two; of an odd number the
+    last row goes with the one before it, which then is in two pairs.
     """
-    row = F.struct("url_hash", "role_vec", "resp_vec")
-    bucketed = pairs.groupBy(F.pmod("url_hash", F.lit(buckets)).alias("bucket")).agg(
-        F.min_by(row, "url_hash").alias("a"), F.max_by(row, "url_hash").alias("b")
-    )
-    return bucketed.filter(F.col("a.url_hash") < F.col("b.url_hash"))
+    order = [F.md5(F.col("url_hash").cast("string")), F.col("url_hash")]
+    placed = global_rank(pairs, order, "_place")
+    n = placed.count()
+    place, row = F.col("_place"), F.struct(*pairs.columns)
+    pair = F.floor((place - 1) / 2).alias("pair")
+    first = placed.filter((place % 2 == 1) & (place < n)).select(pair, row.alias("a"))
+    second = placed.filter(place % 2 == 0).select(pair, row.alias("b"))
+    if n % 2 and n > 1:
+        left = F.lit(-1).cast("long").alias("pair")
+        first = first.unionAll(placed.filter(place == n).select(left, row.alias("a")))
+        second = second.unionAll(placed.filter(place == n - 1).select(left, row.alias("b")))
+    return first.join(second, "pair")
 
 
 def _mean_ranks(values: DataFrame, column: str, rank: str) -> DataFrame:
@@ -192,16 +200,12 @@ def _mean_ranks(values: DataFrame, column: str, rank: str) -> DataFrame:
     return ranked.select(column, (F.col("_first") + (F.col("_n") - 1) / 2).alias(rank))
 
 
-def rank_correlation(
-    pairs: DataFrame, buckets: int | None = None, w: np.ndarray | None = None
-) -> DataFrame:
-    """I8: Spearman correlation of role and resp similarities over sampled pairs."""
-    buckets = buckets or max(1, pairs.count() // 2)
+def rank_correlation(pairs: DataFrame, w: np.ndarray | None = None) -> DataFrame:
+    """I8: Spearman correlation of role and resp similarities over :func:`hashed_pairs`."""
     clean = apply_transform(pairs.select("url_hash", "role_vec", "resp_vec"), w, "role_vec", "_r")
     clean = apply_transform(clean, None, "resp_vec", "_p")
-    drawn = sampled_pairs(
-        clean.select("url_hash", F.col("_r").alias("role_vec"), F.col("_p").alias("resp_vec")),
-        buckets,
+    drawn = hashed_pairs(
+        clean.select("url_hash", F.col("_r").alias("role_vec"), F.col("_p").alias("resp_vec"))
     )
     sims = materialize(drawn.select(
         F.round(dot(F.col("a.role_vec"), F.col("b.role_vec")), SCORE_DIGITS).alias("role_sim"),
@@ -299,5 +303,5 @@ def evaluate(pairs: DataFrame, w: np.ndarray | None, k: int = 20) -> dict[str, f
 __all__ = [
     "company_folds", "company_invariance", "evaluate", "exact_knn", "fit_deconfound",
     "fv", "gram_sums", "knn_preservation", "load_transform", "rank_correlation",
-    "reconstruction_r2", "sampled_pairs", "save_transform", "solve_transform",
+    "reconstruction_r2", "hashed_pairs", "save_transform", "solve_transform",
 ]

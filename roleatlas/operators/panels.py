@@ -77,7 +77,7 @@ def center_sample(
     center: DataFrame, size: int = fv.MAX_CENTER_DOTS, seed: int = fv.SEED
 ) -> DataFrame:
     """At most ``size`` center listings, the same ones however data is laid out."""
-    order = [F.xxhash64("url_hash", F.lit(seed)), F.col("url_hash")]
+    order = [F.md5(F.concat(F.lit(f"{seed}:"), F.col("url_hash").cast("string"))), F.col("url_hash")]
     return top_k(center, ["role"], order, size, rank="_place").drop("_place")
 
 

@@ -84,6 +84,12 @@ def cut_at_rank(
     ranked: in a window when it is small, else by range partitioning, so that
     even a third of all rows tied on one score stays spread over the cluster.
     """
+    if min(widths.values()) < 1:
+        # A group that may keep nothing has no boundary bin and would pass whole.
+        df = df.filter(_per_group(F.col(group), widths) > 0)
+        widths = {g: w for g, w in widths.items() if w > 0}
+        if not widths:
+            return df
     position = F.floor((F.lit(high) - F.col(score)) / F.lit((high - low) / BINS))
     binned = df.withColumn("_bin", F.greatest(F.lit(0), F.least(F.lit(BINS), position)).cast("int"))
     histogram = binned.groupBy(group, "_bin").agg(F.count("*").alias("_n"))

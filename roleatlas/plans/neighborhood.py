@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -30,15 +31,18 @@ class Role:
 BUILTIN_ROLES = [Role(k, label, tuple(p)) for k, label, p in fv.BUILTIN_ROLES]
 
 
+ROLE_SPEC = re.compile(r"(?P<key>[^:]*):(?P<label>[^:]*):(?P<patterns>.*)", re.DOTALL)
+# What stands between bars, without blanks at its ends.
+PATTERN_LIST = re.compile(r"[^|\s](?:[^|]*[^|\s])?")
+
+
 def parse_role(spec: str) -> Role:
     """A custom role written ``key:label:pattern1|pattern2``."""
-    parts = spec.split(":", 2)
-    if len(parts) != 3:
-        raise ValueError(f"a role is 'key:label:pattern1|pattern2', not {spec!r}")
-    patterns = tuple(p.strip().lower() for p in parts[2].split("|") if p.strip())
+    found = ROLE_SPEC.fullmatch(spec)
+    patterns = PATTERN_LIST.findall(found["patterns"].lower()) if found else []
     if not patterns:
-        raise ValueError(f"no patterns in {spec!r}")
-    return Role(parts[0], parts[1], patterns)
+        raise ValueError(f"a role is 'key:label:pattern1|pattern2' with a pattern at least, not {spec!r}")
+    return Role(found["key"], found["label"], tuple(patterns))
 
 
 def roles_of(title: Column, roles: list[Role]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -93,22 +93,37 @@ def lookup_join(
 ) -> DataFrame:
     """Join rows to a lookup that has one row per key, whatever either's size.
 
-    A measured small lookup is broadcast.  A larger one is joined on the key plus
-    a salt: the lookup is repeated once per salt, so that a key holding a large
-    share of ``df`` is spread over ``salts`` tasks and no row is lost.  The salt is
-    a hash of the row, the same on a retry; equal rows share one, and adaptive
-    skew handling splits what is left of them.
+    A measured small lookup is broadcast.  A larger one is joined by key, where Spark
+    splits what is skewed; only keys that are measured to hold a large share of
+    ``df`` are salted, and only their lookup rows are repeated.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
     if fits_broadcast(lookup, limit):
         return df.join(F.broadcast(lookup), on, how)
-    return salted_join(df, lookup, on, how, salts)
+    hot = hot_keys(df, on, salts)
+    return salted_join(df, lookup, on, how, salts, hot) if hot else df.join(lookup, on, how)
+
+
+def hot_keys(df: DataFrame, on: list[str], parts: int) -> list[Row]:
+    """Keys that hold more than one in ``parts`` rows: fewer than ``parts`` of them."""
+    counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    first = counted.orderBy(F.col("_n").desc()).limit(parts).collect()
+    total = counted.agg(F.sum("_n")).first()[0] if first else 0
+    return [r for r in first if r["_n"] * parts > total and None not in r]
 
 
 def salted_join(
-    df: DataFrame, lookup: DataFrame, on: list[str], how: str, salts: int
+    df: DataFrame, lookup: DataFrame, on: list[str], how: str, salts: int, hot: list[Row]
 ) -> DataFrame:
-    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return df.withColumn("_salt", spread).join(repeated, [*on, "_salt"], how).drop("_salt")
+    """Spread the rows of ``hot`` keys, and only these, over ``salts`` copies of the lookup's row.
+
+    The salt is a hash of the row, the same on a retry.
+    """
+    key = F.struct(*on)
+    is_hot = key.isin([F.struct(*[F.lit(r[c]) for c in on]) for r in hot])
+    row = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+    last = F.when(is_hot, salts - 1).otherwise(0)
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+    salted = df.withColumn("_salt", F.when(is_hot, row).otherwise(0))
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

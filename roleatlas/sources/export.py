@@ -34,7 +34,8 @@ def neighborhood_json(found: Neighborhood) -> DataFrame:
         ),
     ).select("role", mapped("n").alias("group_counts"), mapped("color").alias("colors"))
     points = _list(
-        found.points, "points", "url_hash", ["x", "y", "title", "company", "grp", "url"]
+        found.points.withColumnRenamed("grp", "group"), "points", "url_hash",
+        ["x", "y", "title", "company", "group", "url"],
     )
     panel = ["title", "company", "sim"]
     out = found.descriptions

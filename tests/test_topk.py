@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roleatlas.operators.topk import cut_at_rank, global_rank, top_k
-from roleatlas.session import fits_broadcast, lookup_join, salted_join
+from roleatlas.session import fits_broadcast, hot_keys, lookup_join, salted_join
 
 
 @pytest.fixture(scope="module")
@@ -74,8 +74,25 @@ def test_lookup_join_has_two_equal_ways(spark, how):
     small = lookup_join(rows, lookup, ["k"], how)
     large = lookup_join(rows, lookup, ["k"], how, limit=10, salts=8)
     assert sorted(small.collect(), key=repr) == sorted(large.collect(), key=repr)
-    spread = salted_join(rows.filter("k = 'hot'"), lookup, ["k"], "inner", 8)
-    assert spread.count() == 1000
+
+
+def test_only_hot_keys_are_salted(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), "id"
+    )
+    lookup = rows.select("k").distinct().withColumn("x", F.lit(1))
+    hot = hot_keys(rows, ["k"], 8)
+    assert [r["k"] for r in hot] == ["hot"] and hot_keys(rows.filter("k <> 'hot'"), ["k"], 8) == []
+    assert salted_join(rows, lookup, ["k"], "inner", 8, hot).count() == 3000
+    plain = lookup_join(rows.filter("k <> 'hot'"), lookup, ["k"], "inner", limit=10)
+    assert "_salt" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cut_of_width_zero_keeps_nothing(spark):
+    rows = spark.createDataFrame([("a", 0.5, 1), ("a", 0.4, 2), ("b", 0.3, 3)], "g string, s double, url_hash long")
+    kept = cut_at_rank(rows, "g", "s", "url_hash", {"a": 1, "b": 0})
+    assert [r["url_hash"] for r in kept.collect()] == [1]
+    assert cut_at_rank(rows, "g", "s", "url_hash", {"a": 0, "b": 0}).count() == 0
 
 
 def test_salting_spreads_a_hot_key(spark):
