@@ -19,7 +19,8 @@ DEPTH = 12
 WORD_END, TEXT_END, SYMBOLS = 256, 257, 258
 # The most frequent words are scored where the text is read; their table has at most so many rows.
 FREQUENT = 1 << 18
-WORDS_PER_SLICE = 150_000
+WORDS_PER_SLICE = 100_000
+SLICE_BYTES = 1 << 20
 
 
 def word_counts(docs: DataFrame, training: Column, text_col: str) -> DataFrame:
@@ -27,7 +28,7 @@ def word_counts(docs: DataFrame, training: Column, text_col: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(0)):
+            for a, b in slices(batch.column(0), SLICE_BYTES):
                 part = batch.slice(a, b - a)
                 words = find_words(part.column(0))
                 learnt = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -279,7 +280,7 @@ def text_rows(
         hashes, counts, p = frequent
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), SLICE_BYTES):
                 ids = batch.column(0).slice(a, b - a)
                 words = find_words(batch.column(1).slice(a, b - a))
                 texts = len(ids)
