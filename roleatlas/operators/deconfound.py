@@ -98,7 +98,7 @@ def company_folds(df: DataFrame, k: int) -> DataFrame:
 
 # --- I7: neighbors kept ------------------------------------------------------
 
-QUERY_ROWS = 1024
+QUERY_ROWS = 4096
 
 
 def exact_knn(
@@ -106,56 +106,63 @@ def exact_knn(
 ) -> DataFrame:
     """Exact k nearest others of every row by cosine: ``query, neighbor, sim, rank``.
 
-    Queries go in blocks of about ``query_rows`` vectors that are broadcast; each
-    task keeps only its own k best per query of the block, so what is shuffled is
-    k rows per query and task.  The work is quadratic: this is an evaluation tool
-    for held-out folds, not a way to search the corpus.
+    Rows fall into blocks of about ``query_rows`` by a hash of their key, and every
+    two blocks meet in one group, which keeps the k best of each row.  The plan has
+    the same few steps at any size, no group grows with the table, and nothing
+    passes through the driver.  The work is quadratic: this is an evaluation tool for
+    held-out folds, not a way to search the corpus.
     """
     slim = materialize(vectors.select(F.col(key).alias("id"), F.col(column).alias("v")))
     blocks = max(1, -(-slim.count() // query_rows))
-    out = None
-    for block in range(blocks):
-        found = _block_knn(slim, block, blocks, k)
-        out = found if out is None else out.unionByName(found)
-    return out
-
-
-def _block_knn(slim: DataFrame, block: int, blocks: int, k: int) -> DataFrame:
-    in_block = F.pmod(F.xxhash64("id"), F.lit(blocks)) == block
-    rows = slim.filter(in_block).toArrow()
-    queries = np.asarray(rows["id"].to_numpy())
-    unit = normalize(matrix(rows["v"])) if len(queries) else np.empty((0, 0))
-    shared = slim.sparkSession.sparkContext.broadcast((queries, unit))
-
-    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, unit_queries = shared.value
-        best_sim = np.full((len(ids), k), -np.inf)
-        best_id = np.full((len(ids), k), -1, dtype=np.int64)
-        for b in batches:
-            if not b.num_rows or not len(ids):
-                continue
-            other = b.column(0).to_numpy()
-            sims = np.round(unit_queries @ normalize(matrix(b.column(1))).T, SCORE_DIGITS)
-            sims[ids[:, None] == other[None, :]] = -np.inf
-            all_sim = np.hstack([best_sim, sims])
-            all_id = np.hstack([best_id, np.broadcast_to(other, sims.shape)])
-            order = np.lexsort((all_id, -all_sim), axis=1)[:, :k]
-            best_sim = np.take_along_axis(all_sim, order, 1)
-            best_id = np.take_along_axis(all_id, order, 1)
-        kept = np.isfinite(best_sim)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.repeat(ids, kept.sum(axis=1))), pa.array(best_id[kept]),
-                pa.array(best_sim[kept]),
-            ],
-            names=["query", "neighbor", "sim"],
-        )
+    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    met = slim.withColumn("own", own).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    )
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
 
-    found = slim.select("id", "v").mapInArrow(nearest, "query long, neighbor long, sim double")
+    def nearest(group: pa.Table) -> pa.Table:
+        return _nearest(group, k)
+
+    found = met.select(low, high, "own", "id", "v").groupBy("low", "high").applyInArrow(
+        nearest, "query long, neighbor long, sim double"
+    )
+    # One group per other block gave k rows at most.
     order = Window.partitionBy("query").orderBy(F.col("sim").desc(), "neighbor")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _nearest(group: pa.Table, k: int) -> pa.Table:
+    """The k best of each row among those of the other block, ties to the lower key."""
+    group = group.combine_chunks().sort_by("id")
+    ids, own = group["id"].to_numpy(), group["own"].to_numpy()
+    unit = normalize(matrix(group["v"]))
+    low, high = group["low"][0].as_py(), group["high"][0].as_py()
+    ways = [(low, high)] if low == high else [(low, high), (high, low)]
+    query, neighbor, sim = [], [], []
+    for a, b in ways:
+        asked, given = np.flatnonzero(own == a), np.flatnonzero(own == b)
+        for at in range(0, len(asked), 512):
+            some = asked[at:at + 512]
+            sims = np.round(unit[some] @ unit[given].T, SCORE_DIGITS)
+            sims[ids[some][:, None] == ids[given][None, :]] = -np.inf
+            for i, row in zip(some, sims):
+                best = np.arange(len(row))
+                if len(row) > k:
+                    best = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
+                # The rows are in key order, so a stable sort leaves ties to the lower key.
+                best = best[np.argsort(-row[best], kind="stable")][:k]
+                best = best[np.isfinite(row[best])]
+                query.append(np.full(len(best), ids[i]))
+                neighbor.append(ids[given[best]])
+                sim.append(row[best])
+    none = [np.zeros(0)]
+    return pa.table({
+        "query": np.concatenate(query or none).astype(np.int64),
+        "neighbor": np.concatenate(neighbor or none).astype(np.int64),
+        "sim": np.concatenate(sim or none).astype(float),
+    })
+
+
 def knn_preservation(
     pairs: DataFrame, k: int = 20, w: np.ndarray | None = None, query_rows: int = QUERY_ROWS
 ) -> DataFrame:

@@ -7,22 +7,36 @@ from pyspark.sql import functions as F
 
 from ..functions.listings import needs_vector
 from ..functions.titles import has_title
+from ..session import lookup_join, materialize
 
 
 def upsert_vectors(vectors: DataFrame, new: DataFrame) -> DataFrame:
-    """Insert or replace by key; the row with the highest ``seq`` wins."""
-    latest = new.groupBy("url_hash").agg(F.max_by("role_vec", "seq").alias("role_vec"))
+    """Insert or replace by key; the row with the highest ``seq`` wins.
+
+    Only keys that come more than once are compared, so nearly all vectors go
+    through no aggregation, which would sort them.
+    """
+    several = new.groupBy("url_hash").agg(F.count("*").alias("_n")).filter("_n > 1").select("url_hash")
+    repeated = lookup_join(new, several, ["url_hash"], "left_semi")
+    latest = repeated.groupBy("url_hash").agg(F.max_by("role_vec", "seq").alias("role_vec")).unionByName(
+        lookup_join(new, several, ["url_hash"], "left_anti").select("url_hash", "role_vec")
+    )
     kept = vectors.join(new.select("url_hash").distinct(), "url_hash", "left_anti")
     return kept.select("url_hash", "role_vec").unionByName(latest)
 
 
 def unembedded(listings: DataFrame, vectors: DataFrame, limit: int | None = None) -> DataFrame:
-    """D2 with C6: active listings with text and without a vector."""
-    pending = listings.filter(
+    """D2 with C6: active listings with text and without a vector.
+
+    The keys alone are held against the vectors; what is pending, mostly little, is
+    measured and then fetched with its text.
+    """
+    texts = listings.filter(
         needs_vector(F.col("title"), F.col("description_raw"), F.col("is_active"))
     ).select("url", "url_hash", "title", "description_raw")
-    pending = pending.join(vectors.select("url_hash"), "url_hash", "left_anti")
-    return pending if limit is None else pending.limit(limit)
+    keys = texts.select("url_hash").join(vectors.select("url_hash"), "url_hash", "left_anti")
+    keys = materialize(keys if limit is None else keys.limit(limit))
+    return lookup_join(texts, keys.distinct(), ["url_hash"], "left_semi")
 
 
 def live_vectors(vectors: DataFrame, listings: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed_values as fv
 from ..functions.embedding import Embedder, embed
 from ..functions.text import role_text, text_long_enough
-from ..operators.vector_table import live_vectors, unembedded, upsert_vectors
+from ..operators.vector_table import live_vectors, unembedded
 from ..session import materialize
 
 
@@ -23,14 +23,16 @@ def pending_texts(listings: DataFrame, vectors: DataFrame, limit: int | None = N
 
 def encode_new(
     listings: DataFrame, vectors: DataFrame, embedder: Embedder | None = None,
-    batch: int = fv.EMBED_BATCH, limit: int | None = None,
+    batch: int = fv.EMBED_BATCH, limit: int | None = None, compact: bool = True,
 ) -> DataFrame:
     """The next version of the vectors table.
 
-    New vectors are written out before the merge, so that losing an executor
-    afterwards does not call the embedder again.  A second run finds nothing
-    pending and only drops vectors of inactive listings.
+    What is pending has no vector yet, so new vectors are appended; stored ones are
+    neither compared nor moved.  They are written out first, so that losing an
+    executor afterwards does not call the embedder again.  ``compact`` also drops the
+    vectors of inactive listings (D3), which reads the keys of all; leave it to a
+    run of its own if the table is large.
     """
     new = materialize(embed(pending_texts(listings, vectors, limit), embedder, batch))
-    merged = upsert_vectors(vectors, new.withColumn("seq", F.lit(0)))
-    return live_vectors(merged, listings)
+    appended = vectors.select("url_hash", "role_vec").unionByName(new.select("url_hash", "role_vec"))
+    return live_vectors(appended, listings) if compact else appended
