@@ -558,7 +558,7 @@ def s1(spark, d):
     query = stream_upserts(
         spark, os.path.join(landed, "*"), root, scratch_path(spark, "offsets"),
         V.prior_state(spark, d), RUN,
-        schema=rows.drop("doc_id", "part").schema,
+        files_per_batch=1, schema=rows.drop("doc_id", "part").schema,
     )
     query.awaitTermination()
     if query.exception() is not None:

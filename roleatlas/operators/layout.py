@@ -1,40 +1,94 @@
-"""2-D layout of the points of each role, and the geometry of its groups.
-
-A role has at most MAX_CENTER_DOTS + NEIGHBORS points whatever the corpus holds,
-so one group per role is bounded and the roles lay out in parallel.
-"""
+"""2-D layout of the points of each role, and the geometry of its groups."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
+from ..functions.vectors import lists, matrix, vector_sum
 from ..session import lookup_join, materialize
 from .topk import cut_at_rank
 
 
-def _principal_plane(pdf: pd.DataFrame) -> pd.DataFrame:
-    x = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-    x = x - x.mean(axis=0)
-    out = np.zeros((len(x), 2))
-    _, _, axes = np.linalg.svd(x, full_matrices=False)
-    for i, axis in enumerate(axes[:2]):
-        # The largest loading is made positive, which fixes the sign.
-        out[:, i] = x @ (axis * np.sign(axis[np.argmax(np.abs(axis))]))
-    return pd.DataFrame(
-        {"role": pdf["role"], "url_hash": pdf["url_hash"], "x": out[:, 0], "y": out[:, 1]}
+def role_moments(points: DataFrame) -> DataFrame:
+    """Per task and role: row count, summed vectors, summed outer products (flattened)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[str, list] = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, names = matrix(b.column(1)), np.asarray(b.column(0).to_pylist())
+            for role in np.unique(names):
+                mine = x[names == role]
+                held = totals.setdefault(str(role), [0, 0.0, 0.0])
+                held[0] += len(mine)
+                held[1] = held[1] + mine.sum(axis=0)
+                held[2] = held[2] + mine.T @ mine
+        if totals:
+            n, first, second = zip(*totals.values())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(totals)), pa.array(n), lists(np.stack(first)),
+                    lists(np.stack([m.ravel() for m in second])),
+                ],
+                names=["role", "n", "first", "second"],
+            )
+
+    return points.select("role", "vec").mapInArrow(
+        run, "role string, n long, first array<double>, second array<double>"
     )
 
 
+def principal_axes(n: int, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The mean and the two axes of most variance, each with its largest loading positive."""
+    mean = first / n
+    _, vectors = np.linalg.eigh(second.reshape(len(mean), -1) / n - np.outer(mean, mean))
+    axes = np.zeros((2, len(mean)))
+    for i, axis in enumerate(vectors.T[::-1][:min(2, n - 1)]):
+        axes[i] = axis * np.sign(axis[np.argmax(np.abs(axis))])
+    return mean, axes
+
+
 def pca_layout(points: DataFrame) -> DataFrame:
-    """I4: ``role, url_hash, vec`` to coordinates in [-1, 1], one plane per role."""
-    plane = points.select("role", "url_hash", "vec").groupBy("role").applyInPandas(
-        _principal_plane, "role string, url_hash long, x double, y double"
+    """I4: ``role, url_hash, vec`` to coordinates in [-1, 1], one principal plane per role.
+
+    The second moments are summed per task, so a role of any size is laid out: what
+    reaches the driver is one matrix per role, and the points are projected where
+    they lie.
+    """
+    summed = role_moments(points).groupBy("role").agg(
+        F.sum("n").alias("n"), vector_sum("first").alias("first"), vector_sum("second").alias("second")
+    )
+    planes = {
+        r["role"]: principal_axes(r["n"], np.array(r["first"]), np.array(r["second"]))
+        for r in summed.collect()
+    }
+    shared = points.sparkSession.sparkContext.broadcast(planes)
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, names = matrix(b.column(2)), np.asarray(b.column(0).to_pylist())
+            out = np.zeros((len(x), 2))
+            for role in np.unique(names):
+                mean, axes = shared.value[str(role)]
+                mine = names == role
+                out[mine] = (x[mine] - mean) @ axes.T
+            cells = [b.column(0), b.column(1), pa.array(out[:, 0]), pa.array(out[:, 1])]
+            yield pa.RecordBatch.from_arrays(cells, names=["role", "url_hash", "x", "y"])
+
+    plane = points.select("role", "url_hash", "vec").mapInArrow(
+        project, "role string, url_hash long, x double, y double"
     )
-    return rescale(plane, bounded=True)
+    return rescale(materialize(plane))
 
 
 def axis_bounds(plane: DataFrame) -> DataFrame:

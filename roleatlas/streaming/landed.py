@@ -21,10 +21,12 @@ def version_path(root: str, version: int) -> str:
 
 def stream_upserts(
     spark: SparkSession, landed: str, root: str, checkpoint: str, initial: DataFrame, now,
-    files_per_batch: int = 1, schema: str = schemas.SCRAPED + ", source_domain string",
+    files_per_batch: int = 1000, schema: str = schemas.SCRAPED + ", source_domain string",
 ) -> StreamingQuery:
     """Start a query that upserts new files below ``landed``, then stops.
 
+    Each micro-batch writes the table once, so it takes many files at a time.
+
     ``now`` is a timestamp or a callable of the batch id that gives one; it has to
     be the same on a replay.
     """
