@@ -7,7 +7,7 @@ the table bucketed by ``url`` (``save_bucketed``) and that one goes away too.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -108,9 +108,21 @@ def merge(state: DataFrame, winners: DataFrame, now) -> DataFrame:
     )
 
 
-def upsert_listings(state: DataFrame, batch: DataFrame, now) -> DataFrame:
-    """Insert or refresh; empty incoming values never clobber stored ones."""
-    merged = merge(state, last_values(storable(batch)), now)
+def counted(df: DataFrame, seen: Observation | None, **flags: Column) -> DataFrame:
+    """``df``, whose next action also counts the rows that have each flag."""
+    if seen is None:
+        return df
+    return df.observe(seen, *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in flags.items()])
+
+
+def upsert_listings(
+    state: DataFrame, batch: DataFrame, now, seen: Observation | None = None
+) -> DataFrame:
+    """Insert or refresh; empty incoming values never clobber stored ones.
+
+    ``seen`` gets the number of ``inserted`` listings when the result is used.
+    """
+    merged = counted(merge(state, last_values(storable(batch)), now), seen, inserted=F.col("_new"))
     return merged.filter("_kept").select(schemas.LISTING_COLUMNS)
 
 
@@ -155,20 +167,28 @@ def flag_expired(state: DataFrame, cutoffs: DataFrame) -> DataFrame:
     )
 
 
-def expire_unrefreshed(state: DataFrame, companies: DataFrame, cutoff) -> DataFrame:
-    """Deactivate the companies' listings last refreshed before ``cutoff``."""
+def expire_unrefreshed(
+    state: DataFrame, companies: DataFrame, cutoff, seen: Observation | None = None
+) -> DataFrame:
+    """Deactivate the companies' listings last refreshed before ``cutoff``.
+
+    ``seen`` gets the number of ``expired`` listings when the result is used.
+    """
     cutoffs = companies.select("company").distinct().select(
         "company", timestamp(cutoff).alias("cutoff"), F.lit("normal").alias("kind")
     )
-    return flag_expired(state, cutoffs).select(schemas.LISTING_COLUMNS)
+    flagged = counted(flag_expired(state, cutoffs), seen, expired=F.col("_expired").isNotNull())
+    return flagged.select(schemas.LISTING_COLUMNS)
 
 
 END_OF_TIME = "9999-12-31 00:00:00"
 
 
-def deactivate_company(state: DataFrame, companies: DataFrame) -> DataFrame:
-    """Every active board listing of these companies goes off."""
-    return expire_unrefreshed(state, companies, END_OF_TIME)
+def deactivate_company(
+    state: DataFrame, companies: DataFrame, seen: Observation | None = None
+) -> DataFrame:
+    """Every active board listing of these companies goes off; counted as ``expired``."""
+    return expire_unrefreshed(state, companies, END_OF_TIME, seen)
 
 
 def expiry_cutoffs(statuses: DataFrame, now) -> DataFrame:

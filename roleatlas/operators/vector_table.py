@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.listings import needs_vector
 from ..functions.titles import has_title
 from ..session import lookup_join, materialize
+from .state import counted
 
 
 def upsert_vectors(vectors: DataFrame, new: DataFrame) -> DataFrame:
@@ -39,10 +40,18 @@ def unembedded(listings: DataFrame, vectors: DataFrame, limit: int | None = None
     return lookup_join(texts, keys.distinct(), ["url_hash"], "left_semi")
 
 
-def live_vectors(vectors: DataFrame, listings: DataFrame) -> DataFrame:
-    """D3: drop the vectors whose listing is not active."""
+def live_vectors(
+    vectors: DataFrame, listings: DataFrame, seen: Observation | None = None
+) -> DataFrame:
+    """D3: drop the vectors whose listing is not active.
+
+    ``seen`` gets the number of ``orphaned`` vectors when the result is used.
+    """
     active = listings.filter("is_active").select("url_hash")
-    return vectors.join(active, "url_hash", "left_semi")
+    if seen is None:
+        return vectors.join(active, "url_hash", "left_semi")
+    marked = vectors.join(active.distinct().withColumn("_live", F.lit(True)), "url_hash", "left")
+    return counted(marked, seen, orphaned=F.col("_live").isNull()).filter("_live").drop("_live")
 
 
 def vectors_for(vectors: DataFrame, keys: DataFrame) -> DataFrame:

@@ -110,15 +110,22 @@ class IngestRun:
         return path, {**companies, **seen.get}
 
 
-def run_ingest(state: DataFrame, batch: DataFrame, fetch_log: DataFrame, now) -> IngestRun:
+def run_ingest(
+    state: DataFrame, batch: DataFrame, fetch_log: DataFrame, now, companies: DataFrame | None = None
+) -> IngestRun:
     """Apply the boards' listings of one run to the stored table.
 
     ``batch`` is what the boards served (``company, seq`` and the scraped columns),
-    ``fetch_log`` how each company's fetch went, ``now`` the start of the run.
+    ``fetch_log`` how each company's fetch went, ``now`` the start of the run.  Of
+    ``companies``, those without a row in the log are counted as empty.
     Only the outer join on ``url`` shuffles stored listings; the expiry is a
     broadcast of the measured company list inside the same pass.
     """
     statuses = classify_fetch(fetch_log)
+    if companies is not None:
+        silent = companies.select("company").distinct().join(fetch_log.select("company"), "company", "left_anti")
+        silent = silent.select("company", F.lit("empty").alias("status"), F.lit(False).alias("partial"))
+        statuses = statuses.unionByName(silent, allowMissingColumns=True)
     ok = statuses.filter(F.col("status") == "ok").select("company")
     served = lookup_join(batch, ok, ["company"], "left_semi")
     merged = merge(state, _by_url(served), now)

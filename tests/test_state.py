@@ -10,6 +10,7 @@ from roleatlas.catalog import views as V
 from roleatlas.functions.listings import sanitize
 from roleatlas.functions.urls import url_hash
 from roleatlas.operators import state as ST
+from roleatlas.operators import vector_table
 from roleatlas.plans.ingest import run_ingest
 from roleatlas.sources import snapshots
 from roleatlas.sources.companies import classify_fetch
@@ -190,3 +191,31 @@ def _gz(folder, text):
 def test_hash_matches_everywhere(spark):
     df = spark.createDataFrame([("https://example.com/a",)] * 3, "u string").repartition(3)
     assert {r[0] for r in df.select(url_hash("u")).collect()} == {8235568502841796004}
+
+
+def test_affected_rows_are_counted(spark, sf):
+    from pyspark.sql import Observation
+
+    state, batch = V.prior_state(spark, sf), V.scraped_batch(spark, sf)
+    seen = [Observation(n) for n in ("up", "ex", "off", "live")]
+    after = ST.upsert_listings(state, batch, V.RUN_START, seen[0]).collect()
+    assert seen[0].get["inserted"] == len(after) - state.count() > 0
+    companies = state.select("company").distinct()
+    active = state.filter("is_active").count()
+    left = ST.expire_unrefreshed(state, companies, "2024-01-02", seen[1]).filter("is_active").count()
+    assert seen[1].get["expired"] == active - left > 0
+    ST.deactivate_company(state, companies, seen[2]).collect()
+    assert seen[2].get["expired"] == active
+    vectors = state.select("url_hash")
+    live = vector_table.live_vectors(vectors, state, seen[3]).count()
+    assert live == active and seen[3].get["orphaned"] == state.count() - active
+
+
+def test_companies_without_a_log_row_are_empty(spark, sf):
+    log = V.fetch_log(spark, sf)
+    companies = log.select("company").unionByName(spark.createDataFrame([("silent",)], "company string"))
+    runs = [
+        run_ingest(V.prior_state(spark, sf), V.scraped_batch(spark, sf), log, V.RUN_START, known).stats.first()
+        for known in (None, companies)
+    ]
+    assert [runs[1][c] - runs[0][c] for c in ("companies_total", "empty", "scraped_ok", "expired_normal")] == [1, 1, 0, 0]
