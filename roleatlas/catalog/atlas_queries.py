@@ -504,3 +504,49 @@ def j7_deconfounded(spark, d):
     w = D.fit_deconfound(V.vector_pairs(spark, d), LAMBDA, ALPHA)
     found = neighborhood(spark, d, w=w).neighbors
     return found.select("role", "url_hash", "grp", F.round("sim", 4).alias("sim"), "rank")
+
+
+# --- a diagonal matrix, which SQL can apply ------------------------------------
+
+DIMENSION = 64
+_WEIGHTED = "list_transform(generate_series(1, len(role_vec)), lambda i: role_vec[i]::DOUBLE * (1 + i % 3))"
+
+
+def stored_diagonal(spark) -> np.ndarray:
+    """The matrix as it comes back from storage."""
+    path = scratch_path(spark, "diagonal")
+    D.save_transform(spark, np.diag(1.0 + np.arange(1, DIMENSION + 1) % 3), path)
+    return D.load_transform(spark, path)
+
+
+_DIAGONAL_PARTS = PARTS | {
+    "titled": f"SELECT *, {_unit('weighted')} AS clean_unit FROM (SELECT v2.*, grp, {_WEIGHTED} AS weighted "
+              "FROM v2 JOIN norm USING (title) WHERE is_active AND title <> '')",
+    "sums": """SELECT role, i, avg(x) AS raw, avg(u) AS clean FROM (
+        SELECT role, generate_subscripts(role_vec, 1) AS i, unnest(role_vec)::DOUBLE AS x,
+        unnest(clean_unit) AS u FROM center) GROUP BY role, i""",
+    "scored": f"""SELECT role, n, url_hash, title, company, url, grp,
+        round(list_dot_product({_unit('role_vec')}, raw), 10) AS raw_score,
+        round(list_dot_product(clean_unit, clean), 10) AS clean_score FROM titled, centroids""",
+}
+
+
+@add(
+    "j7_diagonal_neighbors",
+    with_views(["v2"], "SELECT role, url_hash, grp, round(sim, 4) AS sim, rank FROM neighbors", **_DIAGONAL_PARTS),
+)
+def j7_diagonal(spark, d):
+    found = neighborhood(spark, d, w=stored_diagonal(spark)).neighbors
+    return found.select("role", "url_hash", "grp", F.round("sim", 4).alias("sim"), "rank")
+
+
+@add(
+    "i10_diagonal_r2",
+    with_views(["v7"], """SELECT round(1 - sum(e) / sum(s), 5) AS r2, (SELECT count(*) FROM v7) AS n FROM (
+        SELECT i, sum((y - x * (1 + i % 3)) ** 2) AS e, sum(y * y) - sum(y) ** 2 / count(*) AS s FROM (
+          SELECT generate_subscripts(role_vec, 1) AS i, unnest(role_vec)::DOUBLE AS x, unnest(resp_vec) AS y FROM v7)
+        GROUP BY i)"""),
+)
+def i10_diagonal(spark, d):
+    found = D.reconstruction_r2(V.vector_pairs(spark, d), stored_diagonal(spark))
+    return found.select(F.round("r2", 5).alias("r2"), "n")

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
-from ..functions.titles import panel_ok, plausible_title, shares_words
+from ..functions.titles import panel_ok, shares_words
 from ..functions.regex import strip
+from ..session import materialize
 from .topk import top_k
 
 
@@ -50,16 +51,18 @@ def also_near(
 
 
 def farthest(
-    scored: DataFrame, pool: int = fv.FARTHEST_POOL, size: int = fv.FARTHEST_SIZE
+    scored: DataFrame, texts: DataFrame, pool: int = fv.FARTHEST_POOL, size: int = fv.FARTHEST_SIZE
 ) -> DataFrame:
     """The plainest listings far from a role.
 
-    ``scored`` is ``role, url_hash, title, company, raw_score`` over the whole
-    searchable corpus, the center included.  The pool is cut before the word
-    test, so a role can end up with fewer than ``size`` rows.
+    ``scored`` is ``role, url_hash, plain, raw_score`` over the whole searchable
+    corpus, the center included; ``plain`` says that the title is a plausible one.
+    Only the pool gets its text.  It is cut before the word test, so a role can end
+    up with fewer than ``size`` rows.
     """
-    plain = scored.filter(plausible_title(F.col("title"), F.col("company")))
-    far = top_k(plain, ["role"], [F.col("raw_score"), F.col("url_hash")], pool, rank="_place")
+    plain = scored.filter("plain").select("role", "url_hash", "raw_score")
+    order = [F.col("raw_score"), F.col("url_hash")]
+    far = materialize(top_k(plain, ["role"], order, pool, rank="_place")).join(texts, "url_hash")
     wordy = far.filter(shares_words(F.col("title"))).withColumn("_key", strip(F.lower("title")))
     first = Window.partitionBy("role", "_key").orderBy("_place")
     order = Window.partitionBy("role").orderBy("_place")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fv
 from ..functions.titles import (
-    group_contains_any, has_title, normalize_title, title_like_any,
+    group_contains_any, has_title, normalize_title, plausible_title, title_like_any,
 )
 from ..functions.regex import bind, text
 from ..functions.vectors import apply_transform, centroid_scores, role_sums, vector_sum
@@ -115,9 +115,7 @@ def per_role(wide: DataFrame, keys: list[str]) -> DataFrame:
         )
         for i, k in enumerate(keys)
     ]
-    return wide.select(
-        "url_hash", "title", "company", "url", "center_of", F.inline(F.array(*named))
-    )
+    return wide.select("url_hash", "center_of", "plain", F.inline(F.array(*named)))
 
 
 @dataclass
@@ -133,6 +131,7 @@ class Neighborhood:
     centroids: DataFrame
     neighbors: DataFrame
     scored: DataFrame | None
+    texts: DataFrame | None
     candidates: DataFrame | None
     vectors: DataFrame
     w: np.ndarray | None
@@ -165,7 +164,7 @@ class Neighborhood:
     def farthest(self) -> DataFrame:
         if self.scored is None:
             return self.also_near().limit(0)
-        return panels.farthest(self.scored)
+        return panels.farthest(self.scored, self.texts)
 
     @cached_property
     def viz(self) -> DataFrame:
@@ -235,7 +234,7 @@ def find_neighborhood(
             "role", "url_hash", "title", "company", "url", F.lit("").alias("grp"),
             F.lit(0.0).alias("sim"), F.lit(0).alias("rank"),
         )
-        return Neighborhood(roles, center, centroids, empty, None, None, vectors, w, n, settings)
+        return Neighborhood(roles, center, centroids, empty, None, None, None, vectors, w, n, settings)
 
     keys = [r["role"] for r in found]
     raw = np.array([r["raw_centroid"] for r in found])
@@ -243,7 +242,10 @@ def find_neighborhood(
     titled = listings.filter(has_title(F.col("title"), F.col("is_active")))
     if candidate_filter is not None:
         titled = titled.filter(candidate_filter)
-    titled = titled.select("url_hash", "title", "company", "url", tags.alias("center_of"))
+    # Scores and flags of all rows are written; text is fetched for the few rows that are chosen.
+    texts = titled.select("url_hash", "title", "company", "url")
+    plain = plausible_title(F.col("title"), F.col("company")).alias("plain")
+    titled = titled.select("url_hash", tags.alias("center_of"), plain)
     held = vectors.select("url_hash", "role_vec")
     if co_located:
         joined = centroid_scores(titled.join(held, "url_hash"), raw, clean, w)
@@ -253,7 +255,8 @@ def find_neighborhood(
     widths = {
         r["role"]: max(n * prefetch_factor, n + r["n"] + prefetch_extra) for r in found
     }
-    candidates = cut_at_rank(scored, "role", "raw_score", "url_hash", widths)
+    chosen = materialize(cut_at_rank(scored, "role", "raw_score", "url_hash", widths).drop("plain"))
+    candidates = chosen.join(texts, "url_hash")
     # Whether a candidate is a center follows from its title, so no anti-join.
     in_center = F.array_contains("center_of", F.col("role"))
     others = (
@@ -270,5 +273,7 @@ def find_neighborhood(
             F.col("clean_score").alias("sim"), "rank",
         )
     )
-    return Neighborhood(roles, center, centroids, neighbors, scored, candidates, vectors, w, n, settings)
+    return Neighborhood(
+        roles, center, centroids, neighbors, scored, texts, candidates, vectors, w, n, settings
+    )
 
