@@ -23,6 +23,8 @@ HOT = 10_000
 RUN_BYTES = 12 << 20
 SLICE_BYTES = 1 << 20
 PART_SUFFIXES = 40_000
+# Merged suffixes are compared in batches of about so many, at bounds of groups.
+GROUPS_AT_ONCE = 4000
 INTERVALS = "key long, start long, end long"
 
 
@@ -265,24 +267,32 @@ def merged_repeats(runs: list[Run], length: int, gram: int) -> tuple[np.ndarray,
     The merge puts suffixes in order and says what neighbours share; those that share
     ``gram`` bytes have the same anchor string and are compared window by window.
     """
-    pieces, group, where = [], [], []
+    starts, ends = [], []
+    held: list[tuple[int, int, int]] = []
     number = -1
     for r, i, shared in merge_runs(runs):
         number += shared < gram
-        pieces.append(runs[r].left[i])
-        pieces.append(runs[r].suffix[i])
-        group.append(number)
-        where.append((r, i))
-    if not where:
+        if shared < gram and len(held) > GROUPS_AT_ONCE:
+            start, end = held_repeats(runs, held, length)
+            starts.append(start)
+            ends.append(end)
+            held = []
+        held.append((r, i, number))
+    start, end = held_repeats(runs, held, length)
+    return np.concatenate([*starts, start]), np.concatenate([*ends, end])
+
+
+def held_repeats(runs: list[Run], held: list[tuple[int, int, int]], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """What occurs earlier among whole groups of merged suffixes (run, index, group)."""
+    if not held:
         none = np.zeros(0, np.int64)
         return none, none
-    run, index = np.array(where).T
-    pos, span, left = np.empty(len(run), np.int64), np.empty(len(run), np.int64), np.empty(len(run), np.int64)
-    for r in range(len(runs)):
-        mine = run == r
-        pos[mine], span[mine] = runs[r].pos[index[mine]], runs[r].span[index[mine]]
-    left = np.array([len(p) for p in pieces[::2]], np.int64)
-    return Contexts(b"".join(pieces), left, span, pos, length).repeats(np.array(group))
+    data = b"".join([part for r, i, _ in held for part in (runs[r].left[i], runs[r].suffix[i])])
+    left = np.array([len(runs[r].left[i]) for r, i, _ in held], np.int64)
+    pos = np.array([runs[r].pos[i] for r, i, _ in held], np.int64)
+    span = np.array([runs[r].span[i] for r, i, _ in held], np.int64)
+    group = np.array([g for *_, g in held], np.int64)
+    return Contexts(data, left, span, pos, length).repeats(group)
 
 
 def keyed_documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
