@@ -17,6 +17,7 @@ from .tokens import encoder
 from .words import slices
 
 CAPACITY = 2048
+TEXT_BYTES = 2 << 20
 
 
 def token_pieces(
@@ -35,12 +36,12 @@ def token_pieces(
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, chunk = encoder(tokenizer).encode, TaskContext.get().partitionId()
+        own, chunk = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for whole in batches:
-            for at, to in slices(whole.column(1)):
+            for at, to in slices(whole.column(1), TEXT_BYTES):
                 batch = whole.slice(at, to - at)
-                ids, begins = encode(batch.column(1))
+                ids, begins = own.encode(batch.column(1))
                 rows, parts = [], []
                 for i in range(batch.num_rows):
                     data = ids[begins[i]:begins[i + 1]].tobytes() + b"\0\0\0\0"
@@ -57,6 +58,7 @@ def token_pieces(
                 out += [pa.array(parts, pa.binary())] if with_ids else []
                 names = [id_col, "piece", "start", "length", "ids_crc32", "chunk", "place"]
                 yield pa.RecordBatch.from_arrays(out, names + ["ids"] * with_ids)
+        own.forget()
 
     return docs.select(col(id_col), col(text_col)).mapInArrow(cut, f"`{id_col}` {kind}, {made}")
 

@@ -18,7 +18,7 @@ RARE = re.compile(r"[^!-~¡-įı-ſ]|<\|")
 LETTERS = "a-zªµºß-öø-ſ"
 NUMBERS = "0-9²³¹¼-¾"
 PIECES = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
-KNOWN_MOST = 600_000
+KNOWN_MOST = 300_000
 WORD_END = "</w>"
 
 
@@ -54,11 +54,15 @@ class Encoder:
             else:
                 self.known.update((piece, self.whole(piece)) for piece in part)
 
+    def forget(self) -> None:
+        """Give back the memory of known pieces, for whatever the worker does next."""
+        self.known = {}
+
     def words(self, words: list[str]) -> list[bytes]:
         split = [None if RARE.search(w) else PIECES.findall(w.lower()) for w in words]
         wanted = set().union(*(s for s in split if s is not None))
         if len(self.known) > KNOWN_MOST:
-            self.known.clear()
+            self.forget()
         self.learn(list(wanted - self.known.keys()))
         known = self.known
         return [
