@@ -20,7 +20,7 @@ POSITIVES = 6000
 UNLABELLED = 14000
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.7
-PRIOR_TEXTS = 5.0
+PRIOR_TEXTS = 10.0
 # Words are runs of ASCII letters and of bytes beyond ASCII.
 NOT_LETTERS = np.array([not (chr(b).isalpha() if b < 128 else True) for b in range(256)])
 
@@ -142,7 +142,7 @@ def design(sample: DataFrame, features: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def fit_nnpu(
     positive: np.ndarray, row: np.ndarray, feature: np.ndarray, first: np.ndarray, prior: float,
-    seed: int = 0, steps: int = 600, rate: float = 0.03, decay: float = 1e-4,
+    seed: int = 0, steps: int = 1500, rate: float = 0.05, decay: float = 2e-4,
 ) -> tuple[np.ndarray, float]:
     """A linear classifier of least non-negative risk over rows with 0/1 features.
 
