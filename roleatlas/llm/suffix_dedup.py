@@ -189,8 +189,13 @@ MAPPED = f"kind int, part int, run binary, hash long, gram long, pos long, {INTE
 
 def mapped_rows(
     docs: DataFrame, filters: tuple[np.ndarray, np.ndarray], parts: int, bits: int, length: int, gram: int,
+    runs: bool,
 ) -> DataFrame:
-    """Rows of three kinds: 0, an interval to remove; 1, a part of a run; 2, a window of a hot gram."""
+    """Rows of three kinds: 0, an interval to remove; 1, a part of a run; 2, a window of a hot gram.
+
+    Runs go straight into their exchange and are never stored, so they are made by
+    one pass (``runs``) and the few other rows by another, which settles the same.
+    """
 
     def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not held:
@@ -202,6 +207,9 @@ def mapped_rows(
         first = first_of((own, grams), pos)
         start, end = [pos[~first]], [pos[~first] + all_.size[~first]]
         hot = has_bit(filters[1], grams) & first
+        if runs:
+            yield from packed(data, all_, grams, np.flatnonzero(first & ~hot))
+            return
         hot_at = np.flatnonzero(hot)
         hot_ones = all_.some(hot_at)
         whose, hash_, at = hot_ones.windows(np.arange(len(hot_at)))
@@ -214,8 +222,10 @@ def mapped_rows(
         for k in range(0, int(one.sum()), 100_000):
             some = np.flatnonzero(one)[k:k + 100_000]
             yield rows(2, hash=hash_[some], gram=grams[whose[some]], pos=at[some])
-        ours = np.flatnonzero(first & ~hot)
-        begins, ends, lefts = all_.start.tolist(), all_.end.tolist(), left.tolist()
+
+    def packed(data: bytes, all_: Contexts, grams: np.ndarray, ours: np.ndarray) -> Iterator[pa.RecordBatch]:
+        pos, span = all_.pos, all_.span
+        begins, ends, lefts = all_.start.tolist(), all_.end.tolist(), all_.left.tolist()
         part = (grams % np.uint64(parts)).astype(np.int64)
         order = ours[np.argsort(part[ours], kind="stable")]
         bounds = np.searchsorted(part[order], np.arange(parts + 1))
@@ -325,14 +335,15 @@ def repeated_intervals(keyed: DataFrame, bits: int, length: int, gram: int, hot:
     # Each set bit stands for two anchors at least; most of them several.
     bits_set = int(np.unpackbits(filters[0].view(np.uint8)).sum())
     parts = max(1, 2 * bits_set // PART_SUFFIXES)
-    mapped = materialize(mapped_rows(keyed, filters, parts, bits, length, gram))
+    mapped = materialize(mapped_rows(keyed, filters, parts, bits, length, gram, runs=False))
+    runs_ = mapped_rows(keyed, filters, parts, bits, length, gram, runs=True)
 
     def merge(group: pa.Table) -> pa.Table:
         runs = [unpack_run(blob) for blob in group["run"].to_pylist()]
         start, end = join_intervals(*merged_repeats(runs, length, gram))
         return pa.table(dict(zip(("key", "start", "end"), interval_cells(start, end, bits))))
 
-    merged = mapped.filter("kind = 1").select("part", "run").groupBy("part").applyInArrow(merge, INTERVALS)
+    merged = materialize(runs_.select("part", "run").groupBy("part").applyInArrow(merge, INTERVALS))
     windows = mapped.filter("kind = 2").select("hash", "gram", "pos")
     firsts = windows.groupBy("hash", "gram").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
     later = windows.join(firsts.filter("n > 1"), ["hash", "gram"]).filter("pos <> first")

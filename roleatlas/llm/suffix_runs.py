@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,10 +46,11 @@ def pack_run(suffix: list[bytes], left: list[bytes], pos: np.ndarray, span: np.n
     tails = [s[k:] for s, k in zip(suffix, shared)]
     head = np.array([n], "<i8").tobytes()
     sizes = np.array([shared, [len(t) for t in tails], [len(x) for x in left], span], "<u2").tobytes()
-    return head + sizes + pos.astype("<i8").tobytes() + b"".join(tails) + b"".join(left)
+    return zlib.compress(head + sizes + pos.astype("<i8").tobytes() + b"".join(tails) + b"".join(left), 1)
 
 
 def unpack_run(blob: bytes) -> Run:
+    blob = zlib.decompress(blob)
     n = int(np.frombuffer(blob, "<i8", 1)[0])
     shared, tail, left, span = np.frombuffer(blob, "<u2", 4 * n, 8).reshape(4, n).astype(np.int64)
     pos = np.frombuffer(blob, "<i8", n, 8 + 8 * n)
