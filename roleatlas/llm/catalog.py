@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry
-from . import exact_dedup, html_extract, knn_join, line_dedup, lm_score, mixing, near_dedup, packing
+from . import exact_dedup, html_extract, knn_join, line_dedup, lm_bytes, mixing, near_dedup, packing
 from . import suffix_dedup, toxicity
 
 registry = Registry()
@@ -117,7 +117,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = toxicity.fold("doc_id", 7) == 2
-    scores = lm_score.lm_scores(docs, ~held_out)
+    scores = lm_bytes.byte_lm_scores(docs, ~held_out)
     return scores.select("doc_id", held_out.alias("held_out"), *scores.columns[1:])
 
 
