@@ -24,13 +24,18 @@ DROPPED = frozenset(
     "nav footer aside form script style noscript template iframe object svg canvas button select "
     "textarea dialog menu head title video audio map".split()
 )
-DROPPED_WORDS = frozenset(
+# Words of class, id or role that make an element suspect; its weight decides (``without_marked``).
+MARK_WORDS = frozenset(
     "ad ads advert advertisement advertising adverts banner breadcrumb breadcrumbs byline-ad comment "
     "comments consent cookie cookies disqus footer gdpr header masthead menu modal nav navbar navigation "
     "newsletter notice overlay pager pagination popup promo promoted promotion related reply replies "
     "share sharing sidebar social sponsor sponsored subscribe toolbar widget "
     "complementary contentinfo search alert alertdialog".split()
 )
+# Layout names tell what a page has or lacks; the header of an article is part of it.
+LAYOUT_WORDS = frozenset("has have with without no not hide hidden".split())
+HEADER_WORDS = frozenset(("header", "masthead"))
+ARTICLE_WORDS = frozenset("article post entry story content main".split())
 # Elements that an own kind, or the end of their parent, closes without a tag.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -45,34 +50,47 @@ TOKEN = re.compile(
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+[^>]*+)>""",
     re.S | re.I,
 )
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 
 @dataclass
 class Block:
-    """Text of one block: its tag path, and the elements it stands in."""
+    """Text of one block: its tag path, the elements it stands in, and which of these are marked."""
 
     path: str
     text: str
     inside: tuple[int, ...]
+    marked: tuple[int, ...] = ()
 
 
-def is_dropped(tag: str, rest: str, open_tags: list[str]) -> bool:
-    if tag in DROPPED or tag == "header" and "article" not in open_tags:
-        return True
-    if tag in ROOTS or "=" not in rest:
+def is_dropped(tag: str, open_tags: list[str]) -> bool:
+    return tag in DROPPED or tag == "header" and "article" not in open_tags
+
+
+def is_marked(tag: str, rest: str, open_tags: list[str]) -> bool:
+    """Whether a class, id or role has a word of MARK_WORDS, compounds like has-sidebar apart."""
+    if tag in ROOTS or tag in INLINE or "=" not in rest:
         return False
-    words = (w for m in NAMES.finditer(rest) for w in re.split(r"[^a-z0-9]+", (m[1] or m[2] or m[3] or "").lower()))
-    return not DROPPED_WORDS.isdisjoint(words)
+    inside = "article" in open_tags or "main" in open_tags
+    for name, *values in ATTRIBUTE.findall(rest):
+        if name.lower() in ("class", "id", "role"):
+            for one in "".join(values).lower().split():
+                words = re.split(r"[^a-z0-9]+", one)
+                title = inside or not ARTICLE_WORDS.isdisjoint(words)
+                for before, word in zip(["", *words], words):
+                    if word in MARK_WORDS and before not in LAYOUT_WORDS and not (title and word in HEADER_WORDS):
+                        return True
+    return False
 
 
 def blocks(page: str) -> tuple[list[Block], list[str]]:
-    """Text blocks of a page in order, without dropped elements; and all elements' tags."""
+    """Text blocks of a page in order, without dropped elements, with marked ones; and all elements' tags."""
     found: list[Block] = []
     tags: list[str] = []
     stack: list[tuple[str, int, bool]] = []  # tag, number of the element, dropped
+    marked: set[int] = set()
     pieces: list[str] = []
 
     def flush() -> None:
@@ -82,7 +100,8 @@ def blocks(page: str) -> tuple[list[Block], list[str]]:
             if text:
                 outer = [(t, n) for t, n, _ in stack if t not in INLINE]
                 path = "/".join(t for t, _ in outer)
-                found.append(Block(path, text, tuple(n for _, n in outer)))
+                inside = tuple(n for _, n in outer)
+                found.append(Block(path, text, inside, tuple(n for n in inside if n in marked)))
 
     def close(at: int) -> None:
         if any(t not in INLINE for t, _, _ in stack[at:]):
@@ -108,7 +127,10 @@ def blocks(page: str) -> tuple[list[Block], list[str]]:
                 elif stack[at][0] not in INLINE and (tag not in CLOSES or stack[at][0] in LISTS):
                     break
         tags.append(tag)
-        gone = bool(stack and stack[-1][2]) or is_dropped(tag, rest, [t for t, _, _ in stack])
+        open_tags = [t for t, _, _ in stack]
+        gone = bool(stack and stack[-1][2]) or is_dropped(tag, open_tags)
+        if not gone and is_marked(tag, rest, open_tags):
+            marked.add(len(tags) - 1)
         stack.append((tag, len(tags) - 1, gone))
 
     def end(tag: str) -> None:
@@ -143,6 +165,32 @@ def smooth(values: np.ndarray, sigma: float = 1.0) -> np.ndarray:
     return np.convolve(np.pad(values, 2, mode="edge"), kernel / kernel.sum(), "valid")
 
 
+def without_marked(found: list[Block], tags: list[str]) -> list[Block]:
+    """The blocks without those of marked elements that are beside the page's text.
+
+    A block weighs its characters times its punctuation ratio.  A marked element stays
+    if an ``article`` or ``main`` is in it, or if it outweighs all blocks that no mark
+    concerns and none of these is in an ``article`` or ``main``; inner marked elements are judged when the outer ones that stay have lost
+    their marks.  So a mark decides about the lesser part of a page, and empties none.
+    """
+    weight = [len(b.text) * (1 + len(PUNCTUATION.findall(b.text))) for b in found]
+    cleared: set[int] = set()
+    for depth in range(max((len(b.marked) for b in found), default=0)):
+        others = [(b, w) for b, w in zip(found, weight) if cleared.issuperset(b.marked)]
+        free = sum(w for _, w in others)
+        if any(tags[m] in ("article", "main") for b, _ in others for m in b.inside):
+            free = float("inf")
+        inside: dict[int, int] = {}
+        for b, w in zip(found, weight):
+            if len(b.marked) > depth and cleared.issuperset(b.marked[:depth]):
+                n = b.marked[depth]
+                inside[n] = inside.get(n, 0) + w
+                if any(tags[m] in ("article", "main") for m in b.inside if m > n):
+                    cleared.add(n)
+        cleared.update(n for n, w in inside.items() if w > free)
+    return [b for b in found if cleared.issuperset(b.marked)]
+
+
 def content_path(found: list[Block]) -> str:
     """The path of the content nodes.
 
@@ -173,9 +221,11 @@ def main_text(page: str | None) -> str:
 
     The content path leads to the element that holds the article: its ``article`` or
     ``main``, or else what its blocks have in common.  All blocks of that element
-    stay, short ones too; dropped elements were left out before.
+    stay, short ones too; dropped elements, and marked ones beside the text, were left
+    out before.
     """
     found, tags = blocks(page or "")
+    found = without_marked(found, tags)
     if not found:
         return ""
     path = content_path(found)
