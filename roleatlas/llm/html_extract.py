@@ -191,13 +191,13 @@ def without_marked(found: list[Block], tags: list[str]) -> list[Block]:
     return [b for b in found if cleared.issuperset(b.marked)]
 
 
-def content_path(found: list[Block]) -> str:
-    """The path of the content nodes.
+def content_paths(found: list[Block]) -> list[str]:
+    """The paths of the content nodes.
 
     A path's text ratio is its characters per block, its punctuation ratio its marks
     per block.  Both are laid along the page, smoothed, and fused by multiplication;
     paths whose blocks reach the standard deviation of all on average are content,
-    and the one of them with the most text and punctuation leads.
+    the one of them with the most text and punctuation first.
     """
     total: dict[str, list[int]] = {}
     for b in found:
@@ -213,33 +213,47 @@ def content_path(found: list[Block]) -> str:
         values.setdefault(b.path, []).append(value)
     least = fused.std()
     chosen = [p for p, v in values.items() if np.mean(v) >= least] or list(values)
-    return max(chosen, key=lambda p: (total[p][0] * (1 + total[p][1] / total[p][2]), p))
+    return sorted(chosen, key=lambda p: (total[p][0] * (1 + total[p][1] / total[p][2]), p), reverse=True)
 
 
 def main_text(page: str | None) -> str:
     """The article of a page, one line per block.
 
-    The content path leads to the element that holds the article: its ``article`` or
-    ``main``, or else what its blocks have in common.  All blocks of that element
-    stay, short ones too; dropped elements, and marked ones beside the text, were left
-    out before.
+    If all blocks of the first content path are in an ``article`` or ``main``, the
+    elements of that kind that hold content blocks are the article.  Else it is what the
+    first path's blocks have in common, the blocks of all other content paths with what
+    each has in common below the body, and all that stands between them.  Of these, short
+    blocks stay too; dropped elements, and marked ones beside the text, were left out
+    before.
     """
     found, tags = blocks(page or "")
     found = without_marked(found, tags)
     if not found:
         return ""
-    path = content_path(found)
-    lead = [b.inside for b in found if b.path == path]
-    roots = [next((n for n in inside if tags[n] in ("article", "main")), None) for inside in lead]
-    if None not in roots:
-        holders = set(roots)
-    else:
+    paths = content_paths(found)
+    of_path: dict[str, list[int]] = {p: [] for p in paths}
+    for k, b in enumerate(found):
+        if b.path in of_path:
+            of_path[b.path].append(k)
+    content = sorted(k for places in of_path.values() for k in places)
+    root = {k: next((n for n in found[k].inside if tags[n] in ("article", "main")), None) for k in content}
+    if None not in (root[k] for k in of_path[paths[0]]):
+        holders = {n for n in root.values() if n is not None}
+        return "\n".join(b.text for b in found if not holders.isdisjoint(b.inside))
+    holders = set()
+    for path, places in of_path.items():
+        lead = [found[k].inside for k in places]
         # Numbers of elements are unique, so what two blocks share is a common beginning.
         shared = [n for n in lead[0] if all(n in inside for inside in lead)]
         if len(lead) == 1 and shared and tags[shared[-1]] not in ROOTS:
             shared.pop()
-        holders = set(shared[-1:])
-    kept = [b.text for b in found if not holders or not holders.isdisjoint(b.inside)]
+        if path == paths[0] and not shared:
+            return "\n".join(b.text for b in found)
+        if shared and (path == paths[0] or tags[shared[-1]] not in ("html", "body")):
+            holders.add(shared[-1])
+    kept = [
+        b.text for k, b in enumerate(found) if content[0] <= k <= content[-1] or not holders.isdisjoint(b.inside)
+    ]
     return "\n".join(kept)
 
 
