@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -184,17 +185,28 @@ def interval_cells(start: np.ndarray, end: np.ndarray, bits: int) -> list[pa.Arr
     return [pa.array(start >> bits), pa.array(start & low), pa.array((start & low) + end - start)]
 
 
-MAPPED = f"kind int, part int, run binary, hash long, gram long, pos long, {INTERVALS}"
+def pack_intervals(start: np.ndarray, end: np.ndarray) -> bytes:
+    return zlib.compress(np.concatenate([start, end]).astype("<i8").tobytes(), 1)
+
+
+def unpack_intervals(blob: bytes) -> np.ndarray:
+    """Starts and ends as two rows."""
+    return np.frombuffer(zlib.decompress(blob), "<i8").reshape(2, -1)
+
+
+RUNS = "part int, run binary, settled binary"
+WINDOWS = f"hash long, gram long, pos long, {INTERVALS}"
 
 
 def mapped_rows(
     docs: DataFrame, filters: tuple[np.ndarray, np.ndarray], parts: int, bits: int, length: int, gram: int,
     runs: bool,
 ) -> DataFrame:
-    """Rows of three kinds: 0, an interval to remove; 1, a part of a run; 2, a window of a hot gram.
+    """What each task has after settling what it has twice itself.
 
-    Runs go straight into their exchange and are never stored, so they are made by
-    one pass (``runs``) and the few other rows by another, which settles the same.
+    With ``runs``, of the grams that are not hot: parts of runs, and the intervals
+    settled, packed; else, of the hot ones: windows, and the intervals settled.  Each
+    pass settles its own grams, so the two need not be cut into the same flushes.
     """
 
     def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -206,11 +218,13 @@ def mapped_rows(
         # What this task itself has twice is settled here: contexts, and windows of hot grams.
         first = first_of((own, grams), pos)
         start, end = [pos[~first]], [pos[~first] + all_.size[~first]]
-        hot = has_bit(filters[1], grams) & first
         if runs:
-            yield from packed(data, all_, grams, np.flatnonzero(first & ~hot))
+            begin, stop = join_intervals(start[0], end[0])
+            if len(begin):
+                yield part_row(int(mix(begin[:1].astype(np.uint64))[0] % np.uint64(parts)), settled=pack_intervals(begin, stop))
+            yield from packed(data, all_, grams, np.flatnonzero(first))
             return
-        hot_at = np.flatnonzero(hot)
+        hot_at = np.flatnonzero(first)
         hot_ones = all_.some(hot_at)
         whose, hash_, at = hot_ones.windows(np.arange(len(hot_at)))
         whose = hot_at[whose]
@@ -218,10 +232,10 @@ def mapped_rows(
         start.append(at[~one])
         end.append(at[~one] + length)
         begin, stop = join_intervals(np.concatenate(start), np.concatenate(end))
-        yield rows(0, interval=interval_cells(begin, stop, bits))
+        yield window_rows(interval=interval_cells(begin, stop, bits))
         for k in range(0, int(one.sum()), 100_000):
             some = np.flatnonzero(one)[k:k + 100_000]
-            yield rows(2, hash=hash_[some], gram=grams[whose[some]], pos=at[some])
+            yield window_rows(hash_[some], grams[whose[some]], at[some])
 
     def packed(data: bytes, all_: Contexts, grams: np.ndarray, ours: np.ndarray) -> Iterator[pa.RecordBatch]:
         pos, span = all_.pos, all_.span
@@ -235,18 +249,18 @@ def mapped_rows(
                 some = sorted((data[begins[i] + lefts[i]:ends[i]], i) for i in some)
                 mine = np.array([i for _, i in some])
                 before = [data[begins[i]:begins[i] + lefts[i]] for _, i in some]
-                yield rows(1, part=p, run=pack_run([s for s, _ in some], before, pos[mine], span[mine]))
-
-    def rows(kind, part=None, run=None, hash=None, gram=None, pos=None, interval=None) -> pa.RecordBatch:
-        n = 1 if run is not None else len(pos) if pos is not None else len(interval[0])
-        cells = [pa.array(np.full(n, kind, np.int32))]
-        cells += [pa.array([part], pa.int32()), pa.array([run], pa.binary())] if run is not None else [
-            pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
-        cells += [pa.nulls(n, pa.int64())] * 3 if pos is None else [
+                yield part_row(p, pack_run([s for s, _ in some], before, pos[mine], span[mine]))
+
+    def part_row(part: int, run: bytes | None = None, settled: bytes | None = None) -> pa.RecordBatch:
+        cells = [pa.array([part], pa.int32()), pa.array([run], pa.binary()), pa.array([settled], pa.binary())]
+        return pa.RecordBatch.from_arrays(cells, ["part", "run", "settled"])
+
+    def window_rows(hash=None, gram=None, pos=None, interval=None) -> pa.RecordBatch:
+        n = len(pos) if pos is not None else len(interval[0])
+        cells = [pa.nulls(n, pa.int64())] * 3 if pos is None else [
             pa.array(hash.view(np.int64)), pa.array(gram.view(np.int64)), pa.array(pos)]
         cells += [pa.nulls(n, pa.int64())] * 3 if interval is None else interval
-        names = ["kind", "part", "run", "hash", "gram", "pos", "key", "start", "end"]
-        return pa.RecordBatch.from_arrays(cells, names)
+        return pa.RecordBatch.from_arrays(cells, ["hash", "gram", "pos", "key", "start", "end"])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -255,7 +269,7 @@ def mapped_rows(
                 keys = batch.column(0).slice(a, b - a).to_numpy(zero_copy_only=False)
                 data, offsets = text_bytes(batch.column(1).slice(a, b - a))
                 text, low, high, at, grams = anchors(data, offsets, length, gram)
-                some = np.flatnonzero(has_bit(filters[0], grams))
+                some = np.flatnonzero(has_bit(filters[0], grams) & (has_bit(filters[1], grams) ^ runs))
                 text, low, high, at = text[some], low[some], high[some], at[some]
                 size = high - low + length
                 begin = np.cumsum(size) - size
@@ -268,7 +282,7 @@ def mapped_rows(
                     held = []
         yield from flush(held)
 
-    return docs.select("key", "text").mapInArrow(apply, MAPPED)
+    return docs.select("key", "text").mapInArrow(apply, RUNS if runs else WINDOWS)
 
 
 def merged_repeats(runs: list[Run], length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -339,17 +353,19 @@ def repeated_intervals(keyed: DataFrame, bits: int, length: int, gram: int, hot:
     runs_ = mapped_rows(keyed, filters, parts, bits, length, gram, runs=True)
 
     def merge(group: pa.Table) -> pa.Table:
-        runs = [unpack_run(blob) for blob in group["run"].to_pylist()]
-        start, end = join_intervals(*merged_repeats(runs, length, gram))
+        runs = [unpack_run(blob) for blob in group["run"].drop_null().to_pylist()]
+        settled = [unpack_intervals(blob) for blob in group["settled"].drop_null().to_pylist()]
+        found = np.concatenate([np.array(merged_repeats(runs, length, gram), np.int64), *settled], axis=1)
+        start, end = join_intervals(*found)
         return pa.table(dict(zip(("key", "start", "end"), interval_cells(start, end, bits))))
 
-    merged = materialize(runs_.select("part", "run").groupBy("part").applyInArrow(merge, INTERVALS))
-    windows = mapped.filter("kind = 2").select("hash", "gram", "pos")
+    merged = materialize(runs_.groupBy("part").applyInArrow(merge, INTERVALS))
+    windows = mapped.filter("pos IS NOT NULL").select("hash", "gram", "pos")
     firsts = windows.groupBy("hash", "gram").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
     later = windows.join(firsts.filter("n > 1"), ["hash", "gram"]).filter("pos <> first")
     offset = F.expr(f"pos & {(1 << bits) - 1}L")
     later = later.select(F.shiftright("pos", bits).alias("key"), offset.alias("start"), (offset + length).alias("end"))
-    local = mapped.filter("kind = 0").select("key", "start", "end")
+    local = mapped.filter("key IS NOT NULL").select("key", "start", "end")
     return local.unionAll(merged).unionAll(later)
 
 
