@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.topk import global_rank
@@ -76,10 +76,12 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     return text, low, high, at[first], every[at[first]]
 
 
-def repeated_grams(docs: DataFrame, length: int, gram: int, hot: int) -> tuple[np.ndarray, np.ndarray]:
+def repeated_grams(docs: DataFrame, length: int, gram: int, hot: int) -> tuple[tuple[np.ndarray, np.ndarray], int]:
     """Filters of 2**FILTER_BITS bits: grams that may be anchors twice, and more than ``hot`` times.
 
-    A set bit too many costs work and changes no result.
+    And the number of anchors with a gram that is not hot and that the first filter lets
+    through: those of repeated grams, and its share of the single ones.  A set bit too
+    many costs work and changes no result.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,17 +93,25 @@ def repeated_grams(docs: DataFrame, length: int, gram: int, hot: int) -> tuple[n
                 yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], ["gram", "n"])
 
     counted = docs.select("text").mapInArrow(count, "gram long, n long")
-    many = counted.groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1")
+    grams = counted.groupBy("gram").agg(F.sum("n").alias("n"))
     bucket = F.shiftrightunsigned("gram", 64 - FILTER_BITS)
     bit = F.expr(f"shiftleft(1L, int(shiftrightunsigned(gram, {64 - FILTER_BITS}) & 63))")
-    words = many.groupBy(F.shiftright(bucket, 6).alias("word")).agg(
-        F.bit_or(bit).alias("twice"), F.bit_or(F.when(F.col("n") > hot, bit).otherwise(F.lit(0))).alias("hot")
+
+    def bits_of(which: Column) -> Column:
+        return F.bit_or(F.when(which, bit).otherwise(F.lit(0)))
+
+    n = F.col("n")
+    words = grams.groupBy(F.shiftright(bucket, 6).alias("word")).agg(
+        bits_of(n > 1).alias("twice"), bits_of(n > hot).alias("hot"), F.count_if(n == 1).alias("single"),
+        F.sum(F.when((n > 1) & (n <= hot), n).otherwise(F.lit(0))).alias("n"),
     ).toArrow()  # 2**(FILTER_BITS - 6) rows at most
     twice = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     hot_ = twice.copy()
     twice[words["word"].to_numpy()] = words["twice"].to_numpy()
     hot_[words["word"].to_numpy()] = words["hot"].to_numpy()
-    return twice.view(np.uint64), hot_.view(np.uint64)
+    full = int(np.unpackbits(twice.view(np.uint8)).sum()) / (1 << FILTER_BITS)
+    suffixes = int(words["n"].to_numpy().sum()) + int(full * words["single"].to_numpy().sum())
+    return (twice.view(np.uint64), hot_.view(np.uint64)), suffixes
 
 
 def has_bit(filter_: np.ndarray, gram: np.ndarray) -> np.ndarray:
@@ -345,10 +355,8 @@ def keyed_documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFr
 
 def repeated_intervals(keyed: DataFrame, bits: int, length: int, gram: int, hot: int) -> DataFrame:
     """``key, start, end`` of byte ranges whose strings of ``length`` bytes start earlier somewhere."""
-    filters = repeated_grams(keyed, length, gram, hot)
-    # Each set bit stands for two anchors at least; most of them several.
-    bits_set = int(np.unpackbits(filters[0].view(np.uint8)).sum())
-    parts = max(1, 2 * bits_set // PART_SUFFIXES)
+    filters, suffixes = repeated_grams(keyed, length, gram, hot)
+    parts = max(1, suffixes // PART_SUFFIXES)
     mapped = materialize(mapped_rows(keyed, filters, parts, bits, length, gram, runs=False))
     runs_ = mapped_rows(keyed, filters, parts, bits, length, gram, runs=True)
 

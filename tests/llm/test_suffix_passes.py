@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from roleatlas.llm import suffix_dedup
@@ -38,3 +39,24 @@ def test_passes_may_be_cut_differently(spark, tmp_path, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.files.openCostInBytes")
         spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_parts_follow_the_occurrences(spark, monkeypatch):
+    rng = random.Random(8)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(300))
+    rows = [(i, f"{i}:{passage}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(12).cache()
+    made = []
+
+    def parts(keyed, filters, n, *args, real=suffix_dedup.mapped_rows, **more):
+        made.append(n)
+        return real(keyed, filters, n, *args, **more)
+
+    monkeypatch.setattr(suffix_dedup, "PART_SUFFIXES", 100)
+    monkeypatch.setattr(suffix_dedup, "mapped_rows", parts)
+    got = suffix_dedup.remove_repeats(docs).collect()
+    assert sum(r["n_bytes"] - len(r["kept"]) for r in got) >= 599 * 300
+    data = np.frombuffer(rows[0][1].encode(), np.uint8)
+    anchors = len(set(suffix_dedup.anchors(data, np.array([0, len(data)]), 100, 32)[3].tolist()))
+    # Nearly every anchor of a text is one of the passage and occurs 600 times.
+    assert set(made) == {made[0]} and made[0] >= 600 * (anchors - 2) // 100
