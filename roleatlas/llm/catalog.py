@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog.registry import Registry
-from . import exact_dedup, html_extract, knn_join, line_dedup, lm_bytes, mixing, near_dedup, packing
-from . import suffix_dedup, toxicity
+from . import alignment, conversations, exact_dedup, html_extract, knn_join, line_dedup, lm_bytes, mixing
+from . import near_dedup, ngram_join, packing, suffix_dedup, toxicity
 
 registry = Registry()
 
@@ -176,3 +176,37 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", n_removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@registry.add("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    names = ("byte_bpe_50k.json", "piece_bpe_32k.model")
+    found = alignment.align_tokenizers(docs, *[public_tokenizers.path(n) for n in names])
+    return found.withColumnRenamed("digest", "groups_sha256")
+
+
+@registry.add("op12_ngram_join")
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.ngram_components(docs)
+
+
+@registry.add("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged and repaired; one that lost all its rows has zeros."""
+    rows = table(spark, sf_dir, "conversations")
+    found = conversations.repair_conversations(conversations.damaged(rows))
+    digests = conversations.line_digests(found.repaired)
+    counts = [c for c in found.audits.columns if c not in ("conv_id", "audit")]
+    names = rows.select("conv_id").distinct().alias("n")
+    joined = names.join(found.audits.alias("a"), F.expr("n.conv_id <=> a.conv_id"), "left").join(
+        digests.alias("d"), F.expr("n.conv_id <=> d.conv_id"), "left"
+    )
+    empty = F.sha2(F.lit(""), 256)
+    return joined.select(
+        "n.conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"),
+    )

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
+from typing import TypeVar
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 # The white space and the words of every contract, as patterns for Java and RE2.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,3 +38,14 @@ def keep_ids(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id") -> Dat
     (gone,) = fresh(docs, "_gone")
     ids = dropped.select(col(id_col).alias(gone))
     return docs.join(ids, col(id_col) == col(gone), "left_anti")
+
+
+def kept(key: str, build: Callable[[], T]) -> T:
+    """What ``build`` gave the first time in this worker process; workers are reused between tasks.
+
+    It hangs on a module that every worker has, since this package need not be there.
+    """
+    held = vars(sys.modules["pyspark"]).setdefault("_kept_by_roleatlas", {})
+    if key not in held:
+        held[key] = build()
+    return held[key]
