@@ -15,11 +15,12 @@ from ..operators import state as ST
 from ..operators import stats, vector_table
 from ..operators.approx import approx_knn
 from ..plans.encode import encode_new, pending_texts
-from ..plans.ingest import run_ingest
+from ..plans.ingest import ingest_version, run_ingest
 from ..schemas import LISTING_COLUMNS
 from ..session import materialize, scratch_path
 from ..sources import boards, companies, snapshots
-from ..streaming.landed import latest_version, stream_upserts
+from ..sources.store import ListingStore
+from ..streaming.landed import latest_version, scraped_names, stream_fetches, stream_upserts
 from . import sql as S
 from . import views as V
 from .registry import registry
@@ -420,16 +421,16 @@ WINNERS = "SELECT url, " + ", ".join(
 ) + " FROM storable GROUP BY url"
 
 
-def _merged(valid: str) -> str:
+def _merged(valid: str, state: str = "v4", winners: str = "winners", run: str = RUN) -> str:
     def value(c: str) -> str:
         return f"CASE WHEN {valid} AND w.{c} <> '' THEN w.{c} ELSE coalesce(s.{c}, '') END AS {c}"
 
     columns = ", ".join(value(c) for c in ["title", "company", "description_raw", "location"])
     return f"""SELECT coalesce(s.url, w.url) AS url, {columns}, '' AS remote_onsite, '' AS seniority,
-        '' AS posted_date, 'ats' AS source_domain, coalesce(s.scraped_at, TIMESTAMP '{RUN}') AS scraped_at,
-        CASE WHEN w.url IS NOT NULL THEN TIMESTAMP '{RUN}' ELSE s.last_refreshed END AS last_refreshed,
+        '' AS posted_date, 'ats' AS source_domain, coalesce(s.scraped_at, TIMESTAMP '{run}') AS scraped_at,
+        CASE WHEN w.url IS NOT NULL THEN TIMESTAMP '{run}' ELSE s.last_refreshed END AS last_refreshed,
         ({valid}) OR coalesce(s.is_active, false) AS is_active, s.url IS NOT NULL AS stored, ({valid}) AS valid
-        FROM v4 s FULL OUTER JOIN winners w ON s.url = w.url"""
+        FROM {state} s FULL OUTER JOIN {winners} w ON s.url = w.url"""
 
 
 J1 = with_views(
@@ -493,25 +494,30 @@ def h2(spark, d):
     return ST.expiry_cutoffs(statuses, RUN).filter("kind = 'normal'").select("company")
 
 
-INGEST_PARTS = {
-    "status": STATUS,
-    "served": f"""SELECT v5.*, url <> '' AND NOT {S.is_garbage_url('url')} AND NOT {S.is_aggregator('title')}
-        AND NOT {S.is_garbage_description('description_raw')} AS sane
-        FROM v5 WHERE company IN (SELECT company FROM status WHERE status = 'ok')""",
-    "cleaned": f"""SELECT {S.clean_url('url')} AS url, seq, title, company, sane,
-        {S.clean_description('description_raw')} AS description_raw, {S.clean_location('location')} AS location FROM served""",
-    "checked": """SELECT *, sane AND (trim(title) <> '' OR length(description_raw) > 50) AS ok FROM cleaned""",
-    "winners": "SELECT url, bool_or(ok) AS ok, count(*) AS n_served, count_if(sane) AS n_sane, " + ", ".join(
-        _last(c, "ok") for c in ["title", "company", "description_raw", "location"]
-    ) + " FROM checked GROUP BY url",
-    "merged": _merged("coalesce(w.ok, false)"),
-    "cutoffs": f"""SELECT company, CASE WHEN status = 'stale_404' THEN 'stale' WHEN partial THEN 'partial' ELSE 'normal' END AS kind,
-        CASE WHEN status = 'stale_404' THEN TIMESTAMP '9999-12-31' WHEN partial THEN TIMESTAMP '{RUN}' - INTERVAL 24 HOUR
-        ELSE TIMESTAMP '{RUN}' END AS cutoff FROM status WHERE status IN ('ok', 'stale_404')""",
-    "final": """SELECT m.* EXCLUDE (is_active), is_active AND NOT coalesce(last_refreshed < cutoff, false) AS is_active,
-        CASE WHEN is_active AND last_refreshed < cutoff THEN kind END AS expired
-        FROM merged m LEFT JOIN cutoffs USING (company) WHERE stored OR valid""",
-}
+def ingest_parts(state: str = "v4", batch: str = "v5", run: str = RUN, tag: str = "") -> dict[str, str]:
+    """The steps of a pass as named parts; ``final`` with its ``tag`` is the next version."""
+    return {
+        "status": STATUS,
+        f"served{tag}": f"""SELECT {batch}.*, url <> '' AND NOT {S.is_garbage_url('url')} AND NOT {S.is_aggregator('title')}
+            AND NOT {S.is_garbage_description('description_raw')} AS sane
+            FROM {batch} WHERE company IN (SELECT company FROM status WHERE status = 'ok')""",
+        f"cleaned{tag}": f"""SELECT {S.clean_url('url')} AS url, seq, title, company, sane,
+            {S.clean_description('description_raw')} AS description_raw, {S.clean_location('location')} AS location FROM served{tag}""",
+        f"checked{tag}": f"""SELECT *, sane AND (trim(title) <> '' OR length(description_raw) > 50) AS ok FROM cleaned{tag}""",
+        f"winners{tag}": "SELECT url, bool_or(ok) AS ok, count(*) AS n_served, count_if(sane) AS n_sane, " + ", ".join(
+            _last(c, "ok") for c in ["title", "company", "description_raw", "location"]
+        ) + f" FROM checked{tag} GROUP BY url",
+        f"merged{tag}": _merged("coalesce(w.ok, false)", state, f"winners{tag}", run),
+        f"cutoffs{tag}": f"""SELECT company, CASE WHEN status = 'stale_404' THEN 'stale' WHEN partial THEN 'partial' ELSE 'normal' END AS kind,
+            CASE WHEN status = 'stale_404' THEN TIMESTAMP '9999-12-31' WHEN partial THEN TIMESTAMP '{run}' - INTERVAL 24 HOUR
+            ELSE TIMESTAMP '{run}' END AS cutoff FROM status WHERE status IN ('ok', 'stale_404')""",
+        f"final{tag}": f"""SELECT m.* EXCLUDE (is_active), is_active AND NOT coalesce(last_refreshed < cutoff, false) AS is_active,
+            CASE WHEN is_active AND last_refreshed < cutoff THEN kind END AS expired
+            FROM merged{tag} m LEFT JOIN cutoffs{tag} USING (company) WHERE stored OR valid""",
+    }
+
+
+INGEST_PARTS = ingest_parts()
 
 
 def ingest_run(spark, d):
@@ -566,6 +572,92 @@ def s1(spark, d):
     return snapshots.read_listings(spark, latest_version(spark, root)).select(STATE_FIELDS)
 
 
+# --- the store: status rows apart from descriptions ----------------------------
+
+RUN2 = "2024-01-04 18:00:00"
+# The second run serves two thirds of the rows again, a third of these with another description.
+V5B = """SELECT doc_id, company, seq, url, title, CASE WHEN doc_id % 9 = 1 THEN 'Now: ' || description_raw
+    ELSE description_raw END AS description_raw, location FROM v5 WHERE doc_id % 3 <> 0"""
+TWO_RUNS = INGEST_PARTS | {"v5b": V5B} | ingest_parts("final", "v5b", RUN2, "2")
+
+
+def second_batch(spark, d):
+    text = F.when(col("doc_id") % 9 == 1, F.concat(F.lit("Now: "), "description_raw")).otherwise(col("description_raw"))
+    return V.scraped_batch(spark, d).filter("doc_id % 3 <> 0").withColumn("description_raw", text)
+
+
+def new_store(spark, d) -> ListingStore:
+    store = ListingStore(spark, scratch_path(spark, "store"), 8)
+    store.create(V.prior_state(spark, d))
+    return store
+
+
+@add(
+    "j5_stored_runs",
+    with_views(["v4", "v5", "v6"], f"SELECT {', '.join(STATE_FIELDS)} FROM final2", **TWO_RUNS),
+)
+def j5_stored(spark, d):
+    """Two passes in a row on a store, eighteen hours apart."""
+    store, log = new_store(spark, d), V.fetch_log(spark, d)
+    ingest_version(store, 0, 1, V.scraped_batch(spark, d), log, RUN)
+    ingest_version(store, 1, 2, second_batch(spark, d), log, RUN2)
+    return store.listings(2).select(STATE_FIELDS)
+
+
+@add(
+    "e7_stored_stats",
+    with_views(["v4", "v5", "v6"], """SELECT (SELECT count(*) FROM served2) AS listings_scraped,
+        (SELECT count(*) FROM merged2 WHERE valid AND NOT stored) AS listings_new,
+        (SELECT count_if(expired = 'normal') FROM final2)::BIGINT AS expired_normal,
+        (SELECT count_if(expired = 'partial') FROM final2)::BIGINT AS expired_partial,
+        (SELECT count(*) FROM final2 f LEFT JOIN final p ON f.url = p.url
+         WHERE f.valid AND f.description_raw <> coalesce(p.description_raw, ''))::BIGINT AS texts_added""",
+               **TWO_RUNS),
+)
+def e7_stored(spark, d):
+    """What the second pass counts and how many descriptions it adds."""
+    store, log = new_store(spark, d), V.fetch_log(spark, d)
+    ingest_version(store, 0, 1, V.scraped_batch(spark, d), log, RUN)
+    counts = ingest_version(store, 1, 2, second_batch(spark, d), log, RUN2)
+    names = ["listings_scraped", "listings_new", "expired_normal", "expired_partial"]
+    added = store.texts(2).filter("version = 2").agg(F.count("*").alias("texts_added"))
+    return added.select(*[F.lit(counts[c]).cast("long").alias(c) for c in names], "texts_added")
+
+
+@add("a9_stored_listings", with_views(["v4"], f"SELECT {', '.join(LISTING_COLUMNS)} FROM v4"))
+def a9_stored(spark, d):
+    """Listings put together again from status rows and descriptions."""
+    return new_store(spark, d).listings(0)
+
+
+def land_fetches(spark, d, rows, at: str, landed: str, parts: int) -> None:
+    """Each company's rows and the outcome of its fetch in one of ``parts`` files."""
+    outcomes = V.fetch_log(spark, d).withColumn("outcome", F.lit(True))
+    served = rows.select(*scraped_names()).withColumn("outcome", F.lit(False))
+    both = served.unionByName(outcomes, allowMissingColumns=True).withColumn("fetched_at", F.lit(at).cast("timestamp"))
+    part = F.pmod(F.xxhash64("company"), F.lit(parts)).cast("int").alias("part")
+    both.select("*", part).repartition(parts, "part").write.mode("append").partitionBy("part").parquet(landed)
+
+
+def follow(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+
+
+@add(
+    "s1_streamed_fetches",
+    with_views(["v4", "v5", "v6"], f"SELECT {', '.join(STATE_FIELDS)} FROM final2", **TWO_RUNS),
+)
+def s1_fetches(spark, d):
+    """Both runs of j5_stored_runs as fetches that land in files, company by company."""
+    store, landed, offsets = new_store(spark, d), scratch_path(spark, "fetches"), scratch_path(spark, "offsets")
+    for rows, at in ((V.scraped_batch(spark, d), RUN), (second_batch(spark, d), RUN2)):
+        land_fetches(spark, d, rows, at, landed, 2)
+        follow(stream_fetches(spark, os.path.join(landed, "*"), store, offsets, files_per_batch=1))
+    return store.listings(store.latest()).select(STATE_FIELDS)
+
+
 # --- vectors from text -------------------------------------------------------
 
 

@@ -13,10 +13,14 @@ from ..functions.listings import has_content, is_sane
 from ..functions.regex import text
 from ..functions.text import clean_description, clean_location, scrub_nul
 from ..functions.urls import clean_ats_url, is_garbage_url
-from ..operators.state import expiry_cutoffs, flag_expired, last_values, merge
-from ..session import lookup_join
+from ..functions.urls import url_hash
+from ..operators.state import (
+    expiry_cutoffs, flag_expired, last_values, merge, merge_status, new_text, time_order, timestamp,
+)
+from ..session import lookup_join, materialize
 from ..sources.companies import classify_fetch
 from ..sources.snapshots import write_snapshot
+from ..sources.store import ListingStore, text_digest
 
 STATUS_COUNTS = ["companies_total", "scraped_ok", "partial", "stale_404", "timed_out", "empty"]
 LISTING_COUNTS = [
@@ -55,11 +59,12 @@ def _listing_counts() -> list[Column]:
     ]
 
 
-def _by_url(served: DataFrame) -> DataFrame:
+def _by_url(served: DataFrame, at: str | None = None) -> DataFrame:
     """The batch cleaned and reduced to one row per canonical URL.
 
     Rows that are served but rejected keep their URL alive without giving values,
-    so one aggregation feeds both the upsert and the touch.
+    so one aggregation feeds both the upsert and the touch.  With ``at``, the time of a
+    row's fetch, later fetches win and the latest time is kept.
     """
     col = F.col
     rows = served.withColumn(
@@ -78,7 +83,9 @@ def _by_url(served: DataFrame) -> DataFrame:
         col("_sane") & has_content(col("url"), col("title"), col("description_raw"))
         & ~is_garbage_url(col("url"))
     )
-    return last_values(rows, valid=valid, n_served=F.lit(1), n_sane=col("_sane"))
+    order = None if at is None else time_order(rows, at)
+    latest = {} if at is None else {at: col(at)}
+    return last_values(rows, valid=valid, order=order, latest=latest, n_served=F.lit(1), n_sane=col("_sane"))
 
 
 @dataclass
@@ -110,6 +117,16 @@ class IngestRun:
         return path, {**companies, **seen.get}
 
 
+def fetch_statuses(fetch_log: DataFrame, companies: DataFrame | None = None) -> DataFrame:
+    """How each fetch went; of ``companies``, those without a row in the log are empty."""
+    statuses = classify_fetch(fetch_log)
+    if companies is None:
+        return statuses
+    silent = companies.select("company").distinct().join(fetch_log.select("company"), "company", "left_anti")
+    silent = silent.select("company", F.lit("empty").alias("status"), F.lit(False).alias("partial"))
+    return statuses.unionByName(silent, allowMissingColumns=True)
+
+
 def run_ingest(
     state: DataFrame, batch: DataFrame, fetch_log: DataFrame, now, companies: DataFrame | None = None
 ) -> IngestRun:
@@ -121,12 +138,54 @@ def run_ingest(
     Only the outer join on ``url`` shuffles stored listings; the expiry is a
     broadcast of the measured company list inside the same pass.
     """
-    statuses = classify_fetch(fetch_log)
-    if companies is not None:
-        silent = companies.select("company").distinct().join(fetch_log.select("company"), "company", "left_anti")
-        silent = silent.select("company", F.lit("empty").alias("status"), F.lit(False).alias("partial"))
-        statuses = statuses.unionByName(silent, allowMissingColumns=True)
+    statuses = fetch_statuses(fetch_log, companies)
     ok = statuses.filter(F.col("status") == "ok").select("company")
     served = lookup_join(batch, ok, ["company"], "left_semi")
     merged = merge(state, _by_url(served), now)
     return IngestRun(flag_expired(merged, expiry_cutoffs(statuses, now)), statuses)
+
+
+def ingest_version(
+    store: ListingStore, version: int, into: int, batch: DataFrame, fetch_log: DataFrame, now,
+    companies: DataFrame | None = None,
+) -> dict[str, int]:
+    """J5 on a store: the pass of :func:`run_ingest`, from ``version`` to the version ``into``.
+
+    Stored rows are joined where they lie and only status rows are written anew; of the
+    descriptions, those that changed are added, and no stored one is read.
+    """
+    at = timestamp(now)
+    statuses = fetch_statuses(fetch_log, companies).withColumn("fetched_at", at)
+    return apply_fetches(store, version, into, batch.withColumn("fetched_at", at), statuses)
+
+
+def apply_fetches(
+    store: ListingStore, version: int, into: int, rows: DataFrame, statuses: DataFrame
+) -> dict[str, int]:
+    """Upsert, touch and expire by fetches that each have a time of their own.
+
+    ``rows`` is what boards served and ``statuses`` how the fetches went (``company,
+    status, partial, fetched_at``); of several fetches of a company, rows count in order of
+    time and the latest outcome decides about expiry.  The version's status rows are
+    written last, so that a version without them does not count.
+    """
+    statuses = materialize(statuses.select("company", "status", "partial", "fetched_at"))
+    fetches = statuses.filter("status = 'ok'").select("company", "fetched_at").distinct()
+    served = lookup_join(rows, fetches, ["company", "fetched_at"], "left_semi")
+    winners = materialize(_by_url(served, "fetched_at").withColumns({
+        "url_hash": url_hash(F.col("url")), "text_digest": text_digest(F.col("description_raw")),
+        "text_length": F.length("description_raw"),
+    }))
+    status = store.status(version)
+    s, b = status.select("url", "text_digest").alias("s"), winners.filter("_valid").alias("b")
+    brought = b.join(s, F.col("s.url") == F.col("b.url"), "left").filter(new_text())
+    store.write_texts(brought.select("b.url", "b.url_hash", "b.description_raw"), into)
+
+    last = statuses.groupBy("company").agg(
+        *[F.max_by(c, "fetched_at").alias(c) for c in ("status", "partial")], F.max("fetched_at").alias("fetched_at")
+    )
+    cutoffs = expiry_cutoffs(last, F.col("fetched_at"))
+    seen = Observation("ingest")
+    audited = flag_expired(merge_status(status, winners, into), cutoffs).observe(seen, *_listing_counts())
+    store.write_status(audited.filter("_kept"), into)
+    return {**status_counts(last).first().asDict(), **seen.get}

@@ -39,8 +39,8 @@ def partial_flag(total):
     return F.coalesce(total > fv.WORKDAY_MAX_TOTAL, F.lit(False))
 
 
-def classify_fetch(fetch_log: DataFrame) -> DataFrame:
-    """What each company's fetch means for its stored listings.
+def classify_fetch(fetch_log: DataFrame, *keep: str) -> DataFrame:
+    """What each company's fetch means for its stored listings; columns to ``keep`` stay.
 
     An HTTP failure other than 404 serves no jobs and so counts as empty; only a
     fetch that left no outcome at all is an error.
@@ -54,5 +54,5 @@ def classify_fetch(fetch_log: DataFrame) -> DataFrame:
         .otherwise("empty")
     )
     return fetch_log.select(
-        "company", status.alias("status"), partial_flag(F.col("total")).alias("partial")
+        "company", status.alias("status"), partial_flag(F.col("total")).alias("partial"), *keep
     )

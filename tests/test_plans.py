@@ -11,7 +11,7 @@ from roleatlas.operators import state as ST
 from roleatlas.operators.vector_table import searchable
 from roleatlas.plans.ingest import run_ingest
 from roleatlas.plans.neighborhood import BUILTIN_ROLES, find_center, find_neighborhood
-from roleatlas.session import shared_dir
+from roleatlas.session import materialize, shared_dir
 from roleatlas.sources import snapshots
 from roleatlas.streaming import landed
 
@@ -43,9 +43,21 @@ def test_no_row_at_a_time_python(spark, sf, stored):
     assert text.count("FullOuter") == 1
 
 
-def test_last_values_aggregate_before_the_shuffle(spark, sf):
-    text = plan(ST.last_values(ST.storable(V.scraped_batch(spark, sf))))
-    assert "partial_max_by" in text and text.count("Exchange hashpartitioning") == 1
+def test_last_values_hash_numbers_before_the_shuffle(spark, sf, monkeypatch):
+    """Winners are found by numbers in hash aggregates; nothing sorts or gathers text."""
+    written = []
+
+    def keep(df):
+        written.append(plan(df))
+        return materialize(df)
+
+    monkeypatch.setattr(ST, "materialize", keep)
+    merged = ST.upsert_listings(V.prior_state(spark, sf), V.scraped_batch(spark, sf), V.RUN_START)
+    plans = [*written, plan(merged)]
+    winners = next(p for p in plans if "partial_max_by" in p)
+    assert "HashAggregate" in winners and winners.count("Exchange hashpartitioning") == 1
+    assert "description_raw" not in winners.split("ReadSchema")[1].replace("_gives_description_raw", "")
+    assert not any("SortAggregate" in p for p in plans)
 
 
 def test_bucketed_tables_join_without_exchange(spark, sf):
