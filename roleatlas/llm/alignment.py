@@ -19,27 +19,21 @@ from .common import col, kept
 from .words import slices
 
 TEXT_BYTES = 1 << 20
-CHUNK = 1 << 18
 FREQUENT = 1 << 20
 PARTIAL = 1 << 21
-# Where a text may be cut: before a space between two other characters both tokenizers
-# always begin a token.
-CUT = re.compile(r"(?<=\S) (?=\S)")
+NEAR = 8
+# Before a space that follows another character and precedes one that is not white, both
+# tokenizers always begin a token.
+CUT = re.compile(r"(?<=[^ ]) (?=\S)")
+# Short parts between such places, nearly all of them words, are remembered.
+SHORT, REMEMBERED, TOGETHER = 64, 300_000, 2000
 # Texts of these characters are split alike by all versions of the pattern; runs beyond the
 # second bound take the slower encoder, which does not mind them.
 PLAIN = re.compile("[\x00-ɏ‐-‧]*")
+ODD = re.compile(r"^\s|^$| $|▁")
 RUN = re.compile(r"\S{1000}|\s{1000}")
 
 
-def chunks(text: str, most: int = CHUNK) -> list[str]:
-    """Parts of a text that are tokenized alone, each without the space it begins with."""
-    out, at = [], 0
-    while len(text) - at > most and (cut := CUT.search(text, at + most)):
-        out.append(text[at:cut.start()])
-        at = cut.end()
-    return [*out, text[at:]]
-
-
 def byte_letters() -> dict[str, int]:
     """The printable letters that byte-level vocabularies write for the 256 bytes."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -102,25 +96,66 @@ class Side:
     def __init__(self, path: str) -> None:
         self.tokenizer = (Pieces if path.endswith(".model") else ByteLevel)(path)
         self.bytes = self.tokenizer.bytes
+        self.known: dict[str, bytes | None] = {}
         self.size = np.array([len(b) for b in self.bytes], np.int32)
         names = [str(i).encode() for i in range(len(self.bytes))]
         self.digits = np.array([len(n) for n in names])
         self.width = int(self.digits.max()) + 1
         self.name = np.frombuffer(b"".join(n.ljust(self.width) for n in names), np.uint8).reshape(-1, self.width)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text; none where their bytes are not a space and the text."""
-        parts = [chunks(t) for t in texts]
-        flat = iter(self.tokenizer.encode([p for of in parts for p in of]))
-        out = []
-        for text, of in zip(texts, parts):
-            found = [next(flat) for _ in of]
-            ids = found[0] if len(found) == 1 else np.concatenate(found)
-            whole = b"".join([self.bytes[i] for i in ids.tolist()])
-            out.append(ids if text and whole == b" " + text.encode() else ids[:0])
+    def learn(self, parts: list[str]) -> None:
+        """Remember the ids of parts, each with a space before it, or that they don't spell it."""
+        apart = []
+        while parts:
+            some, parts = parts[:TOGETHER], parts[TOGETHER:]
+            # What may stand between others without a change to its tokens.
+            plain = [p for p in some if len(p) <= SHORT and not ODD.search(p)]
+            apart += [p for p in some if len(p) > SHORT or ODD.search(p)]
+            if not self.learn_together(plain):
+                apart += plain
+        for part, ids in zip(apart, self.tokenizer.encode(apart)):
+            spelt = b"".join([self.bytes[i] for i in ids.tolist()])
+            self.known[part] = ids.tobytes() if spelt == b" " + part.encode() else None
+
+    def learn_together(self, parts: list[str]) -> bool:
+        """Encode parts in a row, if their tokens spell them."""
+        (ids,) = self.tokenizer.encode([" ".join(parts)])
+        spelt = b"".join([self.bytes[i] for i in ids.tolist()])
+        if spelt != " ".join(["", *parts]).encode():
+            return False
+        ends = np.cumsum(self.size[ids])
+        wanted = np.cumsum([1 + len(p.encode()) for p in parts])
+        at = np.searchsorted(ends, wanted)
+        if not len(parts) or not np.array_equal(ends[at], wanted):
+            return False
+        data, begin = ids.astype("<u4").tobytes(), 0
+        for part, stop in zip(parts, (4 * at + 4).tolist()):
+            self.known[part] = data[begin:stop]
+            begin = stop
+        return True
+
+    def encode(self, parts: list[list[str]], distinct: set[str]) -> list[np.ndarray]:
+        """Ids of each text by its parts; none where their bytes are not a space and the text."""
+        fresh = list(distinct - self.known.keys())
+        self.learn(fresh)
+        known, out = self.known, []
+        for of in parts:
+            found = [known[p] for p in of]
+            out.append(np.frombuffer(b"" if None in found else b"".join(found), "<u4"))
+        for part in fresh:
+            if len(part) > SHORT:
+                del known[part]
+        if len(known) > REMEMBERED:
+            self.known = {}
         return out
 
 
+def split(texts: list[str]) -> tuple[list[list[str]], set[str]]:
+    """The parts of each text that are tokenized alone, and all of them."""
+    parts = [CUT.split(t) if t else [] for t in texts]
+    return parts, set().union(*parts)
+
+
 def side(path: str) -> Side:
     return kept(f"tokenizer {path}", lambda: Side(path))
 
@@ -130,9 +165,9 @@ def align(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
     ``end_a`` and ``end_b`` are the byte offsets at which tokens end; both run over the
     same bytes.  At a common end, tokens are compared at the present shift between the
-    indices: stretches of twice the length each time, then of half the length, until the
-    first difference.  A group that is not one to one is walked through token by token,
-    which gives the new shift.
+    indices: some one by one, then stretches of twice the length each time, then of half
+    the length, until the first difference.  A group that is not one to one is walked
+    through token by token, which gives the new shift.
 
     Returns for each token of A, and of B, 0 if it is linked to one token that is
     linked to it alone, 1 if it is the last of a larger group on its side and 2 if it is
@@ -140,15 +175,19 @@ def align(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """
     n, m = len(end_a), len(end_b)
     bytes_a, bytes_b = end_a.astype(np.int32).tobytes(), end_b.astype(np.int32).tobytes()
-    ends_a, ends_b = end_a.tolist(), end_b.tolist()
+    # Beyond their ends the two never agree.
+    ends_a, ends_b = [*end_a.tolist(), -1], [*end_b.tolist(), -2]
     mark_a, mark_b = bytearray(n), bytearray(m)
     link_a: list[int] = []
     link_b: list[int] = []
     i = j = 0
     while i < n:
-        if ends_a[i] == ends_b[j]:
-            i, j = i + 1, j + 1
-            step, grows = 1, True
+        near = i + NEAR
+        while i < near and ends_a[i] == ends_b[j]:
+            i += 1
+            j += 1
+        if i == near:
+            step, grows = NEAR, True
             while step:
                 run = bytes_a[4 * i:4 * (i + step)]
                 if run and run == bytes_b[4 * j:4 * (j + step)]:
@@ -157,7 +196,8 @@ def align(end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
                     step = 2 * step if grows else step // 2
                 else:
                     grows, step = False, step // 2
-            continue
+        if i == n:
+            break
         x, y = i, j
         link_a.append(x)
         link_b.append(y)
@@ -180,7 +220,8 @@ class Aligned:
 
     def __init__(self, a: Side, b: Side, texts: list[str]) -> None:
         self.sides = a, b
-        ids = a.encode(texts), b.encode(texts)
+        parts, distinct = split(texts)
+        ids = a.encode(parts, distinct), b.encode(parts, distinct)
         # A text that one side does not give back has no tokens on either.
         none = [not len(x) or not len(y) for x, y in zip(*ids)]
         self.ids, self.counts = [], []
@@ -385,7 +426,8 @@ def align_tokenizers(
 
     A text that is null or empty, or that one side's tokens do not spell, has no tokens and
     zeros.  Null and repeated ids stay as they are, rows are told apart by their place.  No
-    rows give no rows.  Long texts are cut where both sides begin a token anyway.
+    rows give no rows.  Texts are cut where both sides begin a token anyway, and words are
+    encoded once per worker, as long as it remembers them.
 
     Texts are tokenized once; what is kept of them are distinct id pairs, compressed.  Counts
     of the ``frequent`` commonest pairs are broadcast (16 MB at most), the others, of which

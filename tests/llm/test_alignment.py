@@ -140,16 +140,20 @@ def test_fast_and_slow_agree(encoders):
             assert own.one(f" {text}").tolist() == encoders[0].encode(f" {text}", add_special_tokens=False).ids
 
 
-def test_chunks_are_tokenized_alike(encoders, sf):
-    import duckdb
-
-    texts = [r[0] for r in duckdb.sql(f"SELECT text FROM '{sf}/documents.parquet' LIMIT 30").fetchall() if r[0]]
-    whole = " ".join(texts)
-    parts = A.chunks(whole, 500)
-    assert len(parts) > 20 and " ".join(parts) == whole
-    for path, ids in ((PATH_A, encoders[0].encode(f" {whole}", add_special_tokens=False).ids), (PATH_B, encoders[1].encode(whole))):
-        found = A.side(path).tokenizer.encode(parts)
-        assert np.concatenate(found).tolist() == ids
+PARTS = st.lists(st.sampled_from(["a", "Word", " ", "  ", "\n", "\t", "é", "▁", "1", "'s", ".", "\u0085", "ﬁ", "日"]), max_size=25)
+
+
+@given(PARTS)
+@settings(max_examples=400, deadline=None)
+def test_parts_are_tokenized_alike(encoders, parts):
+    """Any mixture of words and white space, in parts and as a whole."""
+    text = "".join(parts)
+    ids_a, ids_b, _, _ = plain(encoders, text)
+    if ids_a:
+        assert A.side(PATH_A).encode(*A.split([text]))[0].tolist() == ids_a
+        assert A.side(PATH_B).encode(*A.split([text]))[0].tolist() == ids_b
+    else:
+        assert not all(len(A.side(p).encode(*A.split([text]))[0]) for p in (PATH_A, PATH_B))
 
 
 def test_pairs_survive_packing():
