@@ -51,16 +51,15 @@ def also_near(
 
 
 def farthest(
-    scored: DataFrame, texts: DataFrame, pool: int = fv.FARTHEST_POOL, size: int = fv.FARTHEST_SIZE
+    plain: DataFrame, texts: DataFrame, pool: int = fv.FARTHEST_POOL, size: int = fv.FARTHEST_SIZE
 ) -> DataFrame:
     """The plainest listings far from a role.
 
-    ``scored`` is ``role, url_hash, plain, raw_score`` over the whole searchable
-    corpus, the center included; ``plain`` says that the title is a plausible one.
-    Only the pool gets its text.  It is cut before the word test, so a role can end
-    up with fewer than ``size`` rows.
+    ``plain`` is ``role, url_hash, raw_score`` of listings with a plausible title, the
+    center included: all of the searchable corpus, or those that hold each role's ``pool``
+    lowest.  Only the pool gets its text.  It is cut before the word test, so a role can
+    end up with fewer than ``size`` rows.
     """
-    plain = scored.filter("plain").select("role", "url_hash", "raw_score")
     order = [F.col("raw_score"), F.col("url_hash")]
     far = materialize(top_k(plain, ["role"], order, pool, rank="_place")).join(texts, "url_hash")
     wordy = far.filter(shares_words(F.col("title"))).withColumn("_key", strip(F.lower("title")))

@@ -17,7 +17,9 @@ from ..functions.titles import (
 from ..functions.regex import bind, text
 from ..functions.vectors import apply_transform, centroid_scores, role_sums, vector_sum
 from ..operators import layout, panels
+from ..operators.key_filter import filtered, join_keys
 from ..operators.topk import WINDOW_ROWS, cut_at_rank, top_k
+from ..operators.wide_scores import above_cut, lowest
 from ..session import materialize
 
 
@@ -87,11 +89,11 @@ def find_centroids(
 ) -> DataFrame:
     """Per role its size, raw and deconfounded centroid, both of unit length.
 
-    Only keys are joined; the optimizer broadcasts them if they turn out small,
-    and either table may be bucketed by ``url_hash``.
+    A Bloom filter of the center's keys is applied where the vectors are scanned, so only
+    vectors of the center are exchanged, whatever its size.
     """
-    keys = center.select("url_hash", "role")
-    both = vectors.select("url_hash", "role_vec").join(keys, "url_hash")
+    keys = materialize(center.select("url_hash", "role"))
+    both = join_keys(vectors.select("url_hash", "role_vec"), keys)
     sums = role_sums(both, w).groupBy("role").agg(
         F.sum("n").alias("n"), vector_sum("raw").alias("_raw"), vector_sum("clean").alias("_clean")
     )
@@ -107,7 +109,7 @@ def find_centroids(
 
 
 def per_role(wide: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per listing and role from the score arrays."""
+    """D11 written out, one row per listing and role; no step of a neighborhood needs it."""
     named = [
         F.struct(
             F.lit(k).alias("role"), F.get("raw_scores", i).alias("raw_score"),
@@ -130,7 +132,8 @@ class Neighborhood:
     center: DataFrame
     centroids: DataFrame
     neighbors: DataFrame
-    scored: DataFrame | None
+    wide: DataFrame | None
+    found: list[str]
     texts: DataFrame | None
     candidates: DataFrame | None
     vectors: DataFrame
@@ -160,11 +163,16 @@ class Neighborhood:
             self.neighbors, self.groups, exclude_named_groups=exclude_named_groups
         )
 
+    @property
+    def scored(self) -> DataFrame:
+        """Both scores of every searchable listing for every role."""
+        return per_role(self.wide, self.found)
+
     @property
     def farthest(self) -> DataFrame:
-        if self.scored is None:
+        if self.wide is None:
             return self.also_near().limit(0)
-        return panels.farthest(self.scored, self.texts)
+        return panels.farthest(lowest(self.wide, self.found, fv.FARTHEST_POOL), self.texts)
 
     @cached_property
     def viz(self) -> DataFrame:
@@ -178,9 +186,8 @@ class Neighborhood:
     @cached_property
     def points(self) -> DataFrame:
         """H1 with I4: coordinates, title, company, display group and link."""
-        # The written table's size is known, so the optimizer can broadcast it.
         keys = self.viz.select("role", "url_hash")
-        drawn = self.vectors.select("url_hash", "role_vec").join(keys, "url_hash")
+        drawn = join_keys(self.vectors.select("url_hash", "role_vec"), keys)
         placed = layout.pca_layout(apply_transform(drawn, self.w, "role_vec", "vec"))
         return self.viz.join(placed, ["role", "url_hash"]).select(
             "role", "url_hash", "x", "y", "title", text(F.col("company")).alias("company"),
@@ -210,7 +217,8 @@ def find_neighborhood(
 
     Pass 1 reads the center vectors and yields one centroid pair per role, the
     only thing that reaches the driver.  Pass 2 scores every vector against all
-    centroids and drops it; what is shuffled afterwards are keys and doubles.  If
+    centroids and drops it; one row per listing holds its scores for all roles, and
+    kernels give the roles' histograms, then the rows above each role's cut.  If
     both tables are bucketed by ``url_hash``, say ``co_located``: the join then
     comes first, needs no exchange, and only rows that join are scored.  A
     ``candidate_filter`` on the listings applies before the prefetch, never after.
@@ -221,20 +229,21 @@ def find_neighborhood(
         "max_center_dots": max_center_dots,
     }
     tags = roles_of(F.col("title"), roles)
-    tagged = find_center(listings, roles, tags)
+    tagged = materialize(find_center(listings, roles, tags))
     # One row per role.
     found = sorted(find_centroids(tagged, vectors, w).collect(), key=lambda r: r["role"])
     centroids = listings.sparkSession.createDataFrame(
         found, "role string, n long, raw_centroid array<double>, clean_centroid array<double>"
     )
     # Center listings that have a vector.
-    center = tagged.join(vectors.select("url_hash"), "url_hash", "left_semi")
+    embedded = filtered(vectors.select("url_hash"), tagged, "url_hash")
+    center = materialize(tagged.join(embedded, "url_hash", "left_semi"))
     if not found:
         empty = center.select(
             "role", "url_hash", "title", "company", "url", F.lit("").alias("grp"),
             F.lit(0.0).alias("sim"), F.lit(0).alias("rank"),
         )
-        return Neighborhood(roles, center, centroids, empty, None, None, None, vectors, w, n, settings)
+        return Neighborhood(roles, center, centroids, empty, None, [], None, None, vectors, w, n, settings)
 
     keys = [r["role"] for r in found]
     raw = np.array([r["raw_centroid"] for r in found])
@@ -251,11 +260,12 @@ def find_neighborhood(
         joined = centroid_scores(titled.join(held, "url_hash"), raw, clean, w)
     else:
         joined = titled.join(centroid_scores(held, raw, clean, w), "url_hash")
-    scored = per_role(materialize(joined), keys)
+    wide = materialize(joined)
     widths = {
         r["role"]: max(n * prefetch_factor, n + r["n"] + prefetch_extra) for r in found
     }
-    chosen = materialize(cut_at_rank(scored, "role", "raw_score", "url_hash", widths).drop("plain"))
+    above = materialize(above_cut(wide, keys, widths))
+    chosen = materialize(cut_at_rank(above, "role", "raw_score", "url_hash", widths))
     candidates = chosen.join(texts, "url_hash")
     # Whether a candidate is a center follows from its title, so no anti-join.
     in_center = F.array_contains("center_of", F.col("role"))
@@ -274,6 +284,6 @@ def find_neighborhood(
         )
     )
     return Neighborhood(
-        roles, center, centroids, neighbors, scored, texts, candidates, vectors, w, n, settings
+        roles, center, centroids, neighbors, wide, keys, texts, candidates, vectors, w, n, settings
     )
 
