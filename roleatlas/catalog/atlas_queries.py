@@ -400,6 +400,48 @@ def i5_gram(spark, d):
     return spark.createDataFrame(rows, "i long, j long, xx double, xy double")
 
 
+FOLDS = 3
+V7_FOLDS = f"SELECT *, (('0x' || substr(md5(company), 1, 15))::BIGINT % {FOLDS})::INTEGER AS fold FROM v7"
+
+
+@add(
+    "i5_fold_sums",
+    with_views(["v7"], """SELECT fold, i, j, round(sum(a * b), 4) AS xx, round(sum(a * c), 4) AS xy FROM (
+        SELECT fold, i, j, role_vec[i]::DOUBLE AS a, role_vec[j]::DOUBLE AS b, resp_vec[j] AS c
+        FROM f, (SELECT unnest(generate_series(1, 64)) AS i), (SELECT unnest(generate_series(1, 64)) AS j))
+        GROUP BY fold, i, j""", f=V7_FOLDS),
+)
+def i5_folds(spark, d):
+    """The sums of all folds, from one pass."""
+    pairs = D.company_folds(V.vector_pairs(spark, d), FOLDS)
+    xx, xy = D.fold_gram_sums(pairs, FOLDS)
+    rows = [
+        (f, i + 1, j + 1, round(float(xx[f, i, j]), 4) + 0.0, round(float(xy[f, i, j]), 4) + 0.0)
+        for f in range(FOLDS) if xx[f].any() for i in range(xx.shape[1]) for j in range(xx.shape[1])
+    ]
+    return spark.createDataFrame(rows, "fold int, i long, j long, xx double, xy double")
+
+
+@add(
+    "i10_cross_validated",
+    with_views(["v7"], """SELECT fold, n, round(r2, 5) AS raw_r2, round(ci, 5) AS raw_ci, TRUE AS r2_rises FROM (
+        SELECT fold, 1 - sum(e) / sum(s) AS r2, any_value(n) AS n FROM (
+          SELECT fold, i, sum((y - x) ** 2) AS e, sum(y * y) - sum(y) ** 2 / count(*) AS s, count(*) AS n FROM (
+            SELECT fold, generate_subscripts(role_vec, 1) AS i, unnest(role_vec)::DOUBLE AS x, unnest(resp_vec) AS y FROM f)
+          GROUP BY fold, i) GROUP BY fold) LEFT JOIN (
+        SELECT a.fold, avg(list_dot_product(a.u, b.u)) AS ci FROM u a JOIN u b
+        ON a.fold = b.fold AND a.title = b.title AND a.company < b.company GROUP BY a.fold) USING (fold)""",
+        f=V7_FOLDS, u=f"SELECT fold, title, company, {_unit('role_vec')} AS u FROM f"),
+)
+def i10_cross(spark, d):
+    """Held-out folds of companies; the matrix of each comes from the other folds."""
+    found = D.cross_validate(V.vector_pairs(spark, d), FOLDS, LAMBDA, ALPHA)
+    return found.select(
+        "fold", "n", F.round("raw_r2", 5).alias("raw_r2"), F.round("raw_ci", 5).alias("raw_ci"),
+        (col("clean_r2") > col("raw_r2")).alias("r2_rises"),
+    )
+
+
 @add("i5_fit_deconfound")
 def i5(spark, d):
     w = D.fit_deconfound(V.vector_pairs(spark, d), LAMBDA, ALPHA)

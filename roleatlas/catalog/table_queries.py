@@ -13,8 +13,9 @@ from ..functions.embedding import HashedTokens, embed
 from ..functions.vectors import dot
 from ..operators import state as ST
 from ..operators import stats, vector_table
-from ..operators.approx import approx_knn
-from ..plans.encode import encode_new, pending_texts
+from ..operators.deconfound import exact_knn
+from ..operators.vector_index import approx_knn, build_index, load_index
+from ..plans.encode import encode_in_chunks, encode_new, pending_texts
 from ..plans.ingest import ingest_version, run_ingest
 from ..schemas import LISTING_COLUMNS
 from ..session import materialize, scratch_path
@@ -715,3 +716,43 @@ def i11(spark, d):
     query = v.orderBy("url_hash").first()["role_vec"]
     return approx_knn(v, query, 10).select("url_hash", F.round("sim", 4).alias("sim"))
 
+
+
+@add(
+    "i11_index_recall",
+    """SELECT count(*) AS n_queries, 10 * count(*) AS n_found, TRUE AS recall_reached, TRUE AS all_rows_kept
+       FROM embeddings WHERE vec_id % 100 = 0""",
+)
+def i11_recall(spark, d):
+    """Every hundredth vector searched for in a stored index, against an exact search."""
+    v = V.vectors_of(V.role_listings(spark, d))
+    path = scratch_path(spark, "index")
+    build_index(v, path)
+    index = load_index(spark, path)
+    asked = v.filter("url_hash % 100 = 0").orderBy("url_hash").toArrow()
+    keys = asked["url_hash"].to_numpy()
+    found = index.search(spark, keys, np.array(asked["role_vec"].to_pylist()), 10)
+    exact = exact_knn(v, "role_vec", 10).filter("query % 100 = 0")
+    true = exact.select("query", col("neighbor").alias("url_hash"), F.lit(1).alias("hit"))
+    counts = found.join(true, ["query", "url_hash"], "left").agg(
+        F.countDistinct("query").alias("n_queries"), F.count("*").alias("n_found"), F.count("hit").alias("hits")
+    )
+    rows = index.rows(spark).count() == v.count()
+    return counts.select(
+        "n_queries", "n_found", (col("hits") >= 0.9 * col("n_found")).alias("recall_reached"),
+        F.lit(rows).alias("all_rows_kept"),
+    )
+
+
+@add(
+    "j6_encode_chunks",
+    with_views(["v4"], f"""SELECT url_hash, n FROM (SELECT url_hash, 64::BIGINT AS n, doc_id FROM v4 WHERE is_active
+        AND NOT (doc_id % 5 <> 1) AND length(trim(title || CASE WHEN {S.strip('description_raw')} = '' THEN '' ELSE '. ' || description_raw END)) > 10)
+        UNION ALL SELECT url_hash, 1::BIGINT FROM v4 WHERE doc_id % 5 <> 1"""),
+)
+def j6_chunks(spark, d):
+    """The vectors of j6 in four chunks, orphans still in."""
+    state, stored = V.prior_state(spark, d), stored_vectors(spark, d)
+    rows = max(1, -(-pending_texts(state, stored).count() // 4))
+    encoded = encode_in_chunks(state, stored, scratch_path(spark, "chunks"), HashedTokens(64), chunk_rows=rows)
+    return encoded.select("url_hash", F.size("role_vec").cast("long").alias("n"))

@@ -11,6 +11,10 @@ from ..session import lookup_join, materialize
 from .state import counted
 
 
+# Up to one listing in so many is looked for by its key before its text is read.
+FEW = 10
+
+
 def upsert_vectors(vectors: DataFrame, new: DataFrame) -> DataFrame:
     """Insert or replace by key; the row with the highest ``seq`` wins.
 
@@ -29,12 +33,15 @@ def upsert_vectors(vectors: DataFrame, new: DataFrame) -> DataFrame:
 def unembedded(listings: DataFrame, vectors: DataFrame, limit: int | None = None) -> DataFrame:
     """D2 with C6: active listings with text and without a vector.
 
-    The keys alone are held against the vectors; what is pending, mostly little, is
-    measured and then fetched with its text.
+    Where little can be pending, the keys alone are held against the vectors, and what is
+    left is measured and then fetched with its text; else one anti-join carries the text.
     """
     texts = listings.filter(
         needs_vector(F.col("title"), F.col("description_raw"), F.col("is_active"))
     ).select("url", "url_hash", "title", "description_raw")
+    active = listings.filter("is_active").count()
+    if limit is None and (active - vectors.count()) * FEW > active:
+        return texts.join(vectors.select("url_hash"), "url_hash", "left_anti")
     keys = texts.select("url_hash").join(vectors.select("url_hash"), "url_hash", "left_anti")
     keys = materialize(keys if limit is None else keys.limit(limit))
     return lookup_join(texts, keys.distinct(), ["url_hash"], "left_semi")
