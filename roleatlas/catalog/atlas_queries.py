@@ -246,6 +246,54 @@ def i4(spark, d):
     return neighborhood(spark, d).points
 
 
+@add(
+    "i4_axes",
+    atlas_sql("SELECT DISTINCT role, -1.0::DOUBLE AS low_x, 1.0::DOUBLE AS high_x, -1.0::DOUBLE AS low_y, 1.0::DOUBLE AS high_y, "
+              "TRUE AS uncorrelated, TRUE AS first_is_wider FROM center"),
+)
+def i4_axes(spark, d):
+    """What makes a principal plane: each axis fills its span, and the axes do not correlate.
+
+    The first axis explains no less than the second before they are scaled, which is
+    read from the vectors' variance along both.
+    """
+    found = neighborhood(spark, d)
+    clean = apply_transform(found.vectors.select("url_hash", "role_vec"), None, "role_vec", "vec")
+    plane = layout.pca_plane(clean.join(found.viz.select("role", "url_hash"), "url_hash"))
+    wider = plane.groupBy("role").agg((F.var_pop("x") >= F.var_pop("y") - 1e-9).alias("first_is_wider"))
+    points = found.points.groupBy("role").agg(
+        F.min("x").alias("low_x"), F.max("x").alias("high_x"), F.min("y").alias("low_y"), F.max("y").alias("high_y"),
+        (F.abs(F.corr("x", "y")) < 1e-3).alias("uncorrelated"),
+    )
+    return points.join(wider, "role")
+
+
+@add(
+    "e11_hulls_of_points",
+    atlas_sql(f"""SELECT role, grp, floor(sum(n) * 0.9)::BIGINT AS n_core, 0::BIGINT AS n_outside FROM entries
+        GROUP BY role, grp HAVING floor(sum(n) * 0.9) >= 3""",
+        entries=f"""SELECT role, role_label AS grp, least(count(*), {fv.MAX_CENTER_DOTS}) AS n FROM center GROUP BY role, role_label
+            UNION ALL SELECT role, grp, n FROM groups"""),
+)
+def e11_points(spark, d):
+    """E10, E11 on the drawn points: no core point lies outside an edge of its hull."""
+    core = layout.group_core(neighborhood(spark, d).points.select("role", "grp", "url_hash", "x", "y"))
+    hull = layout.group_hull(core)
+    ring = hull.groupBy("role", "grp").agg(F.sort_array(F.collect_list(F.struct("vertex", "x", "y"))).alias("ring"))
+
+    def side(edge):
+        # Counter-clockwise edges have what is inside on their left.
+        a, b = edge["a"], edge["b"]
+        return (b["x"] - a["x"]) * (col("y") - a["y"]) - (b["y"] - a["y"]) * (col("x") - a["x"]) < -1e-9
+
+    turned = F.concat(F.slice("ring", 2, F.size("ring")), F.slice("ring", 1, 1))
+    edges = F.zip_with("ring", turned, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    outside = F.exists(edges, side)
+    return core.join(ring, ["role", "grp"]).groupBy("role", "grp").agg(
+        F.count("*").alias("n_core"), F.count_if(outside).alias("n_outside")
+    )
+
+
 @add(
     "h1_point_rows",
     atlas_sql(f"""SELECT role, role_label AS grp, url_hash, title, company, url, true AS is_center, true AS inside FROM drawn

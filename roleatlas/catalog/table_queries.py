@@ -407,6 +407,40 @@ def e9_approximate(spark, d):
     return stats.title_collapse_report(V.documents(spark, d), approximate=True)
 
 
+@add("e9_merged_sketches", "SELECT TRUE AS titles_close, TRUE AS groups_close, 3::BIGINT AS n_versions")
+def e9_sketches(spark, d):
+    """Stored sketches of three parts of the listings, merged, against the exact report of all."""
+    parts = [V.pages(spark, d), V.role_listings(spark, d), V.documents(spark, d)]
+    path = scratch_path(spark, "sketches")
+    for k, part in enumerate(parts):
+        stats.title_sketches(part, k).write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    titles = [p.select("title") for p in parts]
+    exact = stats.title_collapse_report(titles[0].unionByName(titles[1]).unionByName(titles[2])).alias("e")
+    versions = stored.agg(F.count("*").alias("n_versions"))
+
+    def close(c):
+        # Four standard errors.
+        return F.abs(col(f"s.{c}") - col(f"e.{c}")) <= F.greatest(F.lit(1.0), 0.032 * col(f"e.{c}"))
+
+    both = stats.collapse_of_sketches(stored).alias("s").join(exact).join(versions)
+    return both.select(close("n_titles").alias("titles_close"), close("n_groups").alias("groups_close"), "n_versions")
+
+
+@add(
+    "d3_orphans_in_place",
+    with_views(["v4"], """SELECT url_hash, (SELECT count(*) FROM v4 WHERE doc_id % 5 <> 1 AND NOT is_active) AS orphaned
+        FROM v4 WHERE doc_id % 5 <> 1 AND is_active"""),
+)
+def d3_in_place(spark, d):
+    """Orphans leave stored vectors bucket by bucket."""
+    path = scratch_path(spark, "vectors")
+    vector_table.write_buckets(stored_vectors(spark, d), path, 64)
+    counts = vector_table.drop_orphans(V.prior_state(spark, d), path)
+    left = vector_table.read_buckets(spark, path)
+    return left.select("url_hash", F.lit(counts["orphaned"]).cast("long").alias("orphaned"))
+
+
 # --- state -------------------------------------------------------------------
 
 STORABLE = f"""SELECT doc_id, {S.clean_url('url')} AS url, seq, title, company, description_raw, location

@@ -57,7 +57,12 @@ def principal_axes(n: int, first: np.ndarray, second: np.ndarray) -> tuple[np.nd
 
 
 def pca_layout(points: DataFrame) -> DataFrame:
-    """I4: ``role, url_hash, vec`` to coordinates in [-1, 1], one principal plane per role.
+    """I4: ``role, url_hash, vec`` to coordinates in [-1, 1], one principal plane per role."""
+    return rescale(pca_plane(points))
+
+
+def pca_plane(points: DataFrame) -> DataFrame:
+    """``role, url_hash, x, y``: each role's points along its two axes of most variance.
 
     The second moments are summed per task, so a role of any size is laid out: what
     reaches the driver is one matrix per role, and the points are projected where
@@ -88,7 +93,7 @@ def pca_layout(points: DataFrame) -> DataFrame:
     plane = points.select("role", "url_hash", "vec").mapInArrow(
         project, "role string, url_hash long, x double, y double"
     )
-    return rescale(materialize(plane))
+    return materialize(plane)
 
 
 def axis_bounds(plane: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions.listings import needs_vector
 from ..functions.titles import has_title
-from ..session import lookup_join, materialize
+from ..session import lookup_join, materialize, remove_folder
 from .state import counted
 
 
@@ -83,3 +84,43 @@ def orphan_count(vectors: DataFrame, listings: DataFrame) -> DataFrame:
     """Vectors that break the foreign key to listings."""
     orphans = vectors.join(listings.select("url_hash"), "url_hash", "left_anti")
     return orphans.agg(F.count("*").alias("n_orphans"))
+
+
+VECTOR_BUCKETS = 256
+
+
+def write_buckets(vectors: DataFrame, path: str, buckets: int = VECTOR_BUCKETS) -> None:
+    """Store vectors in partitions by a hash of their key, each of which can be replaced alone."""
+    bucket = F.pmod(F.xxhash64("url_hash"), F.lit(buckets)).cast("int").alias("bucket")
+    placed = vectors.select("url_hash", "role_vec", bucket).repartitionByRange("bucket", "url_hash")
+    placed.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def read_buckets(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{schemas.VECTORS}, bucket int").parquet(path)
+
+
+def drop_orphans(listings: DataFrame, path: str) -> dict[str, int]:
+    """D3 in place: rewrite only the buckets below ``path`` that hold orphans.
+
+    Keys alone are compared.  Returns how many vectors were ``orphaned`` and how many
+    buckets ``rewritten``; files of others stay as they are.  Survivors are written apart
+    first, so a job that fails halfway can be run again.
+    """
+    spark = listings.sparkSession
+    stored = read_buckets(spark, path)
+    active = listings.filter("is_active").select("url_hash")
+    orphans = materialize(stored.select("url_hash", "bucket").join(active, "url_hash", "left_anti"))
+    counts = {r["bucket"]: r["count"] for r in orphans.groupBy("bucket").count().collect()}
+    if not counts:
+        return {"orphaned": 0, "rewritten": 0}
+    held = stored.filter(F.col("bucket").isin(sorted(counts)))
+    kept = materialize(held.join(orphans.select("url_hash").distinct(), "url_hash", "left_anti"))
+    left = {r["bucket"] for r in kept.select("bucket").distinct().collect()}
+    placed = kept.select("url_hash", "role_vec", "bucket").repartitionByRange("bucket", "url_hash")
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("bucket").parquet(path)
+    # A bucket of orphans alone has nothing to be replaced by.
+    for bucket in set(counts) - left:
+        remove_folder(spark, f"{path.rstrip('/')}/bucket={bucket}")
+    return {"orphaned": sum(counts.values()), "rewritten": len(counts)}

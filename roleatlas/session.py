@@ -33,9 +33,10 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if context.getCheckpointDir() is None:
-        if configured is None:
-            if not context.master.startswith("local"):
+        if not context.master.startswith("local"):
+            if configured is None:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        elif configured is None:
             configured = tempfile.mkdtemp(prefix="roleatlas-")
         context.setCheckpointDir(configured)
     return configured or context.getCheckpointDir()
@@ -46,6 +47,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a table, wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from that table.
 

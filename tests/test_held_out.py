@@ -144,3 +144,29 @@ def test_cross_validation_equals_its_parts(spark, sf):
     assert np.isclose(r["clean_r2"], D.reconstruction_r2(held, w).first()["r2"])
     assert np.isclose(r["raw_r2"], D.reconstruction_r2(held).first()["r2"])
     assert r["clean_r2"] > r["raw_r2"]
+
+
+def test_orphans_leave_other_files_alone(spark, tmp_path):
+    """Only buckets with orphans are written again, and one of orphans alone goes away."""
+    path = str(tmp_path / "vectors")
+    vectors = spark.createDataFrame([(k, [float(k)]) for k in range(300)], schemas.VECTORS)
+    vector_table.write_buckets(vectors, path, 32)
+
+    def files():
+        rows = vector_table.read_buckets(spark, path).select("bucket", F.col("_metadata.file_path").alias("f"))
+        return {r["bucket"]: r["f"] for r in rows.distinct().collect()}
+
+    names = files()
+    of_bucket = {}
+    for r in vector_table.read_buckets(spark, path).collect():
+        of_bucket.setdefault(r["bucket"], set()).add(r["url_hash"])
+    some, whole, *_ = sorted(of_bucket)
+    gone = {min(of_bucket[some])} | of_bucket[whole]
+    listings = spark.createDataFrame([(k, k not in gone) for k in range(300)], "url_hash long, is_active boolean")
+    assert vector_table.drop_orphans(listings, path) == {"orphaned": len(gone), "rewritten": 2}
+    left = vector_table.read_buckets(spark, path)
+    assert {r["url_hash"] for r in left.collect()} == set(range(300)) - gone
+    after = files()
+    assert whole not in after and after[some] != names[some]
+    assert all(after[b] == names[b] for b in after if b != some)
+    assert vector_table.drop_orphans(listings, path) == {"orphaned": 0, "rewritten": 0}
