@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
-from roleatlas.llm import html_extract, lm_score, near_dedup, packing, suffix_dedup, toxicity
+from roleatlas.llm import html_extract, near_dedup, packing, suffix_dedup, toxicity
 from roleatlas.llm.catalog import word_bpe
 from roleatlas.llm.suffix_runs import merge_runs, pack_run, unpack_run
 
@@ -165,79 +165,6 @@ def test_html_table(spark):
     assert html_extract.extract_text(pages.limit(0)).count() == 0
 
 
-# Language model
-
-class Brute:
-    """The model of a word list, node by node."""
-
-    def __init__(self, words, ends):
-        self.trie, self.low = defaultdict(Counter), defaultdict(Counter)
-        for word, n in words.items():
-            symbols = [*word, 256]
-            for i, s in enumerate(symbols):
-                self.trie[word[:i]][s] += n
-                for k in range(3):
-                    self.low[(k, bytes(word[max(0, i - k):i]) if i >= k else (word[:i], "start"))][s] += n
-        if ends:
-            self.trie[b""][257] += ends
-            for k in range(3):
-                self.low[(k, b"") if k == 0 else (k, (b"", "start"))][257] += ends
-
-    def symbol(self, word, i, s):
-        p, gone = 1.0, set()
-        chain = [self.trie[word[:i]]] if i <= lm_score.DEPTH and word[:i] in self.trie else []
-        chain += [self.low[(k, bytes(word[i - k:i]) if i >= k else (word[:i], "start"))] for k in (2, 1, 0)]
-        for counts in chain:
-            left = {x: n for x, n in counts.items() if x not in gone and n}
-            if not left:
-                continue
-            total = sum(left.values()) + len(left)
-            if s in left:
-                return p * left[s] / total
-            p *= len(left) / total
-            gone |= set(left)
-        return p / (258 - len(gone))
-
-    def word(self, word):
-        return sum(np.log10(self.symbol(word, i, s)) for i, s in enumerate([*word, 256]))
-
-
-@pytest.mark.parametrize("slice_words, frequent", [(10**6, 10**6), (7, 3)])
-def test_lm_brute(spark, monkeypatch, slice_words, frequent):
-    monkeypatch.setattr(lm_score, "WORDS_PER_SLICE", slice_words)
-    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
-    rng = random.Random(2)
-    pool = ["".join(rng.choice("abç") for _ in range(rng.randint(1, 16))) for _ in range(40)]
-    rows = [(i, " ".join(rng.choice(pool[:30] if i % 4 else pool) for _ in range(rng.randint(0, 40)))) for i in range(40)]
-    rows += [(100, None), (101, "ABÇ zzz q"), (104, "abc " * 50), (None, "ab"), (104, "abc")]
-    training = F.coalesce(F.col("doc_id") % 4 != 0, F.lit(False))
-    got = lm_score.lm_scores(spark.createDataFrame(rows, TEXT).repartition(3), training).collect()
-    words, ends = Counter(), 0
-    lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-    split = lambda t: (t or "").encode().translate(lower).split()
-    for i, t in rows:
-        if i is not None and i % 4:
-            words.update(split(t))
-            ends += 1
-    model, n, v = Brute(words, ends), sum(words.values()) + ends, len(words) + 1
-    end = np.log10(model.trie[b""][257] / (sum(model.trie[b""].values()) + len(model.trie[b""])))
-    want = sorted(
-        (str(i), len(split(t)) + 1, sum(w in words for w in split(t)) + 1, n,
-         round(sum(np.log10((words[w] + 1) / (n + v + 1)) for w in split(t)) + np.log10((ends + 1) / (n + v + 1)), 6),
-         round(sum(model.word(w) for w in split(t)) + end, 6)) for i, t in rows
-    )
-    rounded = sorted((str(r[0]), r[1], r[2], r[3], round(r[4], 6), round(r[5], 6)) for r in got)
-    for a, b in zip(rounded, want, strict=True):
-        assert a[:4] == b[:4] and a[4:] == pytest.approx(b[4:], abs=2e-5)
-
-
-def test_lm_edges(spark, edges):
-    docs = edges.select("doc_id", "text")
-    assert lm_score.lm_scores(docs, F.lit(False)).count() == len(EDGES)
-    assert all(r["score"] < 0 for r in lm_score.lm_scores(docs, F.lit(True)).collect())
-    assert lm_score.lm_scores(docs.limit(0), F.lit(True)).count() == 0
-
-
 # Near-duplicates
 
 def brute_classes(rows, idf):
