@@ -335,6 +335,16 @@ def b19(spark, d):
     return V.table(spark, d, "customer").select(i, X.embed_input(t).alias("input"))
 
 
+@add(
+    "b19_embed_texts",
+    f"""SELECT doc_id, md5(CASE WHEN length({S.strip('text')}) > {fv.MIN_EMBED_INPUT} THEN text
+        ELSE '{fv.EMBED_PLACEHOLDER}' END) AS input FROM documents""",
+)
+def b19_texts(spark, d):
+    """Whole texts as they are handed to an embedder."""
+    return V.table(spark, d, "documents").select("doc_id", F.md5(X.embed_input(col("text"))).alias("input"))
+
+
 @add("b20_is_ascii", "SELECT doc_id, regexp_full_match(text, '(?s)[\\x00-\\x7F]*') AS ascii FROM documents")
 def b20(spark, d):
     return V.table(spark, d, "documents").select("doc_id", T.is_ascii(col("text")).alias("ascii"))
@@ -421,8 +431,8 @@ def c3(spark, d):
 
 @add(
     "c4_has_content",
-    """SELECT doc_id, url <> '' AND (trim(title) <> '' OR length(body) > 50) AS keep FROM (
-       SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN '' ELSE source END AS url,
+    """SELECT doc_id, url <> '' AND (trim(title) <> '' OR length(body) > 50) AS keep,
+       length(text) > 50 AS keep_by_text FROM (SELECT doc_id, text, CASE WHEN doc_id % 17 = 0 THEN '' ELSE source END AS url,
        CASE WHEN doc_id % 3 = 0 THEN '  ' ELSE source END AS title,
        CASE WHEN doc_id % 2 = 0 THEN text ELSE source END AS body FROM documents)""",
 )
@@ -432,7 +442,7 @@ def c4(spark, d):
         F.when(i % 17 == 0, "").otherwise(col("source")),
         F.when(i % 3 == 0, "  ").otherwise(col("source")),
         F.when(i % 2 == 0, col("text")).otherwise(col("source")),
-    ).alias("keep"))
+    ).alias("keep"), L.has_content(F.lit("u"), F.lit(" "), col("text")).alias("keep_by_text"))
 
 
 SANE = (

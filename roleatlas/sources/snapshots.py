@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import lookup_join, materialize
 
 
 def write_snapshot(df: DataFrame, root: str, version: str | int) -> str:
@@ -61,10 +62,21 @@ def read_copy(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 
 def one_per_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per key, the same one on every run, aggregated before the shuffle."""
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    order = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    return df.groupBy(F.col(key).alias("_key")).agg(F.min_by(row, order).alias("_row")).select("_row.*")
+    """One row per key, the same one on every run.
+
+    Row numbers decide in a hash aggregate; only the rows of keys that come more than
+    once are compared, and what loses, mostly little, is taken out.  Rows without the key
+    count as rows of one key.
+    """
+    rows = materialize(df.withColumns({
+        "_row": F.monotonically_increasing_id(), "_order": F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]),
+    }))
+    chosen = rows.groupBy(F.col(key).alias("_key")).agg(
+        F.min_by("_row", "_order").alias("_first"), F.count("*").alias("_n")
+    ).filter("_n > 1").select("_key", "_first")
+    several = rows.select("_row", F.col(key).alias("_own"))
+    losers = several.join(chosen, F.col("_own").eqNullSafe(F.col("_key"))).filter("_row <> _first").select("_row")
+    return lookup_join(rows, materialize(losers), ["_row"], "left_anti").select(df.columns)
 
 
 def load_dump(
