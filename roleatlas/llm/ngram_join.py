@@ -21,7 +21,10 @@ NUM, DEN = 90, 100
 # Texts with a shingle of the same hash bucket, for an order of shingles, rare ones first.
 BUCKETS = 1 << 18
 BLOCK = 400
+# Sets have 2**4 to 2**16 groups.
+GROUP_BITS = 4, 16
 SALTS = 64
+CELL = ["key", "band", "low", "high"]
 LEAF, FAN = 16, 16
 KNOWN_WORDS = 400_000
 
@@ -110,7 +113,7 @@ def prefixes(shingle: np.ndarray, begins: np.ndarray, common: np.ndarray) -> tup
 
 
 def set_rows(docs: DataFrame, common: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """``id, n, digest, keys`` of every text's set; the digest of an empty one is null."""
+    """``id, n, digest, keys, counts`` of every text's set; the digest of an empty one is null."""
     kind = docs.schema[id_col].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -122,32 +125,46 @@ def set_rows(docs: DataFrame, common: np.ndarray, id_col: str, text_col: str) ->
                 keys, ends = prefixes(shingle, begins, shared.value)
                 sets = [shingle[s:e].tobytes() for s, e in zip(begins, begins[1:])]
                 digests = [hashlib.blake2b(s, digest_size=16).digest() if s else None for s in sets]
+                counts = count_vectors(shingle, begins, groups_for(np.diff(begins)))
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(np.diff(begins)), pa.array(digests, pa.binary()),
                     pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.view(np.int64))),
-                ], ["id", "n", "digest", "keys"])
+                    pa.array(counts, pa.binary()),
+                ], ["id", "n", "digest", "keys", "counts"])
 
     return docs.select(col(id_col), col(text_col)).mapInArrow(
-        run, f"id {kind}, n long, digest binary, keys array<bigint>"
+        run, f"id {kind}, n long, digest binary, keys array<bigint>, counts binary"
     )
 
 
-def linked(shared: np.ndarray, size: int, sizes: np.ndarray) -> np.ndarray:
-    return DEN * shared >= NUM * (size + sizes - shared)
+def groups_for(sizes: np.ndarray) -> np.ndarray:
+    """Powers of two, so that a group of a set has about eight shingles."""
+    wanted = np.ceil(np.log2(np.maximum(sizes, 1) / 8)).astype(np.int64)
+    return 1 << np.clip(wanted, *GROUP_BITS)
 
 
-def count_vectors(shingle: np.ndarray, begins: np.ndarray, groups: int) -> np.ndarray:
-    """How many shingles of each set fall into each group of hashes."""
-    sizes = np.diff(begins)
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    cell = text * groups + (shingle >> np.uint64(40)).astype(np.int64) % groups
-    return np.bincount(cell, minlength=len(sizes) * groups).reshape(-1, groups).astype(np.int32)
+def count_vectors(shingle: np.ndarray, begins: np.ndarray, groups: np.ndarray) -> list[bytes]:
+    """How many shingles of each set fall into each of its groups of hashes, 16 bits each."""
+    ends = np.cumsum(groups)
+    text = np.repeat(np.arange(len(groups)), np.diff(begins))
+    cell = (ends - groups)[text] + ((shingle >> np.uint64(40)).astype(np.int64) & (groups[text] - 1))
+    counts = np.bincount(cell, minlength=int(ends[-1]) if len(ends) else 0)
+    # A greater count than fits would need half a billion shingles.
+    data = np.minimum(counts, 0xFFFF).astype("<u2").tobytes()
+    return [data[2 * (e - g):2 * e] for e, g in zip(ends.tolist(), groups.tolist())]
+
 
+def alike(vectors: list[bytes], groups: int) -> np.ndarray:
+    """Vectors as rows of ``groups`` counts, those of more groups added up."""
+    out = np.zeros((len(vectors), groups), np.int32)
+    for k, data in enumerate(vectors):
+        out[k] = np.frombuffer(data, "<u2").reshape(-1, groups).sum(axis=0)
+    return out
 
-def groups_for(sizes: np.ndarray) -> int:
-    """A power of two, so that a group of a usual set has about eight shingles."""
-    usual = float(np.median(sizes)) if len(sizes) else 0.0
-    return 1 << int(np.clip(np.ceil(np.log2(max(usual, 1) / 8)), 4, 10))
+
+def may_link(shared: np.ndarray, sizes: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Whether sets may be linked that share at most ``shared``."""
+    return DEN * shared >= NUM * (sizes + others - shared)
 
 
 class CountTree:
@@ -191,7 +208,7 @@ class CountTree:
             high, low = self.levels[level]
             most = np.minimum(high[at], vector).sum(axis=1)
             # What is shared is at most `most`, so the union is at least the rest of both.
-            at = at[DEN * most >= NUM * (size + low[at] - most)]
+            at = at[may_link(most, size, low[at])]
             if level:
                 width = LEAF if level == 1 else FAN
                 below = len(self.levels[level - 1][1])
@@ -210,7 +227,8 @@ def links_within(
     """
     shingle, begins = shingle_sets(texts)
     sizes = np.diff(begins)
-    vectors = count_vectors(shingle, begins, groups_for(sizes))
+    groups = groups_for(sizes)
+    vectors = alike(count_vectors(shingle, begins, groups), int(groups.min(initial=1 << GROUP_BITS[1])))
     tree = CountTree(vectors, sizes)
     names = {c: k for k, c in enumerate(dict.fromkeys(classes))}
     group = np.array([names[c] for c in classes], np.int64)
@@ -231,7 +249,7 @@ def links_within(
         if not len(near):
             continue
         shared = shared_counts(shingle, begins, i, near)
-        for j in near[linked(shared, sizes[i], sizes[near])]:
+        for j in near[may_link(shared, sizes[i], sizes[near])]:
             if group[j] != group[i]:
                 found.append((ids[i], ids[j]))
                 group[group == group[j]] = group[i]
@@ -248,6 +266,79 @@ def shared_counts(shingle: np.ndarray, begins: np.ndarray, i: int, others: np.nd
     return np.add.reduceat((own[at] == theirs).astype(np.int64), starts)
 
 
+def possible_pairs(pairs: DataFrame) -> DataFrame:
+    """Those of ``leader, id, n, counts, m, leader_counts`` whose vectors allow a link."""
+    kind = pairs.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = batch.column(2).to_numpy(), batch.column(4).to_numpy()
+            of = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+            groups = np.array([min(len(x), len(y)) // 2 for x, y in zip(*of)], np.int64)
+            good = np.zeros(len(n), bool)
+            for g in np.unique(groups):
+                for at in np.array_split(np.flatnonzero(groups == g), max(1, int(g * len(n) >> 22))):
+                    both = [alike([x[k] for k in at], int(g)) for x in of]
+                    good[at] = may_link(np.minimum(*both).sum(axis=1), n[at], m[at])
+            chosen = batch.filter(pa.array(good))
+            yield pa.RecordBatch.from_arrays([chosen.column(0), chosen.column(1)], ["leader", "id"])
+
+    chosen = pairs.select("leader", "id", "n", "counts", "m", "leader_counts")
+    return chosen.mapInArrow(run, f"leader {kind}, id {kind}")
+
+
+def possible_members(cells: DataFrame) -> DataFrame:
+    """Rows of ``cells`` that some row of another class in the cell may be linked with.
+
+    Cells pass by whole, in order; their members' vectors are searched in a tree.
+    """
+    names = [*CELL, "block", "visit", "id", "class", "n", "counts"]
+    schema = cells.select(names[:-2]).schema
+
+    def keep(rows: pa.Table) -> pa.Table:
+        key = np.stack([rows[c].to_numpy() for c in CELL])
+        first = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(axis=0)))
+        sizes, block = rows["n"].to_numpy(), rows["block"].to_numpy()
+        visit = rows["visit"].to_numpy() == 1
+        class_ = np.unique(rows["class"].to_numpy(), return_inverse=True)[1]
+        counts = rows["counts"].to_pylist()
+        good = np.zeros(rows.num_rows, bool)
+        for s, e in zip(first, [*first[1:], rows.num_rows]):
+            if e - s < 2 or (class_[s:e] == class_[s]).all():
+                continue
+            vectors = alike(counts[s:e], min(map(len, counts[s:e])) // 2)
+            tree, both = CountTree(vectors, sizes[s:e]), block[s:e].min() != block[s:e].max()
+            for i in range(e - s):
+                near = tree.candidates(vectors[i], sizes[s + i]) + s
+                near = near[(class_[near] != class_[s + i]) & ~(visit[near] & visit[s + i])]
+                if both:
+                    near = near[block[near] != block[s + i]]
+                good[near] = True
+        return rows.select(names[:-2]).filter(pa.array(good))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # The last cell of a batch may go on in the next one.
+            key = np.stack([batch.column(c).to_numpy() for c in CELL])
+            cut = np.flatnonzero((key != key[:, -1:]).any(axis=0))
+            cut = int(cut[-1]) + 1 if len(cut) else 0
+            if held and (cut or [held[-1].column(c)[-1] for c in CELL] != [batch.column(c)[0] for c in CELL]):
+                whole = pa.Table.from_batches([*held, batch.slice(0, cut)])
+                yield from keep(whole.combine_chunks()).to_batches()
+                held = []
+            elif cut:
+                yield from keep(pa.Table.from_batches([batch.slice(0, cut)])).to_batches()
+            held.append(batch.slice(cut))
+        if held:
+            yield from keep(pa.Table.from_batches(held).combine_chunks()).to_batches()
+
+    dealt = cells.select(names).repartition(*CELL).sortWithinPartitions(*CELL)
+    return dealt.mapInArrow(run, schema)
+
+
 def links_to_leaders(rows: DataFrame) -> DataFrame:
     """Links ``a, b`` of leaders to members of their blocks.
 
@@ -270,7 +361,7 @@ def links_to_leaders(rows: DataFrame) -> DataFrame:
                     elif of == leader and len(own) and len(mine):
                         at = np.minimum(np.searchsorted(own, mine), len(own) - 1)
                         shared = int((own[at] == mine).sum())
-                        if linked(shared, len(own), sizes[k]):
+                        if may_link(shared, len(own), sizes[k]):
                             found.append((of, one))
                 if found:
                     cells = [pa.array(c, part.schema.field(2).type) for c in zip(*found)]
@@ -287,7 +378,7 @@ def size_band(n: Column) -> Column:
 
 
 def cells_of(members: DataFrame) -> DataFrame:
-    """Rows ``key, band, low, high, block, visit, id, class`` of cells that decide all pairs of a key.
+    """Rows ``key, band, low, high, block, visit, id, class, n`` of cells that decide all pairs of a key.
 
     A key with few members is one cell.  The members of others are dealt by the size of
     their sets, each to its band and as a visitor to the next, and a band of many members
@@ -300,7 +391,7 @@ def cells_of(members: DataFrame) -> DataFrame:
     large = F.col("of") > BLOCK
     band = F.when(large, size_band(F.col("n"))).otherwise(0)
     visits = F.when(large, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    placed = rest.select("key", "id", "class", band.alias("own"), F.explode(visits).alias("visit"))
+    placed = rest.select("key", "id", "class", "n", band.alias("own"), F.explode(visits).alias("visit"))
     placed = placed.withColumn("band", F.col("own") + F.col("visit")).drop("own")
     blocks = placed.groupBy("key", "band").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.count_if(F.col("visit") == 0).alias("owned")
@@ -312,14 +403,19 @@ def cells_of(members: DataFrame) -> DataFrame:
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     return placed.select(
         "key", "band", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "block", "visit", "id", "class",
+        "block", "visit", "id", "class", "n",
     )
 
 
 def near_links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Links ``a, b`` that have the components of all linked pairs of ``reps``."""
     kind = reps.schema["id"].dataType.simpleString()
-    keys = reps.select("id", "n", F.explode("keys").alias("key"))
+    # Shingles with an octave of sizes; sets near its upper end also stand in the next one.
+    octave = F.floor(F.log2(F.col("n").cast("double")) + 1e-9)
+    above = F.floor(F.log2(F.col("n") * (DEN / NUM)) + 1e-9)
+    keys = reps.select("id", "n", F.explode(F.array_distinct(F.array(octave, above))).alias("octave"), "keys")
+    keys = keys.select("id", "n", "octave", F.explode("keys").alias("key"))
+    keys = keys.select("id", "n", F.xxhash64("octave", "key").alias("key"))
     sizes = keys.groupBy("key").agg(
         F.min("id").alias("leader"), F.min_by("n", "id").alias("m"), F.count(F.lit(1)).alias("of"),
         # Keys of the same sets are known by this and taken once.
@@ -328,18 +424,25 @@ def near_links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) ->
     sizes = materialize(
         sizes.groupBy("leader", "m", "of", "mark").agg(F.min("key").alias("key")).drop("mark")
     )
-    total = reps.agg(F.sum(F.size("keys"))).first()[0] or 0
+    total = keys.count()
     # Fewer than SALTS keys can hold so large a share.
     hot = sizes.filter(F.col("of") * SALTS > total).select("key").collect()
     members = materialize(
         salted_join(keys, sizes, ["key"], "inner", SALTS, hot) if hot else keys.join(sizes, "key")
     )
-    # The ids grow with the corpus, so they are merged with the texts at every size.
+    # The ids grow with the corpus, so they are merged with texts and vectors at every size.
+    met = members.select("id").distinct()
+    vectors = materialize(reps.select("id", "counts").join(met.hint("merge"), "id", "left_semi"))
     texts = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
-    texts = materialize(texts.join(members.select("id").distinct().hint("merge"), "id", "left_semi"))
+    texts = materialize(texts.join(met.hint("merge"), "id", "left_semi"))
 
     fits = F.least("n", "m") * DEN >= F.greatest("n", "m") * NUM
-    pairs = materialize(members.filter("id <> leader").filter(fits).select("leader", "id").distinct())
+    pairs = members.filter("id <> leader").filter(fits).select("leader", "id", "n", "m").distinct()
+    of_leader = vectors.withColumnsRenamed({"id": "leader", "counts": "leader_counts"})
+    leaders = pairs.select("leader").distinct()
+    of_leader = materialize(of_leader.join(leaders.hint("merge"), "leader", "left_semi"))
+    pairs = lookup_join(pairs.join(vectors.hint("merge"), "id"), of_leader, ["leader"], "inner")
+    pairs = materialize(possible_pairs(pairs).distinct())
     blocks = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     placed = lookup_join(pairs, blocks, ["leader"], "inner").withColumn(
         "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
@@ -361,8 +464,15 @@ def near_links(docs: DataFrame, reps: DataFrame, id_col: str, text_col: str) ->
         )
         return pa.table({k: pa.array([f[i] for f in found], group.schema.field("id").type) for i, k in enumerate("ab")})
 
-    cells = cells_of(rest).join(texts, "id")
-    second = cells.groupBy("key", "band", "low", "high").applyInArrow(decide, f"a {kind}, b {kind}")
+    cells = materialize(possible_members(cells_of(rest).join(vectors.hint("merge"), "id")))
+    # Many keys leave the same rows; these are decided once.
+    marks = cells.groupBy(*CELL).agg(
+        F.count(F.lit(1)).alias("of"),
+        F.sum(F.xxhash64("id", "block", "visit").cast("decimal(38,0)")).alias("mark"),
+    )
+    once = marks.groupBy("of", "mark").agg(F.min(F.struct(*CELL)).alias("one")).select("one.*")
+    cells = lookup_join(cells, materialize(once), CELL, "left_semi")
+    second = cells.join(texts.hint("merge"), "id").groupBy(*CELL).applyInArrow(decide, f"a {kind}, b {kind}")
     return first.unionAll(materialize(second.distinct()))
 
 
@@ -389,8 +499,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ).filter("times > 1").drop("times")
     # Equal sets are taken once; a digest of very many rows is salted.
     found = materialize(lookup_join(rows, copies, ["digest"]).withColumn("copy_of", F.coalesce("copy_of", "id")))
-    reps = found.filter("id = copy_of AND n > 0").select("id", "n", "keys", "digest").dropDuplicates(["id", "digest"])
-    links = near_links(docs, reps.drop("digest"), id_col, text_col)
+    reps = found.filter("id = copy_of AND n > 0").select("id", "n", "keys", "counts", "digest")
+    reps = reps.dropDuplicates(["id", "digest"]).drop("digest")
+    links = near_links(docs, reps, id_col, text_col)
     # Rows of one id that have several texts connect these.
     several = materialize(
         found.filter("id IS NOT NULL").groupBy("id").agg(F.min("copy_of").alias("a"), F.max("copy_of").alias("b"))

@@ -116,6 +116,22 @@ def test_tree_loses_nothing(groups):
         assert sorted(tree.candidates(vectors[i], sizes[i])) == wanted.tolist()
 
 
+def test_vectors_of_other_sizes():
+    """A vector of more groups adds up to that of fewer, and bounds what sets share."""
+    texts = [" ".join(f"x{k % m}" for k in range(n)) for n, m in ((900, 700), (880, 690), (60, 50), (4000, 3000))]
+    shingle, begins = J.shingle_sets(pa.array(texts))
+    groups = J.groups_for(np.diff(begins))
+    assert len(set(groups.tolist())) == 3
+    few = int(groups.min())
+    rows = J.alike(J.count_vectors(shingle, begins, groups), few)
+    assert rows.sum(axis=1).tolist() == np.diff(begins).tolist()
+    assert rows.tolist() == J.alike(J.count_vectors(shingle, begins, np.full(4, few)), few).tolist()
+    sets = [set(shingle[s:e].tolist()) for s, e in zip(begins, begins[1:])]
+    for x in range(4):
+        for y in range(4):
+            assert len(sets[x] & sets[y]) <= np.minimum(rows[x], rows[y]).sum()
+
+
 def test_prefixes_meet():
     """Linked sets share a key of their prefixes, whatever the order of shingles."""
     rng = random.Random(6)
