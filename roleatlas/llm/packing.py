@@ -58,7 +58,6 @@ def token_pieces(
                 out += [pa.array(parts, pa.binary())] if with_ids else []
                 names = [id_col, "piece", "start", "length", "ids_crc32", "chunk", "place"]
                 yield pa.RecordBatch.from_arrays(out, names + ["ids"] * with_ids)
-        own.forget()
 
     return docs.select(col(id_col), col(text_col)).mapInArrow(cut, f"`{id_col}` {kind}, {made}")
 

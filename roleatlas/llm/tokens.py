@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
+from array import array
 
 import numpy as np
 import pyarrow as pa
 
-from .words import find_words
+from .common import kept
+from .words import LOWER, text_bytes
 
 # Fixed values.  A word of these characters only is lower-cased and split here by the
 # pre-tokenizer's own pattern; any other goes to the tokenizer as it is, for whoever normalizes
@@ -18,8 +19,9 @@ RARE = re.compile(r"[^!-~¡-įı-ſ]|<\|")
 LETTERS = "a-zªµºß-öø-ſ"
 NUMBERS = "0-9²³¹¼-¾"
 PIECES = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[{NUMBERS}]|[^{LETTERS}{NUMBERS}]+")
-KNOWN_MOST = 300_000
+KNOWN_MOST = 80_000
 WORD_END = "</w>"
+MARKS = ".,;:!?"
 
 
 class Encoder:
@@ -33,18 +35,27 @@ class Encoder:
         ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith(WORD_END)]
         self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         self.is_end[ends] = True
+        # Pieces met lately, and those met before them; a piece that is met again stays.
         self.known: dict[str, bytes] = {}
+        self.former: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
     def learn(self, pieces: list[str]) -> None:
-        """Encode new pieces together; each ends with the one id that marks a word's end."""
-        for at in range(0, len(pieces), 200):
-            part = pieces[at:at + 200]
-            ids = self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids
-            ids = np.array(ids, "<u4")
+        """Encode new pieces; each ends with the one id that marks a word's end."""
+        model, others = self.tokenizer.model, []
+        for piece in pieces:
+            if piece.isascii():
+                # Such letters stand for themselves, so the model takes them as they are.
+                self.known[piece] = array("I", [t.id for t in model.tokenize(piece)]).tobytes()
+            else:
+                others.append(piece)
+        parts = [others[at:at + 200] for at in range(0, len(others), 200)]
+        found = self.tokenizer.encode_batch([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, encoding in zip(parts, found):
+            ids = np.array(encoding.ids, "<u4")
             stops = (np.flatnonzero(self.is_end[ids]) + 1).tolist()
             if len(stops) == len(part):
                 data, begin = ids.tobytes(), 0
@@ -54,22 +65,28 @@ class Encoder:
             else:
                 self.known.update((piece, self.whole(piece)) for piece in part)
 
-    def forget(self) -> None:
-        """Give back the memory of known pieces, for whatever the worker does next."""
-        self.known = {}
-
-    def words(self, words: list[str]) -> list[bytes]:
-        split = [None if RARE.search(w) else PIECES.findall(w.lower()) for w in words]
-        wanted = set().union(*(s for s in split if s is not None))
+    def words(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of distinct words, told apart by all their bytes."""
         if len(self.known) > KNOWN_MOST:
-            self.forget()
-        self.learn(list(wanted - self.known.keys()))
-        known = self.known
-        return [
-            self.whole(w) if s is None else known[s[0]] if len(s) == 1
-            else b"".join([known[p] for p in s])
-            for w, s in zip(words, split)
-        ]
+            self.known, self.former = {}, self.known
+        known, out, later = self.known, {}, []
+        fresh: set[str] = set()
+        for word in words:
+            pieces = pieces_of(word.decode())
+            if pieces is None:
+                out[word] = self.whole(word.decode())
+                continue
+            try:
+                out[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
+            except KeyError:
+                later.append((word, pieces))
+                fresh.update(pieces)
+        fresh -= known.keys()
+        again = fresh & self.former.keys()
+        known.update((p, self.former[p]) for p in again)
+        self.learn(list(fresh - again))
+        out.update((word, b"".join([known[p] for p in pieces])) for word, pieces in later)
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and where each text's begin.
@@ -77,22 +94,26 @@ class Encoder:
         White space never joins or splits otherwise than between words, so a text's
         ids are those of its words in order.
         """
-        found = find_words(texts)
-        _, first, which = np.unique(found.hash, return_index=True, return_inverse=True)
-        encoded = self.words([w.decode() for w in found.strings(first)])
-        sizes = np.array([len(e) for e in encoded], np.int64) // 4
-        ids = np.frombuffer(b"".join(encoded), "<u4")
-        begins = np.cumsum(sizes) - sizes
-        size = sizes[which]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = np.arange(total) + np.repeat(begins[which] - (ends - size), size)
-        counts = np.zeros(len(texts) + 1, np.int64)
-        np.add.at(counts, found.text + 1, size)
-        return ids[flat], np.cumsum(counts)
-
-
-@lru_cache(maxsize=2)
+        data, offsets = text_bytes(texts)
+        raw = LOWER[data].tobytes()
+        words = [raw[s:e].split() for s, e in zip(offsets.tolist(), offsets[1:].tolist())]
+        known = self.words(set().union(*words))
+        parts = [b"".join([known[w] for w in of]) for of in words]
+        begins = np.cumsum([0, *map(len, parts)]) // 4
+        return np.frombuffer(b"".join(parts), "<u4"), begins
+
+
+def pieces_of(word: str) -> list[str] | None:
+    """The pieces of a word, or none if only the tokenizer itself should split it."""
+    if word.isascii():
+        if word.isalpha():
+            return [word.lower()]
+        # Most others are a word and a mark.
+        if word[-1] in MARKS and word[:-1].isalpha():
+            return [word[:-1].lower(), word[-1]]
+    return None if RARE.search(word) else PIECES.findall(word.lower())
+
+
 def encoder(path: str) -> Encoder:
     """One encoder per worker and tokenizer file; workers are reused between tasks."""
-    return Encoder(path)
+    return kept(f"encoder {path}", lambda: Encoder(path))
