@@ -5,6 +5,7 @@ A pair table is ``url_hash, company, title, role_vec, resp_vec``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,22 +159,42 @@ def cross_validate(
 
 # --- I7: neighbors kept ------------------------------------------------------
 
+# Below the first size blocks are not cut for the sake of idle cores; the second bounds the
+# vectors of a block in a task.
 QUERY_ROWS = 4096
+BLOCK_BYTES = 32 * 1024 * 1024
+# Similarities that a task holds at once.
+SCORES_AT_ONCE = 4 * 1024 * 1024
+
+
+def block_count(rows: int, dimension: int, cores: int) -> int:
+    """How many blocks: every row is sent once to each, so no more than cores and memory ask for.
+
+    Three pairs of blocks per core keep all cores busy; beyond that blocks grow with the
+    table until they reach BLOCK_BYTES, and only then their number does.
+    """
+    largest = max(QUERY_ROWS, BLOCK_BYTES // (8 * max(dimension, 1)))
+    busy = math.ceil(math.sqrt(6 * cores))
+    return max(1, -(-rows // largest), min(busy, -(-rows // QUERY_ROWS)))
 
 
 def exact_knn(
-    vectors: DataFrame, column: str, k: int, key: str = "url_hash", query_rows: int = QUERY_ROWS
+    vectors: DataFrame, column: str, k: int, key: str = "url_hash", query_rows: int | None = None
 ) -> DataFrame:
     """Exact k nearest others of every row by cosine: ``query, neighbor, sim, rank``.
 
-    Rows fall into blocks of about ``query_rows`` by a hash of their key, and every
-    two blocks meet in one group, which keeps the k best of each row.  The plan has
-    the same few steps at any size, no group grows with the table, and nothing
-    passes through the driver.  The work is quadratic: this is an evaluation tool for
-    held-out folds, not a way to search the corpus.
+    Rows fall into blocks (see :func:`block_count`; of about ``query_rows``, if given) by a
+    hash of their key, and every two blocks meet in one group, which keeps the k best of
+    each row.  The plan has the same few steps at any size, no group is larger than two
+    blocks, and nothing passes through the driver.  The work is quadratic: this is an
+    evaluation tool for held-out folds, not a way to search the corpus.
     """
     slim = materialize(vectors.select(F.col(key).alias("id"), F.col(column).alias("v")))
-    blocks = max(1, -(-slim.count() // query_rows))
+    size = slim.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
+    if query_rows is None:
+        blocks = block_count(size["n"], size["d"] or 1, vectors.sparkSession.sparkContext.defaultParallelism)
+    else:
+        blocks = max(1, -(-size["n"] // query_rows))
     own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
     met = slim.withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -201,9 +222,11 @@ def _nearest(group: pa.Table, k: int) -> pa.Table:
     query, neighbor, sim = [], [], []
     for a, b in ways:
         asked, given = np.flatnonzero(own == a), np.flatnonzero(own == b)
-        for at in range(0, len(asked), 512):
-            some = asked[at:at + 512]
-            sims = np.round(unit[some] @ unit[given].T, SCORE_DIGITS)
+        step = max(1, SCORES_AT_ONCE // max(1, len(given)))
+        targets = unit[given].T
+        for at in range(0, len(asked), step):
+            some = asked[at:at + step]
+            sims = np.round(unit[some] @ targets, SCORE_DIGITS)
             sims[ids[some][:, None] == ids[given][None, :]] = -np.inf
             for i, row in zip(some, sims):
                 best = np.arange(len(row))
@@ -224,13 +247,20 @@ def _nearest(group: pa.Table, k: int) -> pa.Table:
 
 
 def knn_preservation(
-    pairs: DataFrame, k: int = 20, w: np.ndarray | None = None, query_rows: int = QUERY_ROWS
+    pairs: DataFrame, k: int = 20, w: np.ndarray | None = None, query_rows: int | None = None,
+    near: DataFrame | None = None,
 ) -> DataFrame:
-    """Mean share of a row's k nearest by ``resp_vec`` that ``role_vec`` also has."""
-    role = apply_transform(pairs.select("url_hash", "role_vec"), w, "role_vec", "v")
+    """Mean share of a row's k nearest by ``resp_vec`` that ``role_vec`` also has.
+
+    ``near`` has the first (``query, neighbor``) where they are known already.
+    """
+    role = pairs.select("url_hash", F.col("role_vec").alias("v"))
+    if w is not None:
+        role = apply_transform(role, w, "v", "v")
     kept = exact_knn(role, "v", k, query_rows=query_rows).select("query", "neighbor")
-    resp = exact_knn(pairs, "resp_vec", k, query_rows=query_rows)
-    marked = resp.join(kept.withColumn("hit", F.lit(1)), ["query", "neighbor"], "left")
+    if near is None:
+        near = exact_knn(pairs, "resp_vec", k, query_rows=query_rows).select("query", "neighbor")
+    marked = near.join(kept.withColumn("hit", F.lit(1)), ["query", "neighbor"], "left")
     per_query = marked.groupBy("query").agg(
         (F.count("hit") / F.count("*")).alias("share")
     )
@@ -357,10 +387,12 @@ def reconstruction_r2(pairs: DataFrame, w: np.ndarray | None = None) -> DataFram
     return sums.select((1 - F.try_divide(F.col("error"), spread)).alias("r2"), F.col("n"))
 
 
-def evaluate(pairs: DataFrame, w: np.ndarray | None, k: int = 20) -> dict[str, float]:
-    """The four numbers for one (held-out) pair table."""
+def evaluate(
+    pairs: DataFrame, w: np.ndarray | None, k: int = 20, near: DataFrame | None = None
+) -> dict[str, float]:
+    """The four numbers for one (held-out) pair table; ``near`` as in :func:`knn_preservation`."""
     return {
-        "rnp": knn_preservation(pairs, k, w).first()["rnp"],
+        "rnp": knn_preservation(pairs, k, w, near=near).first()["rnp"],
         "rrc": rank_correlation(pairs, w=w).first()["rrc"],
         "ci": company_invariance(pairs, w).first()["ci"],
         "r2": reconstruction_r2(pairs, w).first()["r2"],
@@ -368,7 +400,7 @@ def evaluate(pairs: DataFrame, w: np.ndarray | None, k: int = 20) -> dict[str, f
 
 
 __all__ = [
-    "company_folds", "company_invariance", "cross_validate", "evaluate", "exact_knn", "fit_deconfound",
+    "block_count", "company_folds", "company_invariance", "cross_validate", "evaluate", "exact_knn", "fit_deconfound",
     "fold_gram_sums", "fv", "gram_sums", "knn_preservation", "load_transform", "rank_correlation",
     "reconstruction_r2", "hashed_pairs", "save_transform", "solve_transform",
 ]

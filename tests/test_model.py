@@ -68,6 +68,22 @@ def test_knn(pairs, query_rows):
     assert np.isclose(kept["rnp"], share) and kept["n_queries"] == len(role)
 
 
+def test_knn_blocks_follow_cores_and_memory(pairs, monkeypatch):
+    """Rows are sent once to each block, so blocks grow with the table before their number does."""
+    role, _, df = pairs
+    monkeypatch.setattr(D, "QUERY_ROWS", 10)
+    found = D.exact_knn(df, "role_vec", 5)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    blocks = D.block_count(len(role), role.shape[1], cores)
+    assert 1 < blocks < len(role) // 10 and blocks * (blocks + 1) // 2 >= 3 * cores
+    assert f"sequence(0, {blocks - 1}" in found._jdf.queryExecution().toString()
+    expected = brute_knn(role, 5)
+    assert {q: set(rows.neighbor) for q, rows in found.toPandas().groupby("query")} == dict(enumerate(expected))
+    monkeypatch.undo()
+    assert D.block_count(580_000, 64, 12) == D.block_count(58_000, 64, 12) == 9
+    assert D.block_count(0, 64, 12) == 1 and D.block_count(100_000, 4096, 12) == 25
+
+
 def test_rank_correlation_with_ties(pairs):
     role, resp, df = pairs
     df, n = df.filter("url_hash < 199"), 199
