@@ -151,7 +151,9 @@ def cross_validate(
     for fold in sorted(sizes):
         held = folds.filter(F.col("fold") == fold).drop("fold")
         w = solve_transform(xx.sum(axis=0) - xx[fold], xy.sum(axis=0) - xy[fold], lam, alpha)
-        both = [evaluate(held, m, neighbors) for m in (None, w)]
+        # What is nearest by the target does not depend on the matrix.
+        near = materialize(exact_knn(held, "resp_vec", neighbors).select("query", "neighbor"))
+        both = [evaluate(held, m, neighbors, near) for m in (None, w)]
         out.append((fold, sizes[fold], *[e[m] for m in measures for e in both]))
     names = ", ".join(f"raw_{m} double, clean_{m} double" for m in measures)
     return spark.createDataFrame(out, f"fold int, n long, {names}")

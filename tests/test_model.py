@@ -84,6 +84,22 @@ def test_knn_blocks_follow_cores_and_memory(pairs, monkeypatch):
     assert D.block_count(0, 64, 12) == 1 and D.block_count(100_000, 4096, 12) == 25
 
 
+def test_folds_find_what_is_nearest_by_the_target_once(pairs, monkeypatch):
+    _, _, df = pairs
+    asked, exact_knn = [], D.exact_knn
+
+    def counted(vectors, column, *args, **more):
+        asked.append(column)
+        return exact_knn(vectors, column, *args, **more)
+
+    monkeypatch.setattr(D, "exact_knn", counted)
+    found = {r["fold"]: r for r in D.cross_validate(df, 2, 2.0, 0.5, 5).collect()}
+    assert asked.count("resp_vec") == len(found) and len(asked) == 3 * len(found)
+    for fold, row in found.items():
+        held = D.company_folds(df, 2).filter(F.col("fold") == fold)
+        assert np.isclose(row["raw_rnp"], D.knn_preservation(held, 5).first()["rnp"])
+
+
 def test_rank_correlation_with_ties(pairs):
     role, resp, df = pairs
     df, n = df.filter("url_hash < 199"), 199
