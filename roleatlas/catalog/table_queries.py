@@ -18,7 +18,7 @@ from ..operators.vector_index import approx_knn, build_index, load_index
 from ..plans.encode import encode_in_chunks, encode_new, pending_texts
 from ..plans.ingest import ingest_version, run_ingest
 from ..schemas import LISTING_COLUMNS
-from ..session import materialize, scratch_path
+from ..session import materialize, read_size, scratch_path
 from ..sources import boards, companies, snapshots
 from ..sources.store import ListingStore
 from ..streaming.landed import latest_version, scraped_names, stream_fetches, stream_upserts
@@ -621,9 +621,19 @@ def second_batch(spark, d):
     return V.scraped_batch(spark, d).filter("doc_id % 3 <> 0").withColumn("description_raw", text)
 
 
+# By the optimizer's estimate, which is some times the size of the input's files.
+BUCKET_BYTES = 256 * 1024 * 1024
+
+
+def bucket_count(state) -> int:
+    """Buckets that follow the input's size, so that no task reads more at larger ones."""
+    return min(4096, max(8, -(-read_size(state) // BUCKET_BYTES)))
+
+
 def new_store(spark, d) -> ListingStore:
-    store = ListingStore(spark, scratch_path(spark, "store"), 8)
-    store.create(V.prior_state(spark, d))
+    state = V.prior_state(spark, d)
+    store = ListingStore(spark, scratch_path(spark, "store"), bucket_count(state))
+    store.create(state)
     return store
 
 
@@ -665,13 +675,19 @@ def a9_stored(spark, d):
     return new_store(spark, d).listings(0)
 
 
-def land_fetches(spark, d, rows, at: str, landed: str, parts: int) -> None:
-    """Each company's rows and the outcome of its fetch in one of ``parts`` files."""
+def land_fetches(spark, d, rows, at: str, landed: str, parts: int, part: int | None = None) -> None:
+    """Each company's rows and the outcome of its fetch in one of ``parts`` folders, or in ``part`` of them.
+
+    Each task writes its own files, so a company may have several; all of them have to be
+    in one micro-batch.
+    """
     outcomes = V.fetch_log(spark, d).withColumn("outcome", F.lit(True))
     served = rows.select(*scraped_names()).withColumn("outcome", F.lit(False))
     both = served.unionByName(outcomes, allowMissingColumns=True).withColumn("fetched_at", F.lit(at).cast("timestamp"))
-    part = F.pmod(F.xxhash64("company"), F.lit(parts)).cast("int").alias("part")
-    both.select("*", part).repartition(parts, "part").write.mode("append").partitionBy("part").parquet(landed)
+    both = both.withColumn("part", F.pmod(F.xxhash64("company"), F.lit(parts)).cast("int"))
+    if part is not None:
+        both = both.filter(col("part") == part)
+    both.write.mode("append").partitionBy("part").parquet(landed)
 
 
 def follow(query) -> None:
@@ -680,16 +696,21 @@ def follow(query) -> None:
         raise query.exception()
 
 
+ALL_FILES = 2**31 - 1
+
+
 @add(
     "s1_streamed_fetches",
     with_views(["v4", "v5", "v6"], f"SELECT {', '.join(STATE_FIELDS)} FROM final2", **TWO_RUNS),
 )
 def s1_fetches(spark, d):
-    """Both runs of j5_stored_runs as fetches that land in files, company by company."""
+    """Both runs of j5_stored_runs as fetches that land half the companies at a time."""
     store, landed, offsets = new_store(spark, d), scratch_path(spark, "fetches"), scratch_path(spark, "offsets")
     for rows, at in ((V.scraped_batch(spark, d), RUN), (second_batch(spark, d), RUN2)):
-        land_fetches(spark, d, rows, at, landed, 2)
-        follow(stream_fetches(spark, os.path.join(landed, "*"), store, offsets, files_per_batch=1))
+        for part in range(2):
+            land_fetches(spark, d, rows, at, landed, 2, part)
+            # All that has landed is one micro-batch, whatever its number of files.
+            follow(stream_fetches(spark, os.path.join(landed, "*"), store, offsets, files_per_batch=ALL_FILES))
     return store.listings(store.latest()).select(STATE_FIELDS)
 
 

@@ -75,8 +75,12 @@ def spread(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size < cores * split else df
+    return df.repartition(cores) if read_size(df) < cores * split else df
+
+
+def read_size(df: DataFrame) -> int:
+    """Bytes of the rows by the optimizer's estimate, which starts from the sizes of files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def byte_size(df: DataFrame) -> Column:

@@ -4,8 +4,8 @@ The pipeline's cadence is a repeated batch; this is its streaming form.  Every
 micro-batch writes a version of its own and starts from the one before, so a
 batch that is replayed after a failure produces the same version again.
 
-``stream_fetches`` is the whole pass: a fetch of a board lands as one file with the rows it
-served and a row that says how it went, and upsert, touch, grace and expiry follow from
+``stream_fetches`` is the whole pass: a fetch of a board lands with the rows it served and a
+row that says how it went, in one file or in several of one micro-batch, and upsert, touch, grace and expiry follow from
 these, company by company, at the time of the fetch.  ``stream_upserts`` takes rows alone.
 """
 
