@@ -3,15 +3,18 @@
 import datetime as dt
 import os
 import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from roleatlas import schemas
+from roleatlas.catalog import table_queries as T
 from roleatlas.catalog import views as V
 from roleatlas.catalog.table_queries import follow, land_fetches, second_batch
 from roleatlas.operators import state as ST
 from roleatlas.plans.ingest import ingest_version, run_ingest
+from roleatlas.session import read_size
 from roleatlas.sources.store import ListingStore
 from roleatlas.streaming.landed import FETCHED, stream_fetches
 
@@ -154,3 +157,34 @@ def test_replayed_fetches_give_the_same_version(spark, sf, store, tmp_path):
     shutil.copytree(offsets, replay, ignore=lambda d, names: names if d.endswith("commits") else [])
     follow(stream_fetches(spark, f"{folder}/*", store, replay))
     assert store.latest() == 1 and rows(store.listings(1)) == once
+
+
+def files_by_part(folder):
+    return {p.name: len(list(p.glob("*.parquet"))) for p in Path(folder).iterdir() if p.name.startswith("part=")}
+
+
+def test_landed_parts_do_not_pass_through_one_task(spark, sf, tmp_path, monkeypatch):
+    land_fetches(spark, sf, V.scraped_batch(spark, sf), RUNS[0], str(tmp_path / "landed"), 2, 1)
+    found = files_by_part(tmp_path / "landed")
+    assert set(found) == {"part=1"} and found["part=1"] > 1
+    asked = []
+
+    def seen(spark, landed, *args, **more):
+        asked.append((files_by_part(landed.rstrip("*")), more["files_per_batch"]))
+        return landed_upserts(spark, landed, *args, **more)
+
+    landed_upserts = T.stream_upserts
+    monkeypatch.setattr(T, "stream_upserts", seen)
+    streamed = sorted(map(repr, T.s1(spark, sf).collect()))
+    (parts, at_once), = asked
+    assert len(parts) == 4 and min(parts.values()) > 1
+    assert 3 * at_once < sum(parts.values()) <= 4 * at_once
+    assert streamed == sorted(map(repr, T.j1(spark, sf).collect()))
+
+
+def test_buckets_follow_the_input(spark, sf, monkeypatch):
+    state = V.prior_state(spark, sf)
+    few = T.bucket_count(state)
+    monkeypatch.setattr(T, "BUCKET_BYTES", max(1, read_size(state) // 20))
+    assert few == 8 and 20 <= T.bucket_count(state) <= 21
+    assert T.new_store(spark, sf).buckets == T.bucket_count(state)
