@@ -104,27 +104,33 @@ def last_values(
         *[last(c) for c in REFRESHED], first, F.min("_row").alias("_any"), F.max("_valid").alias("_valid"),
         *[F.sum(f"_n_{n}").alias(n) for n in counts], *[F.max(f"_n_{n}").alias(n) for n in latest],
     )
-    places = [F.col(f"_{c}") for c in taken]
+    # The row that gives the description is the base, so only short values come from elsewhere.
+    short = [c for c in taken if c != "description_raw"]
+    places = [F.col(f"_{c}") for c in ["description_raw", *short]]
     wins = materialize(wins.withColumn("_base", F.coalesce(*places, "_any")))
-    found = lookup_join(rows.select(key, "_row", *taken), wins, [key], "inner")
-    base = found.filter("_row = _base")
     given = F.filter(
         F.array(*[
             F.when((F.col(f"_{c}") == F.col("_row")) & (F.col("_row") != F.col("_base")),
                    F.struct(F.lit(c).alias("key"), F.col(c).alias("value")))
-            for c in taken
+            for c in short
         ]),
         lambda e: e.isNotNull(),
     )
     # Few keys take values from several rows.
-    apart = found.select(key, F.inline(given))
-    patches = materialize(apart.groupBy(key).agg(
+    apart = F.lit(False)
+    for c in short:
+        apart = apart | F.coalesce(F.col(f"_{c}") != F.col("_base"), F.lit(False))
+    several = wins.filter(apart).select(key, "_base", *[f"_{c}" for c in short])
+    pieces = lookup_join(rows.select(key, "_row", *short), several, [key], "inner").select(key, F.inline(given))
+    patches = materialize(pieces.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("_patch")
     ))
     if patches.isEmpty():
-        base = base.withColumn("_patch", F.lit(None).cast("map<string,string>"))
+        wins = wins.withColumn("_patch", F.lit(None).cast("map<string,string>"))
     else:
-        base = lookup_join(base, patches, [key], "left")
+        wins = materialize(lookup_join(wins, patches, [key], "left"))
+    # Descriptions move once at most, when all else is known.
+    base = lookup_join(rows.select(key, "_row", *taken), wins, [key], "inner").filter("_row = _base")
 
     def value(c: str) -> Column:
         own = F.when(F.col(f"_{c}") == F.col("_row"), F.col(c))

@@ -60,6 +60,26 @@ def test_last_values_hash_numbers_before_the_shuffle(spark, sf, monkeypatch):
     assert not any("SortAggregate" in p for p in plans)
 
 
+def test_descriptions_move_in_one_join_only(spark, sf, monkeypatch):
+    """What other rows of a key give is found without descriptions, also where nothing is broadcast."""
+    written = []
+
+    def keep(df):
+        written.append(plan(df))
+        return materialize(df)
+
+    rows = [("u", "c", 1, "T", "", "x", "", ""), ("u", "c", 2, "", "long", "", "", ""), ("v", "c", 1, "V", "", "", "", "")]
+    names = "url string, company string, seq long, title string, description_raw string, location string"
+    batch = spark.createDataFrame(rows, names + ", remote_onsite string, posted_date string")
+    batch = batch.withColumn("source_domain", F.lit("ats"))
+    monkeypatch.setattr(ST, "materialize", keep)
+    found = ST.last_values(batch).collect()
+    assert {r["url"]: (r["title"], r["description_raw"], r["location"]) for r in found} == {
+        "u": ("T", "long", "x"), "v": ("V", "", "")}
+    reads = [p.replace("_gives_description_raw", "").replace("_description_raw", "") for p in written[1:]]
+    assert len(reads) > 2 and not any("description_raw" in p for p in reads)
+
+
 def test_bucketed_tables_join_without_exchange(spark, sf):
     v2 = V.role_listings(spark, sf)
     for name, df in (("listings_b", V.listings_of(v2)), ("vectors_b", V.vectors_of(v2))):
