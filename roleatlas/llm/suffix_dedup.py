@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..operators.topk import global_rank
-from ..session import materialize
+from ..session import materialize, sparse_join
 from .common import col
 from .suffix_runs import Run, merge_runs, pack_run, unpack_run
 from .words import BASE, INVERSE, mix, powers, slices, text_bytes
@@ -19,14 +18,18 @@ from .words import BASE, INVERSE, mix, powers, slices, text_bytes
 LENGTH = 100
 # Suffixes are taken where a string of GRAM bytes has the least hash of a window.
 GRAM = 32
-FILTER_BITS = 26
+# Filters have 2**16 to 2**28 bits.
+FILTER_BITS = 16, 28
 HOT = 10_000
+SIGNED_BYTES = 8 << 20
 RUN_BYTES = 12 << 20
 SLICE_BYTES = 1 << 20
 PART_SUFFIXES = 40_000
 # Merged suffixes are compared in batches of about so many, at bounds of groups.
 GROUPS_AT_ONCE = 4000
 INTERVALS = "key long, start long, end long"
+SIGNATURES = "gram long, own long, pos long, span long, of long"
+MAPPED = f"part int, run binary, hash long, gram long, pos long, {INTERVALS}"
 
 
 def hash_sums(data: np.ndarray) -> np.ndarray:
@@ -39,7 +42,9 @@ def hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * powers(INVERSE, len(sums))[start])
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+def anchors(
+    data: np.ndarray, offsets: np.ndarray, length: int, gram: int, sums: np.ndarray | None = None
+) -> tuple[np.ndarray, ...]:
     """The windows of ``length`` bytes by their anchors: text, first and last start, anchor, hash.
 
     A window's anchor is the leftmost of its strings of ``gram`` bytes with the least
@@ -52,7 +57,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     long_ = np.flatnonzero(sizes >= length)
     if not len(long_):
         return none, none, none, none, none.astype(np.uint64)
-    sums = hash_sums(data)
+    sums = hash_sums(data) if sums is None else sums
     m = n - gram + 1
     every = mix((sums[gram:] - sums[:m]) * powers(INVERSE, n + 1)[:m])
     bits = np.uint64(int(n).bit_length())
@@ -76,59 +81,109 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     return text, low, high, at[first], every[at[first]]
 
 
-def repeated_grams(docs: DataFrame, length: int, gram: int, hot: int) -> tuple[tuple[np.ndarray, np.ndarray], int]:
-    """Filters of 2**FILTER_BITS bits: grams that may be anchors twice, and more than ``hot`` times.
+def signatures(docs: DataFrame, bits: int, length: int, gram: int) -> DataFrame:
+    """All anchors by their gram and the hash of their context, ``of`` being equal ones of a slice.
 
-    And the number of anchors with a gram that is not hot and that the first filter lets
-    through: those of repeated grams, and its share of the single ones.  A set bit too
-    many costs work and changes no result.
+    What a slice has twice itself is settled: rows without ``own`` are such intervals,
+    dealt anyhow.  An interval ends ``length`` bytes after its last window begins.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(*columns) -> pa.RecordBatch:
+        cells = [pa.array(c.view(np.int64)) if isinstance(c, np.ndarray) else c for c in columns]
+        return pa.RecordBatch.from_arrays(cells, ["gram", "own", "pos", "span", "of"])
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a, b in slices(whole.column(1), SIGNED_BYTES):
+                held, batch = [], whole.slice(a, b - a)
+                for x, y in slices(batch.column(1), SLICE_BYTES):
+                    keys = batch.column(0).slice(x, y - x).to_numpy(zero_copy_only=False)
+                    data, offsets = text_bytes(batch.column(1).slice(x, y - x))
+                    sums = hash_sums(data)
+                    text, low, high, at, grams = anchors(data, offsets, length, gram, sums)
+                    own = context_hashes(sums, low, high + length, at - low)
+                    held.append((grams, own, (keys[text] << bits) + low - offsets[text], high - low))
+                grams, own, pos, span = map(np.concatenate, zip(*held))
+                first, of, rest = firsts((own, grams), pos)
+                yield rows(grams[first], own[first], pos[first], span[first], of)
+                start, end = join_intervals(pos[rest], pos[rest] + span[rest] + length)
+                none = pa.nulls(len(start), pa.int64())
+                yield rows(mix(start.astype(np.uint64)), none, start, end - start - length, np.zeros(len(start), np.int64))
+
+    return docs.select("key", "text").mapInArrow(apply, SIGNATURES)
+
+
+def met_contexts(docs: DataFrame, bits: int, length: int, gram: int) -> tuple[DataFrame, int]:
+    """Where anchors meet others of their gram, by signatures alone, and the number of these anchors.
+
+    Of equal contexts all but the first are settled: rows without ``contexts``.  The
+    firsts are left where a gram has several ``contexts``, which only their texts decide.
+    """
+    by_context, by_gram = Window.partitionBy("gram", "own").orderBy("pos"), Window.partitionBy("gram")
+    least = F.col("own").isNotNull() & (F.row_number().over(by_context) == 1)
+    marked = signatures(docs, bits, length, gram).repartition("gram").withColumn("first", least)
+    marked = marked.select(
+        "gram", "pos", "span", "of", "first", F.count_if("first").over(by_gram).alias("contexts"),
+        F.sum("of").over(by_gram).alias("total"),
+    )
+    seen = Observation()
+    marked = marked.observe(seen, F.sum(F.when(F.col("total") > 1, F.col("of")).otherwise(0)).alias("n"))
+    several = F.col("first") & (F.col("contexts") > 1)
+    met = materialize(marked.filter(several | ~F.col("first")).select(
+        F.when(several, F.col("gram")).alias("gram"), "pos", "span",
+        F.when(several, F.col("contexts")).alias("contexts"),
+    ))
+    return met, seen.get["n"] or 0
+
+
+def context_filters(met: DataFrame, hot: int) -> np.ndarray:
+    """Filters as rows of bits: grams of several contexts, places of these, grams of more than ``hot``.
+
+    They grow with the contexts up to 2**FILTER_BITS[1] bits each.  A set bit too many
+    costs work and changes no result.
+    """
+    left = met.filter("contexts IS NOT NULL")
+    wanted = (16 * left.count()).bit_length()
+    bits = min(max(wanted, FILTER_BITS[0]), FILTER_BITS[1])
+
+    def set_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(0), 4 << 20):
-                found = [anchors(*text_bytes(batch.column(0).slice(x + a, y - x)), length, gram)[4]
-                         for x, y in slices(batch.column(0).slice(a, b - a), SLICE_BYTES)]
-                grams, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n)], ["gram", "n"])
-
-    counted = docs.select("text").mapInArrow(count, "gram long, n long")
-    grams = counted.groupBy("gram").agg(F.sum("n").alias("n"))
-    bucket = F.shiftrightunsigned("gram", 64 - FILTER_BITS)
-    bit = F.expr(f"shiftleft(1L, int(shiftrightunsigned(gram, {64 - FILTER_BITS}) & 63))")
-
-    def bits_of(which: Column) -> Column:
-        return F.bit_or(F.when(which, bit).otherwise(F.lit(0)))
-
-    n = F.col("n")
-    words = grams.groupBy(F.shiftright(bucket, 6).alias("word")).agg(
-        bits_of(n > 1).alias("twice"), bits_of(n > hot).alias("hot"), F.count_if(n == 1).alias("single"),
-        F.sum(F.when((n > 1) & (n <= hot), n).otherwise(F.lit(0))).alias("n"),
-    ).toArrow()  # 2**(FILTER_BITS - 6) rows at most
-    twice = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    hot_ = twice.copy()
-    twice[words["word"].to_numpy()] = words["twice"].to_numpy()
-    hot_[words["word"].to_numpy()] = words["hot"].to_numpy()
-    full = int(np.unpackbits(twice.view(np.uint8)).sum()) / (1 << FILTER_BITS)
-    suffixes = int(words["n"].to_numpy().sum()) + int(full * words["single"].to_numpy().sum())
-    return (twice.view(np.uint64), hot_.view(np.uint64)), suffixes
-
-
-def has_bit(filter_: np.ndarray, gram: np.ndarray) -> np.ndarray:
-    bucket = gram >> np.uint64(64 - FILTER_BITS)
+            grams, pos, contexts = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(3))
+            grams = grams.view(np.uint64)
+            for k, hash_ in enumerate((grams, mix(pos.astype(np.uint64)), grams[contexts > hot])):
+                bucket = np.unique(hash_ >> np.uint64(64 - bits))
+                word, first = np.unique(bucket >> np.uint64(6), return_index=True)
+                set_ = np.uint64(1) << (bucket & np.uint64(63))
+                set_ = np.bitwise_or.reduceat(set_, first) if len(first) else set_
+                word = (word + np.uint64(k << (bits - 6))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(set_.view(np.int64))], ["word", "bits"])
+
+    words = left.select("gram", "pos", "contexts").mapInArrow(set_bits, "word int, bits long")
+    words = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # 3 * 2**22 rows at most
+    filters = np.zeros(3 << (bits - 6), np.int64)
+    filters[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return filters.view(np.uint64).reshape(3, -1)
+
+
+def has_bit(filter_: np.ndarray, hash_: np.ndarray) -> np.ndarray:
+    bucket = hash_ >> np.uint64(64 - 6 - (len(filter_).bit_length() - 1))
     return (filter_[(bucket >> np.uint64(6)).astype(np.int64)] >> (bucket & np.uint64(63))) & np.uint64(1) > 0
 
 
+def firsts(order_key: tuple[np.ndarray, ...], pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows with the least ``pos`` among those of equal keys, how many these are, and the rest."""
+    order = np.lexsort((pos, *order_key))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in order_key:
+        new[1:] |= key[order][1:] != key[order][:-1]
+    return order[new], np.diff(np.append(np.flatnonzero(new), len(order))), order[~new]
+
+
 def first_of(order_key: tuple[np.ndarray, ...], pos: np.ndarray) -> np.ndarray:
     """Mask of the rows with the least ``pos`` among those of equal keys."""
-    order = np.lexsort((pos, *order_key))
-    new = np.ones(len(order), bool)
-    if len(order) > 1:
-        new[1:] = False
-        for key in order_key:
-            new[1:] |= key[order][1:] != key[order][:-1]
     out = np.zeros(len(pos), bool)
-    out[order[new]] = True
+    out[firsts(order_key, pos)[0]] = True
     return out
 
 
@@ -195,104 +250,75 @@ def interval_cells(start: np.ndarray, end: np.ndarray, bits: int) -> list[pa.Arr
     return [pa.array(start >> bits), pa.array(start & low), pa.array((start & low) + end - start)]
 
 
-def pack_intervals(start: np.ndarray, end: np.ndarray) -> bytes:
-    return zlib.compress(np.concatenate([start, end]).astype("<i8").tobytes(), 1)
-
-
-def unpack_intervals(blob: bytes) -> np.ndarray:
-    """Starts and ends as two rows."""
-    return np.frombuffer(zlib.decompress(blob), "<i8").reshape(2, -1)
-
-
-RUNS = "part int, run binary, settled binary"
-WINDOWS = f"hash long, gram long, pos long, {INTERVALS}"
-
-
 def mapped_rows(
-    docs: DataFrame, filters: tuple[np.ndarray, np.ndarray], parts: int, bits: int, length: int, gram: int,
-    runs: bool,
+    docs: DataFrame, filters: np.ndarray, parts: int, bits: int, length: int, gram: int
 ) -> DataFrame:
-    """What each task has after settling what it has twice itself.
+    """The contexts that the filters let through: parts of runs, and of the hot grams windows.
 
-    With ``runs``, of the grams that are not hot: parts of runs, and the intervals
-    settled, packed; else, of the hot ones: windows, and the intervals settled.  Each
-    pass settles its own grams, so the two need not be cut into the same flushes.
+    What a task has twice itself among the windows of hot grams is settled: intervals.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     def flush(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not held:
             return
         data = b"".join(h[0] for h in held)
-        grams, left, span, pos, own = (np.concatenate([h[k] for h in held]) for k in range(1, 6))
+        grams, left, span, pos, hot = (np.concatenate([h[k] for h in held]) for k in range(1, 6))
         all_ = Contexts(data, left, span, pos, length)
-        # What this task itself has twice is settled here: contexts, and windows of hot grams.
-        first = first_of((own, grams), pos)
-        start, end = [pos[~first]], [pos[~first] + all_.size[~first]]
-        if runs:
-            begin, stop = join_intervals(start[0], end[0])
-            if len(begin):
-                yield part_row(int(mix(begin[:1].astype(np.uint64))[0] % np.uint64(parts)), settled=pack_intervals(begin, stop))
-            yield from packed(data, all_, grams, np.flatnonzero(first))
-            return
-        hot_at = np.flatnonzero(first)
+        yield from packed(data, all_, grams, np.flatnonzero(~hot))
+        hot_at = np.flatnonzero(hot)
         hot_ones = all_.some(hot_at)
         whose, hash_, at = hot_ones.windows(np.arange(len(hot_at)))
         whose = hot_at[whose]
         one = first_of((hash_, grams[whose]), at)
-        start.append(at[~one])
-        end.append(at[~one] + length)
-        begin, stop = join_intervals(np.concatenate(start), np.concatenate(end))
-        yield window_rows(interval=interval_cells(begin, stop, bits))
+        start, end = join_intervals(at[~one], at[~one] + length)
+        yield rows(len(start), **dict(zip(("key", "start", "end"), interval_cells(start, end, bits))))
         for k in range(0, int(one.sum()), 100_000):
             some = np.flatnonzero(one)[k:k + 100_000]
-            yield window_rows(hash_[some], grams[whose[some]], at[some])
+            cells = {"hash": hash_[some].view(np.int64), "gram": grams[whose[some]].view(np.int64), "pos": at[some]}
+            yield rows(len(some), **cells)
 
     def packed(data: bytes, all_: Contexts, grams: np.ndarray, ours: np.ndarray) -> Iterator[pa.RecordBatch]:
         pos, span = all_.pos, all_.span
         begins, ends, lefts = all_.start.tolist(), all_.end.tolist(), all_.left.tolist()
         part = (grams % np.uint64(parts)).astype(np.int64)
         order = ours[np.argsort(part[ours], kind="stable")]
-        bounds = np.searchsorted(part[order], np.arange(parts + 1))
-        for p in range(parts):
-            some = order[bounds[p]:bounds[p + 1]].tolist()
-            if some:
-                some = sorted((data[begins[i] + lefts[i]:ends[i]], i) for i in some)
-                mine = np.array([i for _, i in some])
-                before = [data[begins[i]:begins[i] + lefts[i]] for _, i in some]
-                yield part_row(p, pack_run([s for s, _ in some], before, pos[mine], span[mine]))
-
-    def part_row(part: int, run: bytes | None = None, settled: bytes | None = None) -> pa.RecordBatch:
-        cells = [pa.array([part], pa.int32()), pa.array([run], pa.binary()), pa.array([settled], pa.binary())]
-        return pa.RecordBatch.from_arrays(cells, ["part", "run", "settled"])
-
-    def window_rows(hash=None, gram=None, pos=None, interval=None) -> pa.RecordBatch:
-        n = len(pos) if pos is not None else len(interval[0])
-        cells = [pa.nulls(n, pa.int64())] * 3 if pos is None else [
-            pa.array(hash.view(np.int64)), pa.array(gram.view(np.int64)), pa.array(pos)]
-        cells += [pa.nulls(n, pa.int64())] * 3 if interval is None else interval
-        return pa.RecordBatch.from_arrays(cells, ["hash", "gram", "pos", "key", "start", "end"])
+        # Groups of one part, in order of the parts.
+        first = np.flatnonzero(np.append(True, part[order][1:] != part[order][:-1])) if len(order) else order
+        for some in np.split(order, first[1:]) if len(order) else []:
+            p = int(part[some[0]])
+            some = sorted((data[begins[i] + lefts[i]:ends[i]], i) for i in some.tolist())
+            mine = np.array([i for _, i in some])
+            before = [data[begins[i]:begins[i] + lefts[i]] for _, i in some]
+            yield rows(1, part=[p], run=[pack_run([s for s, _ in some], before, pos[mine], span[mine])])
+
+    def rows(n: int, **cells) -> pa.RecordBatch:
+        kinds = {"part": pa.int32(), "run": pa.binary()} | dict.fromkeys(
+            ("hash", "gram", "pos", "key", "start", "end"), pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cells[c], k) if c in cells else pa.nulls(n, k) for c, k in kinds.items()], list(kinds))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        several, places, often = shared.value
         held: list[tuple] = []
         for batch in batches:
             for a, b in slices(batch.column(1), SLICE_BYTES):
                 keys = batch.column(0).slice(a, b - a).to_numpy(zero_copy_only=False)
                 data, offsets = text_bytes(batch.column(1).slice(a, b - a))
                 text, low, high, at, grams = anchors(data, offsets, length, gram)
-                some = np.flatnonzero(has_bit(filters[0], grams) & (has_bit(filters[1], grams) ^ runs))
-                text, low, high, at = text[some], low[some], high[some], at[some]
+                pos = (keys[text] << bits) + low - offsets[text]
+                some = np.flatnonzero(has_bit(several, grams) & has_bit(places, mix(pos.astype(np.uint64))))
+                low, high, at, grams, pos = low[some], high[some], at[some], grams[some], pos[some]
                 size = high - low + length
                 begin = np.cumsum(size) - size
                 flat = np.arange(size.sum()) + np.repeat(low - begin, size)
-                pos = (keys[text] << bits) + low - offsets[text]
-                own = context_hashes(hash_sums(data), low, high + length, at - low)
-                held.append((data[flat].tobytes(), grams[some], at - low, high - low, pos, own))
+                held.append((data[flat].tobytes(), grams, at - low, high - low, pos, has_bit(often, grams)))
                 if sum(len(h[0]) for h in held) > RUN_BYTES:
                     yield from flush(held)
                     held = []
         yield from flush(held)
 
-    return docs.select("key", "text").mapInArrow(apply, RUNS if runs else WINDOWS)
+    return docs.select("key", "text").mapInArrow(apply, MAPPED)
 
 
 def merged_repeats(runs: list[Run], length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -355,26 +381,26 @@ def keyed_documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFr
 
 def repeated_intervals(keyed: DataFrame, bits: int, length: int, gram: int, hot: int) -> DataFrame:
     """``key, start, end`` of byte ranges whose strings of ``length`` bytes start earlier somewhere."""
-    filters, suffixes = repeated_grams(keyed, length, gram, hot)
+    met, suffixes = met_contexts(keyed, bits, length, gram)
     parts = max(1, suffixes // PART_SUFFIXES)
-    mapped = materialize(mapped_rows(keyed, filters, parts, bits, length, gram, runs=False))
-    runs_ = mapped_rows(keyed, filters, parts, bits, length, gram, runs=True)
+    mapped = materialize(mapped_rows(keyed, context_filters(met, hot), parts, bits, length, gram))
 
     def merge(group: pa.Table) -> pa.Table:
-        runs = [unpack_run(blob) for blob in group["run"].drop_null().to_pylist()]
-        settled = [unpack_intervals(blob) for blob in group["settled"].drop_null().to_pylist()]
-        found = np.concatenate([np.array(merged_repeats(runs, length, gram), np.int64), *settled], axis=1)
-        start, end = join_intervals(*found)
+        runs = [unpack_run(blob) for blob in group["run"].to_pylist()]
+        start, end = join_intervals(*merged_repeats(runs, length, gram))
         return pa.table(dict(zip(("key", "start", "end"), interval_cells(start, end, bits))))
 
-    merged = materialize(runs_.groupBy("part").applyInArrow(merge, INTERVALS))
+    merged = mapped.filter("part IS NOT NULL").select("part", "run").groupBy("part").applyInArrow(merge, INTERVALS)
     windows = mapped.filter("pos IS NOT NULL").select("hash", "gram", "pos")
-    firsts = windows.groupBy("hash", "gram").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
-    later = windows.join(firsts.filter("n > 1"), ["hash", "gram"]).filter("pos <> first")
+    first = windows.groupBy("hash", "gram").agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("n"))
+    later = windows.join(first.filter("n > 1"), ["hash", "gram"]).filter("pos <> first")
+    later = later.select("pos", F.lit(0).cast("long").alias("span"))
+    later = later.unionAll(met.filter("contexts IS NULL").select("pos", "span"))
     offset = F.expr(f"pos & {(1 << bits) - 1}L")
-    later = later.select(F.shiftright("pos", bits).alias("key"), offset.alias("start"), (offset + length).alias("end"))
-    local = mapped.filter("key IS NOT NULL").select("key", "start", "end")
-    return local.unionAll(merged).unionAll(later)
+    later = later.select(
+        F.shiftright("pos", bits).alias("key"), offset.alias("start"), (offset + F.col("span") + length).alias("end")
+    )
+    return mapped.filter("key IS NOT NULL").select("key", "start", "end").unionAll(merged).unionAll(later)
 
 
 def remove_repeats(
@@ -387,12 +413,14 @@ def remove_repeats(
     a text of smaller id, or sooner in the same one.  Strings are judged on the input.
 
     Only suffixes at anchors take part (a window's least hash of ``gram`` bytes, so a
-    few in a hundred), and only where the anchor's string is one twice.  Each task
-    settles what it has twice itself, sorts the rest by suffix, and hands it on as
+    few in a hundred).  First their signatures meet by the anchor string: of equal
+    contexts only the first goes on, and only where the string has several.  These
+    contexts alone move as text: each task sorts them by suffix and hands them on as
     front-coded runs by the hash of the anchor string; a loser tree merges the runs of
-    a part, comparing each byte of a prefix once.  Anchor strings that occur more than
-    ``hot`` times are exchanged by the hash of the window instead, so a passage that a
-    third of all texts have is no group, and neither are its many surroundings.
+    a part, comparing each byte of a prefix once.  Anchor strings of more than ``hot``
+    contexts are exchanged by the hash of the window instead, so a passage that a
+    third of all texts have is no group, and neither are its many surroundings.  At the
+    end only texts that lose something are shuffled.
 
     Nulls: a null text is empty; a null id comes before all others.  Rows that repeat an
     id and text count as one row and are cut alike; other texts under a repeated id
@@ -401,8 +429,8 @@ def remove_repeats(
     gram = gram or min(GRAM, max(1, length // 2))
     keyed, bits = keyed_documents(docs, id_col, text_col)
     found = repeated_intervals(keyed, bits, length, gram, hot)
-    listed = found.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("found"))
-    joined = keyed.join(listed, "key", "left").select("id", "text", "found")
+    listed = found.groupBy("key").agg(F.collect_list("start").alias("begins"), F.collect_list("end").alias("ends"))
+    joined = sparse_join(keyed, listed, "key").select("id", "text", "begins", "ends")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,13 +438,11 @@ def remove_repeats(
             for a, b in slices(whole.column(1)):
                 batch = whole.slice(a, b - a)
                 sizes, spans, kept = [], [], []
-                for text, ranges in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                    data = text.encode()
+                for text, begins, ends in zip(batch.column(1), batch.column(2), batch.column(3)):
+                    data = text.as_py().encode()
                     sizes.append(len(data))
-                    ranges = ranges or []
-                    start, end = join_intervals(
-                        np.array([r["start"] for r in ranges], np.int64), np.array([r["end"] for r in ranges], np.int64)
-                    )
+                    start, end = (np.array(x.values if x.is_valid else [], np.int64) for x in (begins, ends))
+                    start, end = join_intervals(start, end)
                     spans.append([{"start": x, "end": y} for x, y in zip(start.tolist(), end.tolist())])
                     edges = [0, *np.column_stack([start, end]).ravel().tolist(), len(data)]
                     kept.append(b"".join(data[x:y] for x, y in zip(edges[::2], edges[1::2])))

@@ -116,6 +116,26 @@ def lookup_join(
     return salted_join(df, lookup, on, how, salts, hot) if hot else df.join(lookup, on, how)
 
 
+def sparse_join(df: DataFrame, lookup: DataFrame, on: str) -> DataFrame:
+    """Left join by a whole number for which only rows that have a lookup row are shuffled.
+
+    The keys of the lookup are known by one bit each of 64-bit words; where these are too
+    many for a broadcast, all rows are shuffled.
+    """
+    lookup = materialize(lookup)
+    word = F.shiftright(on, 6).alias("_word")
+    bits = F.bit_or(F.expr(f"shiftleft(1L, int(`{on}` & 63))")).alias("_bits")
+    words = materialize(lookup.groupBy(word).agg(bits))
+    if not fits_broadcast(words):
+        return df.join(lookup, on, "left")
+    marked = df.withColumn("_word", word).join(F.broadcast(words), "_word", "left").withColumn(
+        "_has", F.coalesce(F.expr(f"shiftrightunsigned(_bits, int(`{on}` & 63)) & 1L"), F.lit(0)) == 1
+    )
+    there = marked.filter("_has").select(*df.columns).join(lookup.hint("merge"), on, "left")
+    rest = marked.filter("NOT _has").select(*df.columns)
+    return there.unionByName(rest, allowMissingColumns=True)
+
+
 def hot_keys(df: DataFrame, on: list[str], parts: int) -> list[Row]:
     """Keys that hold more than one in ``parts`` rows: fewer than ``parts`` of them."""
     counted = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
