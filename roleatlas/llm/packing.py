@@ -17,7 +17,7 @@ from .tokens import encoder
 from .words import slices
 
 CAPACITY = 2048
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 8 << 20
 
 
 def token_pieces(

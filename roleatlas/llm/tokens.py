@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 from .common import kept
-from .words import LOWER, text_bytes
+from .words import distinct_words
 
 # Fixed values.  A word of these characters only is lower-cased and split here by the
 # pre-tokenizer's own pattern; any other goes to the tokenizer as it is, for whoever normalizes
@@ -65,27 +65,27 @@ class Encoder:
             else:
                 self.known.update((piece, self.whole(piece)) for piece in part)
 
-    def words(self, words: set[bytes]) -> dict[bytes, bytes]:
+    def words(self, words: list[str]) -> list[bytes]:
         """Ids of distinct words, told apart by all their bytes."""
         if len(self.known) > KNOWN_MOST:
             self.known, self.former = {}, self.known
-        known, out, later = self.known, {}, []
+        known, later = self.known, []
+        # A word that is a piece is the only one of its own.
+        out = list(map(known.get, words))
         fresh: set[str] = set()
-        for word in words:
-            pieces = pieces_of(word.decode())
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            pieces = pieces_of(words[k])
             if pieces is None:
-                out[word] = self.whole(word.decode())
+                out[k] = self.whole(words[k])
                 continue
-            try:
-                out[word] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
-            except KeyError:
-                later.append((word, pieces))
-                fresh.update(pieces)
+            later.append((k, pieces))
+            fresh.update(pieces)
         fresh -= known.keys()
         again = fresh & self.former.keys()
         known.update((p, self.former[p]) for p in again)
         self.learn(list(fresh - again))
-        out.update((word, b"".join([known[p] for p in pieces])) for word, pieces in later)
+        for k, pieces in later:
+            out[k] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -94,13 +94,15 @@ class Encoder:
         White space never joins or splits otherwise than between words, so a text's
         ids are those of its words in order.
         """
-        data, offsets = text_bytes(texts)
-        raw = LOWER[data].tobytes()
-        words = [raw[s:e].split() for s, e in zip(offsets.tolist(), offsets[1:].tolist())]
-        known = self.words(set().union(*words))
-        parts = [b"".join([known[w] for w in of]) for of in words]
-        begins = np.cumsum([0, *map(len, parts)]) // 4
-        return np.frombuffer(b"".join(parts), "<u4"), begins
+        number, counts, words = distinct_words(texts)
+        parts = self.words(words.view(pa.large_string()).to_pylist())
+        ids = np.frombuffer(b"".join(parts), "<u4")
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ends = np.append(0, np.cumsum(sizes[number]))
+        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+        at = np.arange(ends[-1], dtype=kind) + np.repeat((starts[number] - ends[:-1]).astype(kind), sizes[number])
+        return ids[at], ends[np.append(0, np.cumsum(counts))]
 
 
 def pieces_of(word: str) -> list[str] | None:

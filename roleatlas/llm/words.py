@@ -77,14 +77,9 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         at = to
 
 
-def find_words(texts: pa.Array, blanks: np.ndarray = BLANKS, lower: bool = True) -> Words:
-    """All maximal runs of bytes that aren't ``blanks``, with hashes, A-Z lowered on request."""
-    data, offsets = text_bytes(texts)
-    data = LOWER[data] if lower else data
+def word_bounds(data: np.ndarray, offsets: np.ndarray, blanks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the maximal runs of bytes that aren't ``blanks`` begin and end; none reaches another text."""
     n = len(data)
-    if not n:
-        none = np.zeros(0, np.int64)
-        return Words(data, offsets, none, none, none, none.astype(np.uint64))
     inside = ~blanks[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -94,7 +89,34 @@ def find_words(texts: pa.Array, blanks: np.ndarray = BLANKS, lower: bool = True)
     last[:-1] &= ~inside[1:]
     stops = offsets[1:][offsets[1:] > 0] - 1
     last[stops] |= inside[stops]
-    start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """All words in order by their numbers, how many each text has, and the distinct words.
+
+    A-Z are lowered; words are told apart by all their bytes.
+    """
+    data, offsets = text_bytes(texts)
+    data = LOWER[data]
+    start, end = word_bounds(data, offsets, BLANKS)
+    counts = np.diff(np.searchsorted(start, offsets))
+    ends = np.append(0, np.cumsum(end - start))
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(data[~BLANKS[data]])]
+    ).dictionary_encode()
+    return words.indices.to_numpy(), counts, words.dictionary
+
+
+def find_words(texts: pa.Array, blanks: np.ndarray = BLANKS, lower: bool = True) -> Words:
+    """All maximal runs of bytes that aren't ``blanks``, with hashes, A-Z lowered on request."""
+    data, offsets = text_bytes(texts)
+    data = LOWER[data] if lower else data
+    n = len(data)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return Words(data, offsets, none, none, none, none.astype(np.uint64))
+    start, end = word_bounds(data, offsets, blanks)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=sums[1:])
     hashes = mix((sums[end] - sums[start]) * powers(INVERSE, n)[start])
