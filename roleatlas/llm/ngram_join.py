@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import lookup_join, materialize, salted_join
 from .common import col, kept
 from .components import components
-from .words import LOWER, mix, slices, text_bytes
+from .words import distinct_words, mix, slices
 
 WORDS = 3
 # Two sets are linked when DEN * shared >= NUM * union.
@@ -27,6 +27,8 @@ SALTS = 64
 CELL = ["key", "band", "low", "high"]
 LEAF, FAN = 16, 16
 KNOWN_WORDS = 400_000
+# Whole passes over the texts take so many bytes at once: the more, the fewer distinct words.
+TEXT_BYTES = 4 << 20
 
 
 class WordNumbers:
@@ -49,12 +51,9 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
     A shingle is three words in a row; a text of one or two words is one shingle.
     """
-    data, offsets = text_bytes(texts)
-    raw = LOWER[data].tobytes()
-    lists = [raw[s:e].split() for s, e in zip(offsets.tolist(), offsets[1:].tolist())]
-    counts = np.array([len(x) for x in lists], np.int64)
-    number = kept("word numbers", WordNumbers).of([w for x in lists for w in x])
-    text = np.repeat(np.arange(len(lists)), counts)
+    at_word, counts, words = distinct_words(texts)
+    number = kept("word numbers", WordNumbers).of(words.to_pylist())[at_word]
+    text = np.repeat(np.arange(len(counts)), counts)
     last = max(len(number) - WORDS + 1, 0)
     at = np.flatnonzero(text[:last] == text[len(text) - last:])
     shingle = np.zeros(len(at), np.uint64)
@@ -69,11 +68,14 @@ def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         two = counts[short] == 2
         more[two] = mix(more[two] + number[begins[short][two] + 1])
         shingle, text = np.append(shingle, more), np.append(text, short)
-    order = np.lexsort((shingle, text))
-    shingle, text = shingle[order], text[order]
+        order = np.argsort(text, kind="stable")
+        shingle, text = shingle[order], text[order]
+    bounds = np.searchsorted(text, np.arange(len(counts) + 1)).tolist()
+    for a, b in zip(bounds, bounds[1:]):
+        shingle[a:b].sort()
     new = np.ones(len(shingle), bool)
     new[1:] = (shingle[1:] != shingle[:-1]) | (text[1:] != text[:-1])
-    return shingle[new], np.searchsorted(text[new], np.arange(len(lists) + 1))
+    return shingle[new], np.searchsorted(text[new], np.arange(len(counts) + 1))
 
 
 def bucket_counts(docs: DataFrame, text_col: str) -> np.ndarray:
@@ -82,7 +84,7 @@ def bucket_counts(docs: DataFrame, text_col: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for a, b in slices(batch.column(0)):
+            for a, b in slices(batch.column(0), TEXT_BYTES):
                 shingle, _ = shingle_sets(batch.column(0).slice(a, b - a))
                 counts += np.bincount((shingle % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
         used = np.flatnonzero(counts)
@@ -103,12 +105,14 @@ def prefixes(shingle: np.ndarray, begins: np.ndarray, common: np.ndarray) -> tup
     is the same for all sets.
     """
     sizes = np.diff(begins)
-    text = np.repeat(np.arange(len(sizes)), sizes)
     rank = common[(shingle % np.uint64(BUCKETS)).astype(np.int64)]
-    order = np.lexsort((shingle, rank, text))
-    place = np.arange(len(shingle)) - begins[text]
     wanted = np.where(sizes > 0, sizes + 1 - -(-NUM * sizes // DEN), 0)
-    keys = shingle[order][place < wanted[text]]
+    # The shingles of a set are in order, so those of the same rank stay in it.
+    chosen = [
+        a + np.argsort(rank[a:b], kind="stable")[:n]
+        for a, b, n in zip(begins[:-1].tolist(), begins[1:].tolist(), wanted.tolist())
+    ]
+    keys = shingle[np.concatenate(chosen)] if chosen else shingle[:0]
     return keys, np.append(0, np.cumsum(wanted))
 
 
@@ -119,7 +123,7 @@ def set_rows(docs: DataFrame, common: np.ndarray, id_col: str, text_col: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b in slices(batch.column(1)):
+            for a, b in slices(batch.column(1), TEXT_BYTES):
                 part = batch.slice(a, b - a)
                 shingle, begins = shingle_sets(part.column(1))
                 keys, ends = prefixes(shingle, begins, shared.value)
