@@ -28,6 +28,42 @@ def test_known_words_are_not_taken_apart_again(monkeypatch):
     assert own.encode(texts)[0].tolist() == first.tolist() and not seen
 
 
+def test_words_are_taken_apart_at_once(monkeypatch):
+    """Only words with an apostrophe or a rare character are looked at one by one."""
+    texts = pa.array(["Alpha, beta. 3x12 <b> ça(Ÿ) a<| don't |", None, "日本 İx l'eau <|endoftext|> \x7f ½'s"])
+    number, counts, words = distinct_words(texts)
+    asked = []
+    monkeypatch.setattr(tokens, "pieces_of", lambda word, real=tokens.pieces_of: (asked.append(word), real(word))[1])
+    odd = sorted(["a<|", "don't", "日本", "İx", "l'eau", "<|endoftext|>", "\x7f", "½'s"])
+    tokens.Encoder(word_bpe()).encode(texts)
+    assert sorted(asked) == odd
+    pieces, first, count = tokens.take_apart(words)
+    for k, word in enumerate(words.to_pylist()):
+        of = pieces.slice(first[k], count[k]).to_pylist()
+        assert of == (tokens.RARE.search(word.decode()) and [word.decode()] or tokens.PIECES.findall(word.decode().lower()))
+    assert sorted(asked) == sorted(odd * 2)
+    none = tokens.take_apart(distinct_words(texts[1:2])[2])
+    assert [len(x) for x in none] == [0, 0, 0]
+
+
+def test_new_pieces_only_reach_the_tokenizer(monkeypatch):
+    own, asked = tokens.Encoder(word_bpe()), []
+    monkeypatch.setattr(own, "learn", lambda pieces, real=own.learn: (asked.extend(pieces), real(pieces))[1])
+    texts = pa.array(["alpha, beta gamma.", "Beta, ça <| " + "b" * 900])
+    for most, again in ((tokens.KNOWN_MOST, ["b" * 900]), (3, None)):
+        monkeypatch.setattr(tokens, "KNOWN_MOST", most)
+        asked.clear()
+        for k in range(3):
+            ids, begins = own.encode(texts)
+            wanted = [own.whole(t) for t in texts.to_pylist()]
+            assert [ids[a:b].tobytes() for a, b in zip(begins, begins[1:])] == wanted
+            assert len(own.known) == len(own.sizes) <= most and own.sizes.sum() == len(own.ids)
+            if k and again:
+                # What is known is not encoded again; only a very long piece is not kept.
+                assert asked == again
+            asked.clear()
+
+
 def test_shingles_number_each_word_once(monkeypatch):
     asked = []
 
